@@ -78,7 +78,10 @@ def _fit(train: DataFrame, text_col: str, label_col: str, n: int, kind: str, num
         for i in range(n):
             t = table.select("features", F.get(label_col, i).cast("double").alias("label"))
             if kind == "regression":
-                est = LinearRegression(maxIter=max_iter, regParam=0.01, elasticNetParam=0.0)
+                # Ridge by L-BFGS: one distributed pass per iteration and no
+                # feature-squared matrix on the driver (the normal-equation
+                # solver would build and factor a dense Gram matrix).
+                est = LinearRegression(maxIter=max_iter, regParam=0.01, elasticNetParam=0.0, solver="l-bfgs")
             else:
                 t = t.withColumn("label", (F.col("label") >= 1).cast("double"))
                 est = LogisticRegression(maxIter=max_iter, regParam=0.01)
@@ -89,13 +92,13 @@ def _fit(train: DataFrame, text_col: str, label_col: str, n: int, kind: str, num
 
 
 def train_regressor(train: DataFrame, text_col: str = "text", label_col: str = "labels", n: int = N_LABELS,
-                    num_features: int = 1 << 16, max_iter: int = 20) -> TextModel:
+                    num_features: int = 1 << 14, max_iter: int = 20) -> TextModel:
     """M2: multi-output regressor (MSE objective), one linear model per label."""
     return _fit(train, text_col, label_col, n, "regression", num_features, max_iter)
 
 
 def train_classifier(train: DataFrame, text_col: str = "text", label_col: str = "labels", n: int = N_LABELS,
-                     num_features: int = 1 << 16, max_iter: int = 20) -> TextModel:
+                     num_features: int = 1 << 14, max_iter: int = 20) -> TextModel:
     """M3: multi-label classifier (label >= 1 is positive), one logistic model per label."""
     return _fit(train, text_col, label_col, n, "classification", num_features, max_iter)
 
@@ -105,7 +108,11 @@ def cv_ensemble(train: DataFrame, test: DataFrame, k: int = 5, seed: int = 2021,
     """M4: per-scene k-fold training (D3) and a fold ensemble on ``test``:
     every fold's scores are clamped, then averaged (A15).  The fold loop runs
     k distributed fits; predictions stay a long ``(model, id, scores)`` table."""
-    folded = fold_scene(train, k, seed)
+    # k fits read the same table: write it once to the shared checkpoint
+    # folder (cuts the lineage, survives executor loss) instead of
+    # re-deriving it for every fit.
+    folded = fold_scene(train, k, seed).checkpoint()
+    test = test.checkpoint()
     preds = None
     for i in range(k):
         tr, _dev = fold_view(folded, i)
@@ -123,7 +130,7 @@ def stack(train: DataFrame, test: DataFrame, features: list[str], label: str = "
     forest on the two level-1 columns.  Everything is keyed by ``key``."""
     va = VectorAssembler(inputCols=features, outputCol="features")
     tr = fold_plain(va.transform(train).select(key, "features", F.col(label).cast("double").alias("label")), k, seed)
-    te = va.transform(test).select(key, "features")
+    tr, te = tr.checkpoint(), va.transform(test).select(key, "features").checkpoint()
     learners = {"lr": lambda: LinearRegression(maxIter=50), "rf": lambda: RandomForestRegressor(numTrees=num_trees, seed=seed)}
     oof_train, oof_test = None, None
     for name, make in learners.items():

@@ -455,7 +455,7 @@ def q_train_classifier(spark, sf):
 
 def q_cv_ensemble(spark, sf):
     train, dev = _train_dev(spark, sf)
-    out = models.cv_ensemble(train, dev, k=5, seed=SEED, num_features=1 << 14, max_iter=10)
+    out = models.cv_ensemble(train, dev, k=5, seed=SEED, num_features=1 << 14, max_iter=5)
     return out.select("id", format_scores("scores").alias("scores"), "n_files")
 
 

@@ -26,22 +26,23 @@ def read_lines(spark: SparkSession, path: str, labeled: bool = True, null_tokens
 
     Rows with *more* fields than the header are dropped when ``skip_bad``
     (the reference's reader skips them silently); rows with *fewer* fields are
-    kept with nulls.  Strings listed in ``null_tokens`` (e.g. ``"NA"``) read as
-    null in every column but ``id``.  With ``skip_bad=False`` the raw text of
-    every malformed row stays in ``_bad`` for inspection.
+    kept with nulls.  A row is too long exactly when a field exists past the
+    header's last column, so the schema declares one extra column ``_extra``:
+    unlike Spark's corrupt-record marking, which only judges the columns a
+    query happens to read, this gives the same rows under any projection.
+    ``multi_line`` allows quoted fields with line breaks (such files are read
+    whole, one task per file).  Strings listed in ``null_tokens`` (e.g.
+    ``"NA"``) read as null in every column but ``id``.  With
+    ``skip_bad=False`` every row is kept and ``_too_long`` flags the bad ones.
     """
     fields = LABELED_FIELDS if labeled else UNLABELED_FIELDS
-    schema = T.StructType([T.StructField(f, T.StringType(), True) for f in fields]
-                          + [T.StructField("_bad", T.StringType(), True)])
-    raw = (
-        _csv(spark, sep).option("multiLine", multi_line).schema(schema).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_bad").csv(path)
-    )
-    n_tabs = F.size(F.split(F.col("_bad"), sep)) - 1
-    too_long = F.col("_bad").isNotNull() & (n_tabs > len(fields) - 1)
-    out = raw.withColumn("_too_long", too_long)
+    schema = T.StructType([T.StructField(f, T.StringType(), True) for f in fields + ["_extra"]])
+    raw = _csv(spark, sep).option("multiLine", multi_line).option("mode", "PERMISSIVE").schema(schema).csv(path)
+    too_long = F.col("_extra").isNotNull()
     if skip_bad:
-        out = out.where(~F.col("_too_long")).drop("_bad", "_too_long")
+        out = raw.where(~too_long).drop("_extra")
+    else:
+        out = raw.withColumn("_too_long", too_long).drop("_extra")
     tokens = list(null_tokens)
     if tokens:
         for f in fields[1:]:
