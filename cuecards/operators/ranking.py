@@ -47,7 +47,7 @@ def rank_within(df: DataFrame, group_cols: list[str], order_cols: list[Column |
 
 
 def hash_rank(df: DataFrame, seed: int | str, key: str = "id", group_cols: list[str] | None = None,
-              prefix: int = 2, rank: str = "_rank", total: str = "_n") -> DataFrame:
+              prefix: int = 4, rank: str = "_rank", total: str = "_n") -> DataFrame:
     """Rank rows by ``md5(seed|key)`` within groups; ``16**prefix`` sub-buckets per group."""
     h = hash_order(seed, key)
     d = df.withColumn("_h", h)

@@ -4,7 +4,9 @@ Random choices are hash orders ``md5(seed|id)``: identical on any cluster
 layout, after any task retry, and in any SQL engine.  Sizes follow the
 reference exactly (row membership cannot, its generators are process-local).
 Every per-group position comes from ``rank_within``, which spreads one huge
-scene or class over many tasks.
+scene or class over ``16**prefix`` tasks (default 65 536: a scene holding a
+third of 100 TB becomes pieces of about 0.5 GB); the per-sub-bucket count
+table it needs is never larger than the row count.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ def shuffle_rows(df: DataFrame, seed: int = 2021, key: str = "id") -> DataFrame:
 
 
 def split_random(df: DataFrame, frac: float = 0.2, seed: int = 2021, key: str = "id",
-                 prefix: int = 3) -> DataFrame:
+                 prefix: int = 4) -> DataFrame:
     """Adds ``is_dev``; exactly ``ceil(frac * n)`` rows, the smallest hashes.
 
     A global rank without a global sort: ``16**prefix`` hash-prefix buckets are
@@ -33,13 +35,13 @@ def split_random(df: DataFrame, frac: float = 0.2, seed: int = 2021, key: str =
 
 
 def split_scene(df: DataFrame, frac: float = 0.2, seed: int = 2021, key: str = "id",
-                prefix: int = 2) -> DataFrame:
+                prefix: int = 4) -> DataFrame:
     """``int(frac * n)`` dev rows in every scene (scenes under 5 rows give none)."""
     r = hash_rank(df, seed, key, ["jb_id", "cc_id"], prefix=prefix)
     return r.withColumn("is_dev", F.col("_rank") <= F.floor(F.col("_n") * F.lit(frac))).drop("_rank", "_n")
 
 
-def fold_scene(df: DataFrame, k: int = 5, seed: int = 2021, key: str = "id", prefix: int = 2) -> DataFrame:
+def fold_scene(df: DataFrame, k: int = 5, seed: int = 2021, key: str = "id", prefix: int = 4) -> DataFrame:
     """D3: per-scene k-fold.  Scenes of at least ``k`` rows: fold sizes differ by
     at most one, the first ``n mod k`` folds larger.  Smaller scenes: ``fold``
     is null - the rows are training rows in every fold, dev in none."""
@@ -49,7 +51,7 @@ def fold_scene(df: DataFrame, k: int = 5, seed: int = 2021, key: str = "id", pre
 
 
 def fold_stratified(df: DataFrame, cls: str, k: int = 5, seed: int = 2021, key: str = "id",
-                    prefix: int = 2) -> DataFrame:
+                    prefix: int = 4) -> DataFrame:
     """Stratified k-fold: fold = (class offset + position in class - 1) mod k,
     which balances both every class and the fold totals.  A class holding most
     rows is still numbered in ``16**prefix`` pieces; class offsets come from the
@@ -65,7 +67,7 @@ def fold_stratified(df: DataFrame, cls: str, k: int = 5, seed: int = 2021, key:
             .drop("_rank", "_n", "_off"))
 
 
-def fold_plain(df: DataFrame, k: int = 5, seed: int = 42, key: str = "id", prefix: int = 3) -> DataFrame:
+def fold_plain(df: DataFrame, k: int = 5, seed: int = 42, key: str = "id", prefix: int = 4) -> DataFrame:
     """Shuffled k-fold without classes (global hash position mod k)."""
     r = hash_rank(df, seed, key, [], prefix=prefix)
     return r.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_rank", "_n")

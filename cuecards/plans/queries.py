@@ -216,7 +216,7 @@ def q_fold_view(spark, sf):
 
 
 def q_shuffle_rows(spark, sf):
-    return hash_rank(_parsed(spark, sf), SEED, "id", [], prefix=3).select("id", F.col("_rank").alias("position"))
+    return hash_rank(_parsed(spark, sf), SEED, "id", []).select("id", F.col("_rank").alias("position"))
 
 
 # -- encodings -------------------------------------------------------------------
