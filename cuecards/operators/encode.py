@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuecards.constants import CLS_ID, PAD_ID, SEP_ID, VOCAB_SIZE
+from cuecards.session import cut_lineage
 
 UNK = "<UNK>"
 PAD = "<PAD>"
@@ -55,7 +56,7 @@ def build_vocab(df: DataFrame, col: str = "text", size: int = VOCAB_SIZE, materi
         F.struct(F.lit(PAD).alias("token"), (F.col("v") + 1).cast("int").alias("token_id"), F.lit(0).cast("long").alias("n")),
     )).alias("s")).select("s.*")
     vocab = ranked.select("token", "token_id", "n").unionByName(specials)
-    return vocab.checkpoint() if materialize else vocab
+    return cut_lineage(vocab) if materialize else vocab
 
 
 def special_ids(vocab: DataFrame) -> tuple[int, int]:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cuecards.functions.labels import clamp
+from cuecards.session import cut_lineage
 from cuecards.operators.ensemble import fold_mean
 from cuecards.operators.splits import fold_plain, fold_scene, fold_view
 
@@ -111,8 +112,8 @@ def cv_ensemble(train: DataFrame, test: DataFrame, k: int = 5, seed: int = 2021,
     # k fits read the same table: write it once to the shared checkpoint
     # folder (cuts the lineage, survives executor loss) instead of
     # re-deriving it for every fit.
-    folded = fold_scene(train, k, seed).checkpoint()
-    test = test.checkpoint()
+    folded = cut_lineage(fold_scene(train, k, seed))
+    test = cut_lineage(test)
     preds = None
     for i in range(k):
         tr, _dev = fold_view(folded, i)
@@ -130,7 +131,7 @@ def stack(train: DataFrame, test: DataFrame, features: list[str], label: str = "
     forest on the two level-1 columns.  Everything is keyed by ``key``."""
     va = VectorAssembler(inputCols=features, outputCol="features")
     tr = fold_plain(va.transform(train).select(key, "features", F.col(label).cast("double").alias("label")), k, seed)
-    tr, te = tr.checkpoint(), va.transform(test).select(key, "features").checkpoint()
+    tr, te = cut_lineage(tr), cut_lineage(va.transform(test).select(key, "features"))
     learners = {"lr": lambda: LinearRegression(maxIter=50), "rf": lambda: RandomForestRegressor(numTrees=num_trees, seed=seed)}
     oof_train, oof_test = None, None
     for name, make in learners.items():

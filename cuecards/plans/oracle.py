@@ -438,12 +438,13 @@ WHERE a.model = 'm0'"""
 WITH {PREDS}, {mean}
 SELECT l.doc_id AS id, mean.emotion FROM labels l LEFT JOIN mean ON mean.id = l.doc_id"""
     q["template_report"] = f"""
-WITH {PREDS}, {mean}
+WITH {PREDS}, {mean},
+pc AS (SELECT id, count(*) AS n FROM mean GROUP BY id)
 SELECT count(*) FILTER (WHERE l.doc_id IS NOT NULL) AS template_rows,
-       count(*) FILTER (WHERE l.doc_id IS NOT NULL AND mean.id IS NULL) AS missing,
-       0 AS duplicated,
+       count(*) FILTER (WHERE l.doc_id IS NOT NULL AND pc.id IS NULL) AS missing,
+       count(*) FILTER (WHERE pc.n > 1) AS duplicated,
        count(*) FILTER (WHERE l.doc_id IS NULL) AS extra
-FROM labels l FULL JOIN mean ON mean.id = l.doc_id"""
+FROM labels l FULL JOIN pc ON pc.id = l.doc_id"""
 
     sq = lambda i: f"pow(s{i} - t{i}, 2)"
     flat = f"sqrt(({' + '.join(f'sum({sq(i)})' for i in range(N))}) / (count(*) * {N}))"

@@ -10,6 +10,8 @@ operator (top-k vocabulary, the unlabelled sample).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,8 +79,9 @@ def _labels_table(spark, sf):
             .select(F.col("doc_id").alias("id"), F.concat_ws("-", "quality", "toxic").alias("cls")))
 
 
-def _scratch(spark, name):
-    return f"{checkpoint_dir(spark)}/queries/{name}"
+def _scratch(spark, name, sf):
+    key = hashlib.sha1(sf.encode()).hexdigest()[:12]
+    return f"{checkpoint_dir(spark)}/queries/{name}-{key}"
 
 
 # -- preparation (entry 1) -----------------------------------------------------
@@ -394,13 +397,13 @@ def q_pending(spark, sf):
 
 
 def q_tsv_roundtrip(spark, sf):
-    path = _scratch(spark, f"lines-{abs(hash(sf))}")
+    path = _scratch(spark, "lines", sf)
     files.write_table(_lines(spark, sf), path)
     return files.read_lines(spark, path, labeled=True, multi_line=True).select("id", "content", "character", "emotions")
 
 
 def q_predictions_roundtrip(spark, sf):
-    root = _scratch(spark, f"preds-{abs(hash(sf))}")
+    root = _scratch(spark, "preds", sf)
     preds = _preds(spark, sf)
     for m in MODELS:  # one prediction file (folder) per model, as the reference keeps them
         files.write_table(preds.where(F.col("model") == m).select("id", F.col("scores").alias("emotion")), f"{root}/{m}")
@@ -409,7 +412,7 @@ def q_predictions_roundtrip(spark, sf):
 
 
 def q_ranked_roundtrip(spark, sf):
-    root = _scratch(spark, f"ranked-{abs(hash(sf))}")
+    root = _scratch(spark, "ranked", sf)
     ranked = adapters.ranked_from_events(spark, sf)
     for f in ("0", "1", "2"):
         out = ranked.where(F.col("file") == int(f)).select("key_id", F.array_join("words", " ").alias("word"))

@@ -55,3 +55,14 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def cut_lineage(df):
+    """Reliable checkpoint of ``df`` in the shared checkpoint folder (eager).
+
+    Used where a table is read many times (vocabularies, fold tables of
+    k-fold loops): it is computed once, and a lost executor re-reads the
+    files instead of recomputing the lineage.  Never a local checkpoint.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
