@@ -133,16 +133,17 @@ def combo_text(col: str = "labels"):
 def encode_combos(df: DataFrame, col: str = "labels", out: str = "combo") -> DataFrame:
     """Dense 0-based code per distinct label combination, in text order.
 
-    Six labels of four levels allow at most 4**6 combinations, so the
-    distinct table is bounded and numbering it in one task is safe; it is
-    joined back by broadcast.
+    Valid labels (six of four levels) allow at most 4**6 combinations, so the
+    distinct table is small and numbering it in one task is safe.  It is
+    joined back without a broadcast hint: junk labels could make it larger,
+    and Spark broadcasts it only when its measured size allows.
     """
     d = df.withColumn("_combo_text", combo_text(col))
     codes = (
         d.select("_combo_text").distinct()
         .withColumn(out, (F.row_number().over(Window.orderBy("_combo_text")) - 1).cast("int"))
     )
-    return d.join(F.broadcast(codes), "_combo_text", "left").drop("_combo_text")
+    return d.join(codes, "_combo_text", "left").drop("_combo_text")
 
 
 def sort_lines(df: DataFrame) -> DataFrame:

@@ -11,10 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuecards.constants import CLS_ID, PAD_ID, SEP_ID, VOCAB_SIZE
+from cuecards.operators.sizing import bounded_broadcast
 from cuecards.session import cut_lineage
 
 UNK = "<UNK>"
 PAD = "<PAD>"
+# Whitespace removed from both ends of a text before counting characters
+# (the edges Python's str.strip() removes for ASCII text).
+_WS_CHARS = " \t\n\r\f\x0b"
 _WS = "[ \\t\\n\\r\\f\\x0B]"
 
 
@@ -29,8 +33,9 @@ def chars(col: str | Column) -> Column:
 
 
 def strip_ws(col: str | Column) -> Column:
+    """Remove edge whitespace (a character-set trim, no regex scan)."""
     c = col if isinstance(col, Column) else F.col(col)
-    return F.regexp_replace(c, f"\\A{_WS}+|{_WS}+\\z", "")
+    return F.trim(c, F.lit(_WS_CHARS))
 
 
 def token_counts(df: DataFrame, col: str = "text") -> DataFrame:
@@ -50,19 +55,26 @@ def build_vocab(df: DataFrame, col: str = "text", size: int = VOCAB_SIZE, materi
     broadcast the table do not recount every character of the corpus.
     """
     top = token_counts(df, col).orderBy(F.desc("n"), F.asc("token")).limit(size)
-    ranked = top.withColumn("token_id", (F.row_number().over(Window.orderBy(F.desc("n"), F.asc("token"))) - 1).cast("int"))
-    specials = ranked.agg(F.count(F.lit(1)).alias("v")).select(F.explode(F.array(
-        F.struct(F.lit(UNK).alias("token"), F.col("v").cast("int").alias("token_id"), F.lit(0).cast("long").alias("n")),
-        F.struct(F.lit(PAD).alias("token"), (F.col("v") + 1).cast("int").alias("token_id"), F.lit(0).cast("long").alias("n")),
-    )).alias("s")).select("s.*")
-    vocab = ranked.select("token", "token_id", "n").unionByName(specials)
+    w = Window.orderBy(F.desc("n"), F.asc("token"))
+    ranked = (top.withColumn("token_id", (F.row_number().over(w) - 1).cast("int"))
+              .withColumn("_v", F.count(F.lit(1)).over(Window.partitionBy())))
+    # The last numbered row also emits <UNK> = V and <PAD> = V + 1, so the
+    # specials need no second pass over the corpus.
+    row = F.struct("token", "token_id", "n")
+    specials = F.array(
+        row,
+        F.struct(F.lit(UNK).alias("token"), F.col("_v").cast("int").alias("token_id"), F.lit(0).cast("long").alias("n")),
+        F.struct(F.lit(PAD).alias("token"), (F.col("_v") + 1).cast("int").alias("token_id"), F.lit(0).cast("long").alias("n")),
+    )
+    vocab = ranked.select(F.explode(F.when(F.col("token_id") == F.col("_v") - 1, specials)
+                                    .otherwise(F.array(row))).alias("r")).select("r.*")
     return cut_lineage(vocab) if materialize else vocab
 
 
 def special_ids(vocab: DataFrame) -> tuple[int, int]:
     """``(<UNK>, <PAD>)`` ids: a two-row lookup, the only values fetched to the driver."""
     got = {r["token"]: r["token_id"] for r in vocab.where(F.col("token").isin(UNK, PAD)).select("token", "token_id").collect()}
-    return int(got[UNK]), int(got[PAD])
+    return int(got.get(UNK, 0)), int(got.get(PAD, 1))  # an empty corpus has no specials rows
 
 
 def encode_chars(df: DataFrame, vocab: DataFrame, max_len: int, col: str = "text", key: str = "id",
@@ -78,8 +90,10 @@ def encode_chars(df: DataFrame, vocab: DataFrame, max_len: int, col: str = "text
     """
     if unk_id is None or pad_id is None:
         unk_id, pad_id = special_ids(vocab)
-    toks = df.select(key, F.posexplode_outer(F.slice(chars(col), 1, max_len)).alias("pos", "token"))
-    lookup = F.broadcast(vocab.where(~F.col("token").isin(UNK, PAD)).select("token", "token_id"))
+    # substring counts code points, so cutting before splitting yields the
+    # same first max_len tokens without splitting the rest of a long text.
+    toks = df.select(key, F.posexplode_outer(chars(F.substring(col, 1, max_len))).alias("pos", "token"))
+    lookup = bounded_broadcast(vocab.where(~F.col("token").isin(UNK, PAD)).select("token", "token_id"))
     j = toks.join(lookup, "token", "left")
     grouped = j.groupBy(key).agg(
         F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(),

@@ -1,0 +1,18 @@
+"""Broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup table of this many rows (a few columns) stays well under typical
+# executor memory when copied to every task.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``
+    unchanged (a shuffle join; Spark may still broadcast it at run time if its
+    measured size is under the threshold).  Costs one count of a small table;
+    tables built by this library (vocabularies) are already materialised."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
