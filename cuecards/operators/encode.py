@@ -7,6 +7,8 @@ literal.  Per-row work is bounded by the row's own characters.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,32 +79,52 @@ def special_ids(vocab: DataFrame) -> tuple[int, int]:
     return int(got.get(UNK, 0)), int(got.get(PAD, 1))  # an empty corpus has no specials rows
 
 
+def _by_key(df: DataFrame, key: str, text: Column, carry) -> DataFrame:
+    """``(key, _text, *carry)`` hash-partitioned by ``key``.
+
+    The text rows are shuffled *before* they are exploded into characters:
+    the exploded rows (one per character, several ints wide) then flow through
+    the lookup join and back into one row per key inside the same stage, with
+    no exchange of their own.  Keys are line ids, so no group is hot.
+    """
+    return df.select(key, text.alias("_text"), *carry).repartition(key)
+
+
+def _regroup(rows: DataFrame, key: str, item: Column, carry) -> DataFrame:
+    """One row per key: the ``(pos, ...)`` items sorted by position, carried
+    columns passed through (one value per key: keys are unique)."""
+    return rows.groupBy(key).agg(
+        F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), item))).alias("_s"),
+        *[F.first(c).alias(c) for c in carry],
+    )
+
+
 def encode_chars(df: DataFrame, vocab: DataFrame, max_len: int, col: str = "text", key: str = "id",
                  pad: bool = True, out: str = "input_ids", unk_id: int | None = None,
-                 pad_id: int | None = None) -> DataFrame:
+                 pad_id: int | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """E1 (with J3): first ``max_len`` characters -> vocabulary ids, unknown ->
     ``<UNK>``, right-padded with ``<PAD>`` to ``max_len`` when ``pad``.
 
     The text is not stripped here (only the vocabulary strips), so edge
     whitespace may map to ``<UNK>``.  Rows with empty text keep an all-pad row.
-    The exploded characters are narrow ``(key, pos, id)`` rows; regrouping them
-    by key is one shuffle of at most ``max_len`` small rows per text.
+    Only the first ``max_len`` characters of each text are shuffled (once, by
+    key); ``carry`` names columns of ``df`` to pass through, so callers need
+    no join back.
     """
     if unk_id is None or pad_id is None:
         unk_id, pad_id = special_ids(vocab)
+    carry = list(carry)
     # substring counts code points, so cutting before splitting yields the
     # same first max_len tokens without splitting the rest of a long text.
-    toks = df.select(key, F.posexplode_outer(chars(F.substring(col, 1, max_len))).alias("pos", "token"))
+    d = _by_key(df, key, F.substring(col, 1, max_len), carry)
+    toks = d.select(key, *carry, F.posexplode_outer(chars("_text")).alias("pos", "token"))
     lookup = bounded_broadcast(vocab.where(~F.col("token").isin(UNK, PAD)).select("token", "token_id"))
     j = toks.join(lookup, "token", "left")
-    grouped = j.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(),
-                                           F.struct("pos", F.coalesce("token_id", F.lit(unk_id)).alias("t"))))).alias("_s")
-    )
+    grouped = _regroup(j, key, F.struct("pos", F.coalesce("token_id", F.lit(unk_id)).alias("t")), carry)
     ids = F.transform("_s", lambda s: s["t"])
     if pad:
         ids = F.concat(ids, F.array_repeat(F.lit(pad_id), F.lit(max_len) - F.size(ids)))
-    return grouped.select(key, ids.alias(out))
+    return grouped.select(key, *carry, ids.alias(out))
 
 
 def pack_single(df: DataFrame, ids: str = "input_ids", max_len: int = 110, cls: int = CLS_ID,
@@ -204,11 +226,16 @@ def char_features(df: DataFrame, table: DataFrame, width: int = 8, col: str = "t
     """Per character a fixed-width id list from a ``(token, ids array<int>)``
     dictionary, zero-filled when the character is missing.  The dictionary is
     user data of unknown size: plain join, Spark broadcasts it only when its
-    measured size allows."""
-    cs = chars(col) if max_len is None else F.slice(chars(col), 1, max_len)
-    toks = df.select(key, F.posexplode_outer(cs).alias("pos", "token"))
+    measured size allows (then the texts are shuffled once, by key, and
+    nothing per character is shuffled)."""
+    text = F.col(col) if max_len is None else F.substring(col, 1, max_len)
+    toks = _by_key(df, key, text, []).select(key, F.posexplode_outer(chars("_text")).alias("pos", "token"))
     j = toks.join(table.select("token", "ids"), "token", "left")
-    fixed = F.concat(F.slice(F.coalesce("ids", F.array().cast("array<int>")), 1, width),
-                     F.array_repeat(F.lit(0), F.lit(width) - F.size(F.slice(F.coalesce("ids", F.array().cast("array<int>")), 1, width))))
-    g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", fixed.alias("f"))))).alias("_s"))
-    return g.select(key, F.transform("_s", lambda s: s["f"]).alias(out))
+    # regroup the dictionary's own lists (narrow rows), pad to width after
+    g = _regroup(j, key, F.struct("pos", F.slice("ids", 1, width).alias("f")), [])
+
+    def fixed(s):
+        f = F.coalesce(s["f"], F.array().cast("array<int>"))
+        return F.concat(f, F.array_repeat(F.lit(0), F.lit(width) - F.size(f)))
+
+    return g.select(key, F.transform("_s", fixed).alias(out))

@@ -246,8 +246,9 @@ def q_pack_single(spark, sf):
 
 def _pair(spark, sf, max_len):
     d = _labelled(spark, sf)
-    enc = encode.encode_chars(d.select("id", F.col("content").alias("text")), _vocab(spark, sf), MAX_LEN, pad=False)
-    p = encode.pack_pair(enc.join(d.select("id", "labels"), "id"), "input_ids", "labels", max_len)
+    enc = encode.encode_chars(d.select("id", F.col("content").alias("text"), "labels"), _vocab(spark, sf), MAX_LEN,
+                              pad=False, carry=["labels"])
+    p = encode.pack_pair(enc, "input_ids", "labels", max_len)
     cols = ["pair_ids", "pair_mask", "pair_segments", "pair_marks", "doc_positions", "label_positions"]
     return p.select("id", *[ints_text(c).alias(c) for c in cols])
 
