@@ -1,13 +1,14 @@
 """Combining prediction tables.
 
 Predictions are long ``(model, id, scores array<double>)`` and are always
-matched by id.  A group here is one id: it holds one row per input file, so
-per-id collections are bounded by the number of files.
+matched by id.  Nothing is collected per id or key: means, votes and
+rankings are partial aggregates, so an id repeated in many rows is combined
+map-side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cuecards.constants import RANK_WEIGHT_BASE
@@ -61,25 +62,27 @@ def weighted_vote(preds: DataFrame, weights, label_weights=None, n: int = N_LABE
     value with the largest total wins, a tie goes to the value of the earliest
     file in ``weights`` order.  Values are compared as given - bucketize
     scores first for integer votes.  Works for any value, not only one digit.
+
+    Two partial aggregates, no per-id collection: totals per (id, position,
+    value), then per id and position the minimum of ``(value is null,
+    -total, first file, value)``.  An id duplicated across many rows is
+    combined map-side like any other.
     """
-    lw = list(label_weights or [1.0] * n)
+    lw = F.array(*[F.lit(float(x)) for x in (label_weights or [1.0] * n)])
     w = _weights(preds.sparkSession, weights, "model")
-    g = (preds.join(F.broadcast(w), "model", "inner").groupBy("id")
-         .agg(F.collect_list(F.struct("_order", "_w", F.col("scores").alias("s"))).alias("_v")))
-
-    def winner(p: int):
-        votes = F.col("_v")
-        cands = F.array_distinct(F.transform(votes, lambda x: x["s"][p]))
-
-        def score(c):
-            same = F.filter(votes, lambda x: x["s"][p] == c)
-            total = F.aggregate(same, F.lit(0.0), lambda acc, x: acc + x["_w"] * F.lit(float(lw[p])))
-            first = F.array_min(F.transform(same, lambda x: x["_order"]))
-            return F.struct((-F.round(total, 9)).alias("neg"), first.alias("first"), c.alias("value"))
-
-        return F.get(F.sort_array(F.transform(F.filter(cands, lambda c: c.isNotNull()), score)), 0)["value"]
-
-    return g.select("id", F.array(*[winner(p) for p in range(n)]).alias("scores"))
+    cells = (preds.join(F.broadcast(w), "model", "inner")
+             .select("id", "_order", "_w", F.posexplode_outer(F.slice("scores", 1, n)).alias("pos", "value")))
+    totals = cells.groupBy("id", "pos", "value").agg(
+        F.round(F.sum(F.col("_w") * F.get(lw, F.col("pos"))), 9).alias("_t"),
+        F.min("_order").alias("_f"),
+    )
+    best = totals.groupBy("id").agg(*[
+        F.min(F.when(F.col("pos") == p, F.struct(
+            F.col("value").isNull().alias("_nul"), (-F.col("_t")).alias("_neg"), F.col("_f").alias("_first"),
+            F.col("value").alias("value")))).alias(f"_p{p}")
+        for p in range(n)
+    ])
+    return best.select("id", F.array(*[F.col(f"_p{p}.value") for p in range(n)]).alias("scores"))
 
 
 def rank_vote(ranked: DataFrame, weights, top: int = 3, base: int = RANK_WEIGHT_BASE) -> DataFrame:
@@ -89,30 +92,27 @@ def rank_vote(ranked: DataFrame, weights, top: int = 3, base: int = RANK_WEIGHT_
     ``top`` best totals win, ties go to the word seen first in (file order,
     rank) order.  Totals are rounded to 9 places so float summation order
     cannot break ties differently on another engine.
+
+    Totals are a partial aggregate per (key, word); the ``top`` per key come
+    from a ``row_number`` filter, which Spark limits per group *before* the
+    shuffle, so a key with many rows or words sends at most ``top`` rows per
+    task.  Keys whose lists are all empty keep an empty result.
     """
     w = _weights(ranked.sparkSession, weights, "file")
-    g = (ranked.withColumn("file", F.col("file").cast("string")).join(F.broadcast(w), "file", "inner")
-         .groupBy("key_id").agg(F.collect_list(F.struct("_order", "_w", "words")).alias("_v")))
-    entries = F.flatten(F.transform(
-        F.col("_v"),
-        lambda x: F.transform(x["words"], lambda t, i: F.struct(
-            x["_order"].alias("o"), i.alias("r"), t.alias("token"),
-            ((F.lit(base) - i) * x["_w"]).alias("wt"))),
-    ))
-
-    def score(t):
-        same = F.filter(F.col("_e"), lambda e: e["token"] == t)
-        total = F.aggregate(same, F.lit(0.0), lambda acc, e: acc + e["wt"])
-        first = F.array_min(F.transform(same, lambda e: F.struct(e["o"], e["r"])))
-        return F.struct((-F.round(total, 9)).alias("neg"), first.alias("first"), t.alias("token"),
-                        F.round(total, 9).alias("total"))
-
-    scored = F.sort_array(F.transform(F.array_distinct(F.transform(F.col("_e"), lambda e: e["token"])), score))
-    best = F.slice(scored, 1, top)
-    return g.withColumn("_e", entries).select(
+    entries = (ranked.withColumn("file", F.col("file").cast("string")).join(F.broadcast(w), "file", "inner")
+               .select("key_id", "_order", "_w", F.posexplode_outer("words").alias("r", "token")))
+    totals = entries.groupBy("key_id", "token").agg(
+        F.round(F.sum((F.lit(base) - F.col("r")) * F.col("_w")), 9).alias("total"),
+        F.min(F.struct(F.col("_order").alias("o"), F.col("r").alias("r"))).alias("_first"),
+    )
+    order = Window.partitionBy("key_id").orderBy(F.col("token").isNull(), F.desc("total"), "_first", "token")
+    best = totals.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= top)
+    g = best.groupBy("key_id").agg(F.sort_array(F.collect_list(
+        F.when(F.col("token").isNotNull(), F.struct("_rn", "token", "total")))).alias("_b"))
+    return g.select(
         "key_id",
-        F.array_join(F.transform(best, lambda s: s["token"]), " ").alias("word"),
-        F.transform(best, lambda s: s["total"]).alias("totals"),
+        F.array_join(F.transform("_b", lambda s: s["token"]), " ").alias("word"),
+        F.transform("_b", lambda s: s["total"]).alias("totals"),
     )
 
 

@@ -60,3 +60,54 @@ def test_model_corr_diagonal(spark):
                               "model string, id long, scores array<double>")
     got = {(r.model_a, r.model_b): r.corr for r in ensemble.model_corr(p, ["a", "b"], 2).collect()}
     assert got[("a", "a")] == 1.0 and got[("a", "b")] == got[("b", "a")]
+
+
+def _brute_vote(rows, weights, n):
+    order = {m: i for i, (m, _) in enumerate(weights)}
+    wt = dict(weights)
+    out = {}
+    for key in {r[1] for r in rows}:
+        res = []
+        for p in range(n):
+            tot, first = {}, {}
+            for m, k, s in rows:
+                if k == key and m in wt and s[p] is not None:
+                    tot[s[p]] = tot.get(s[p], 0.0) + wt[m]
+                    first[s[p]] = min(first.get(s[p], 99), order[m])
+            res.append(min(tot, key=lambda v: (-round(tot[v], 9), first[v], v)) if tot else None)
+        out[key] = res
+    return out
+
+
+def _brute_rank(rows, weights, top, base=5):
+    order = {m: i for i, (m, _) in enumerate(weights)}
+    wt = dict(weights)
+    out = {}
+    for key in {r[1] for r in rows}:
+        tot, first = {}, {}
+        for f, k, words in rows:
+            if k == key and f in wt:
+                for r, t in enumerate(words):
+                    tot[t] = tot.get(t, 0.0) + (base - r) * wt[f]
+                    first[t] = min(first.get(t, (99, 99)), (order[f], r))
+        best = sorted(tot, key=lambda t: (-round(tot[t], 9), first[t], t))[:top]
+        out[key] = " ".join(best)
+    return out
+
+
+def test_votes_with_a_hot_key(spark):
+    # one id / key holds most rows (files repeat it): results stay exact
+    import random
+    rnd = random.Random(7)
+    weights = [("a", 2.0), ("b", 1.8), ("c", 1.6)]
+    rows = [(rnd.choice("abc"), 0 if i % 3 else rnd.randrange(1, 40), [rnd.randrange(4) for _ in range(3)])
+            for i in range(1500)]
+    p = spark.createDataFrame(rows, "model string, id long, scores array<int>").repartition(7)
+    got = {r.id: r.scores for r in ensemble.weighted_vote(p, weights, n=3).collect()}
+    assert got == _brute_vote(rows, weights, 3)
+
+    words = ["w%02d" % i for i in range(60)]
+    ranked = [(f, k, rnd.sample(words, 3)) for f, k, _ in rows]
+    df = spark.createDataFrame(ranked, "file string, key_id long, words array<string>").repartition(7)
+    got = {r.key_id: r.word for r in ensemble.rank_vote(df, weights).collect()}
+    assert got == _brute_rank(ranked, weights, 3)
