@@ -91,12 +91,11 @@ def _by_key(df: DataFrame, key: str, text: Column, carry) -> DataFrame:
 
 
 def _regroup(rows: DataFrame, key: str, item: Column, carry) -> DataFrame:
-    """One row per key: the ``(pos, ...)`` items sorted by position, carried
-    columns passed through (one value per key: keys are unique)."""
-    return rows.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), item))).alias("_s"),
-        *[F.first(c).alias(c) for c in carry],
-    )
+    """One row per key (and carried values): the ``(pos, ...)`` items sorted by
+    position.  Grouping on the carried columns too keeps the result exact if a
+    key repeats, and needs no exchange: the rows are already partitioned by key."""
+    return rows.groupBy(key, *carry).agg(
+        F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), item))).alias("_s"))
 
 
 def encode_chars(df: DataFrame, vocab: DataFrame, max_len: int, col: str = "text", key: str = "id",
