@@ -118,4 +118,5 @@ def format_scores(col: str | Column, digits: int = 6) -> Column:
 
 def ints_text(col: str | Column) -> Column:
     """Comma-joined ints (for sinks and order-insensitive comparisons)."""
-    return F.array_join(F.transform(_c(col), lambda x: x.cast("string")), ",")
+    # one array cast (compiled), not a per-element lambda
+    return F.array_join(_c(col).cast("array<string>"), ",")
