@@ -20,6 +20,29 @@ def _csv(spark: SparkSession, sep: str):
     )
 
 
+def line_schema(labeled: bool = True) -> T.StructType:
+    """The line fields plus one extra column ``_extra``: a row is too long
+    exactly when a field lands there (see ``apply_line_rule``)."""
+    fields = LABELED_FIELDS if labeled else UNLABELED_FIELDS
+    return T.StructType([T.StructField(f, T.StringType(), True) for f in fields + ["_extra"]])
+
+
+def apply_line_rule(raw: DataFrame, labeled: bool = True, null_tokens=(), skip_bad: bool = True) -> DataFrame:
+    """Over-long rows dropped (or flagged ``_too_long``), short rows kept with
+    nulls, ``null_tokens`` read as null; works on batch and streaming reads."""
+    fields = LABELED_FIELDS if labeled else UNLABELED_FIELDS
+    too_long = F.col("_extra").isNotNull()
+    if skip_bad:
+        out = raw.where(~too_long).drop("_extra")
+    else:
+        out = raw.withColumn("_too_long", too_long).drop("_extra")
+    tokens = list(null_tokens)
+    if tokens:
+        for f in fields[1:]:
+            out = out.withColumn(f, F.when(~F.col(f).isin(tokens), F.col(f)))
+    return out
+
+
 def read_lines(spark: SparkSession, path: str, labeled: bool = True, null_tokens=(),
                skip_bad: bool = True, sep: str = "\t", multi_line: bool = False) -> DataFrame:
     """Read a line table with header: ``id, content, character[, emotions]``.
@@ -35,19 +58,9 @@ def read_lines(spark: SparkSession, path: str, labeled: bool = True, null_tokens
     ``"NA"``) read as null in every column but ``id``.  With
     ``skip_bad=False`` every row is kept and ``_too_long`` flags the bad ones.
     """
-    fields = LABELED_FIELDS if labeled else UNLABELED_FIELDS
-    schema = T.StructType([T.StructField(f, T.StringType(), True) for f in fields + ["_extra"]])
-    raw = _csv(spark, sep).option("multiLine", multi_line).option("mode", "PERMISSIVE").schema(schema).csv(path)
-    too_long = F.col("_extra").isNotNull()
-    if skip_bad:
-        out = raw.where(~too_long).drop("_extra")
-    else:
-        out = raw.withColumn("_too_long", too_long).drop("_extra")
-    tokens = list(null_tokens)
-    if tokens:
-        for f in fields[1:]:
-            out = out.withColumn(f, F.when(~F.col(f).isin(tokens), F.col(f)))
-    return out
+    raw = (_csv(spark, sep).option("multiLine", multi_line).option("mode", "PERMISSIVE")
+           .schema(line_schema(labeled)).csv(path))
+    return apply_line_rule(raw, labeled, null_tokens, skip_bad)
 
 
 def _source_name(name_from: str):

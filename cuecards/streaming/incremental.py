@@ -16,27 +16,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cuecards.session import checkpoint_dir
-from cuecards.sources.files import LABELED_FIELDS, UNLABELED_FIELDS
+from cuecards.sources.files import apply_line_rule, line_schema
 
 
 def process_new_files(spark: SparkSession, source: str, out: str, transform: Callable[[DataFrame], DataFrame],
                       labeled: bool = True, name: str = "lines", checkpoint: str | None = None,
                       sep: str = "\t", max_files_per_batch: int | None = None,
-                      wait: bool = True) -> StreamingQuery:
+                      wait: bool = True, null_tokens=()) -> StreamingQuery:
     """Run ``transform`` over every not-yet-processed line file under ``source``
     and append the result to Parquet at ``out``.
 
     Uses ``availableNow``: everything present is processed (in batches of at
     most ``max_files_per_batch`` files), then the query stops; the next call
-    picks up only new files.
+    picks up only new files.  Rows follow ``read_lines``: over-long rows are
+    dropped, short rows kept with nulls, ``null_tokens`` read as null.
     """
-    fields = LABELED_FIELDS if labeled else UNLABELED_FIELDS
-    schema = ", ".join(f"{f} string" for f in fields)
-    reader = (spark.readStream.schema(schema).option("header", True).option("sep", sep)
-              .option("quote", '"').option("escape", '"').option("mode", "DROPMALFORMED"))
+    reader = (spark.readStream.schema(line_schema(labeled)).option("header", True).option("sep", sep)
+              .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    stream = transform(reader.csv(source))
+    # the batch reader's row rule: over-long rows dropped, short rows kept
+    stream = transform(apply_line_rule(reader.csv(source), labeled, null_tokens))
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{name}"
     q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
          .outputMode("append").trigger(availableNow=True).start())

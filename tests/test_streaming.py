@@ -22,3 +22,17 @@ def test_resume_processes_each_file_once(spark, tmp_path):
     got = spark.read.parquet(str(out))
     assert got.count() == 3 and got.select("id").distinct().count() == 3
     assert got.where(F.col("id") == "1_0002_A_3").first().text == "1_0002_A:z:more"
+
+
+def test_stream_keeps_short_rows_and_drops_long_ones(spark, tmp_path):
+    # same row rule as the batch reader: fewer fields -> nulls, more -> dropped
+    src, out, ck = tmp_path / "in", tmp_path / "out", tmp_path / "ck"
+    src.mkdir()
+    body = ("id\tcontent\tcharacter\temotions\n"
+            "1_0001_A_1\tfull\tx\t0,0,0,0,0,0\n"
+            "1_0001_A_2\tshort\ty\n"
+            "1_0001_A_3\tlong\tz\t0,0,0,0,0,0\tspill\n")
+    (src / "a.tsv").write_text(body, encoding="utf-8")
+    process_new_files(spark, str(src), str(out), lambda d: d, checkpoint=str(ck))
+    got = {r.id: r.emotions for r in spark.read.parquet(str(out)).collect()}
+    assert got == {"1_0001_A_1": "0,0,0,0,0,0", "1_0001_A_2": None}
