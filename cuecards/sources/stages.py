@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from cuecards.session import checkpoint_dir
@@ -16,20 +15,28 @@ def stage_path(root: str, stage: str, params: dict) -> str:
     return f"{root.rstrip('/')}/{stage}-{key}"
 
 
+def _committed(spark, path: str) -> bool:
+    """True when a write to ``path`` finished: the job commit leaves ``_SUCCESS``."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return bool(marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker))
+
+
 def materialise(df: DataFrame, stage: str, params: dict | None = None, root: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under a path keyed by the stage parameters
     and return the table read back; later calls with the same parameters read
     the existing table.  The default root is the shared checkpoint folder, so
     it also cuts lineage and survives executor loss.
+
+    A table counts as present only when its write committed (``_SUCCESS``);
+    the leftovers of a job that died mid-write are overwritten, never read.
     """
     spark = df.sparkSession
     root = root or f"{checkpoint_dir(spark)}/stages"
     path = stage_path(root, stage, params or {})
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        df.write.mode("ignore").parquet(path)
-        return spark.read.parquet(path)
+    if not _committed(spark, path):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def pending(df: DataFrame, done: DataFrame, key: str | list[str] = "id") -> DataFrame:

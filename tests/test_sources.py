@@ -58,3 +58,13 @@ def test_materialise_and_pending(spark, tmp_path):
     assert a.count() == 10 and b.count() == 10  # second call reads the stage table
     done = spark.range(4).withColumnRenamed("id", "k")
     assert sorted(r.k for r in stages.pending(df, done, "k").collect()) == list(range(4, 10))
+
+
+def test_materialise_replaces_an_uncommitted_write(spark, tmp_path):
+    # a job that died mid-write leaves part files but no _SUCCESS marker
+    path = stages.stage_path(str(tmp_path), "nums", {"n": 5})
+    spark.range(2).withColumnRenamed("id", "k").write.parquet(path)
+    import os
+    os.remove(os.path.join(path, "_SUCCESS"))
+    got = stages.materialise(spark.range(5).withColumnRenamed("id", "k"), "nums", {"n": 5}, root=str(tmp_path))
+    assert sorted(r.k for r in got.collect()) == list(range(5))
