@@ -79,3 +79,17 @@ def test_same_rows_at_1_and_16_shuffle_partitions(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert got[0] == got[1]
+
+
+def test_broadcast_only_within_the_row_cap(spark):
+    from cuecards.operators.sizing import bounded_broadcast
+
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+
+    def hinted(side):
+        plan = big.join(side, "k")._jdf.queryExecution().analyzed().toString()
+        return "ResolvedHint (strategy=broadcast)" in plan
+
+    assert hinted(bounded_broadcast(small, max_rows=10))
+    assert not hinted(bounded_broadcast(small, max_rows=9))
