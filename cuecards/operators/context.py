@@ -133,16 +133,19 @@ def combo_text(col: str = "labels"):
 def encode_combos(df: DataFrame, col: str = "labels", out: str = "combo") -> DataFrame:
     """Dense 0-based code per distinct label combination, in text order.
 
-    Valid labels (six of four levels) allow at most 4**6 combinations, so the
-    distinct table is small and numbering it in one task is safe.  It is
-    joined back without a broadcast hint: junk labels could make it larger,
-    and Spark broadcasts it only when its measured size allows.
+    Valid labels (six of four levels) allow at most 4**6 combinations, but
+    junk labels could make the distinct table large, so it is numbered like
+    any other group: in sub-buckets of the text's first 12 characters (a
+    prefix sorts like the text), whose counts give offsets.  It is joined
+    back without a broadcast hint; Spark broadcasts it when its measured size
+    allows.
     """
     d = df.withColumn("_combo_text", combo_text(col))
-    codes = (
-        d.select("_combo_text").distinct()
-        .withColumn(out, (F.row_number().over(Window.orderBy("_combo_text")) - 1).cast("int"))
-    )
+    # a null label vector gets a null code and uses up none
+    ranked = rank_within(d.select("_combo_text").where(F.col("_combo_text").isNotNull()).distinct(),
+                         [], [F.col("_combo_text")],
+                         F.substring("_combo_text", 1, 12), rank="_r", total="_nc")
+    codes = ranked.select("_combo_text", (F.col("_r") - 1).cast("int").alias(out))
     return d.join(codes, "_combo_text", "left").drop("_combo_text")
 
 

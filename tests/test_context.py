@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cuecards.functions import parse_line_id, render_labels, parse_labels
 from cuecards.functions.text import fill_nulls
+from cuecards.operators import context
 from cuecards.operators.context import attach_context, attach_context_labelled, position_in_scene
 
 
@@ -74,3 +75,15 @@ def test_labelled_context(spark, lines_df):
 def test_position_in_scene(spark, lines_df):
     got = {r.id: (r.pos, r.scene_rows) for r in position_in_scene(parse_line_id(lines_df), block=1).collect()}
     assert got["100_0001_A_2"] == (2, 2) and got["100_0002_A_3"] == (1, 1)
+
+
+def test_encode_combos_dense_text_order(spark):
+    # valid, junk (level 7, seven entries) and null label vectors
+    labels = [[0, 1, 0, 0, 0, 0], [3, 0, 0, 0, 0, 0], [0, 1, 0, 0, 0, 0], [7, 0, 0, 0, 0, 0],
+              [0, 0, 0, 0, 0, 0, 1], None, [0, 0, 0, 0, 0, 0]]
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(labels)], "id string, labels array<int>")
+    got = {r.id: r.combo for r in context.encode_combos(df).collect()}
+    texts = sorted({"[" + ", ".join(map(str, v)) + "]" for v in labels if v is not None})
+    want = {str(i): (texts.index("[" + ", ".join(map(str, v)) + "]") if v is not None else None)
+            for i, v in enumerate(labels)}
+    assert got == want
