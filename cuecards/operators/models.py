@@ -123,15 +123,10 @@ def cv_ensemble(train: DataFrame, test: DataFrame, k: int = 5, seed: int = 2021,
     return fold_mean(preds, lo, hi)
 
 
-def stack(train: DataFrame, test: DataFrame, features: list[str], label: str = "label", key: str = "id",
-          k: int = 5, seed: int = 42, num_trees: int = 20) -> DataFrame:
-    """M5: out-of-fold stacking.  Level 1: linear and random-forest regressors;
-    each row of ``train`` gets the prediction of the model that did not see
-    it (D6 folds), ``test`` gets the mean over fold models; level 2: a random
-    forest on the two level-1 columns.  Everything is keyed by ``key``."""
-    va = VectorAssembler(inputCols=features, outputCol="features")
-    tr = fold_plain(va.transform(train).select(key, "features", F.col(label).cast("double").alias("label")), k, seed)
-    tr, te = cut_lineage(tr), cut_lineage(va.transform(test).select(key, "features"))
+def _level1(tr: DataFrame, te: DataFrame | None, key: str, k: int, seed: int, num_trees: int):
+    """Level 1 of M5 over fold-tagged ``tr``: out-of-fold predictions per
+    learner column, and (when ``te`` is given) the mean of the fold models'
+    predictions on ``te``."""
     learners = {"lr": lambda: LinearRegression(maxIter=50), "rf": lambda: RandomForestRegressor(numTrees=num_trees, seed=seed)}
     oof_train, oof_test = None, None
     for name, make in learners.items():
@@ -140,13 +135,41 @@ def stack(train: DataFrame, test: DataFrame, features: list[str], label: str = "
             fit_on, held = fold_view(tr, i)
             m = make().fit(fit_on)
             a = m.transform(held).select(key, F.col("prediction").alias(name))
-            b = m.transform(te).select(key, F.col("prediction").alias(name))
             parts_tr = a if parts_tr is None else parts_tr.unionByName(a)
-            parts_te = b if parts_te is None else parts_te.unionByName(b)
-        mean_te = parts_te.groupBy(key).agg(F.avg(name).alias(name))
+            if te is not None:
+                b = m.transform(te).select(key, F.col("prediction").alias(name))
+                parts_te = b if parts_te is None else parts_te.unionByName(b)
         oof_train = parts_tr if oof_train is None else oof_train.join(parts_tr, key)
-        oof_test = mean_te if oof_test is None else oof_test.join(mean_te, key)
-    va2 = VectorAssembler(inputCols=list(learners), outputCol="features")
+        if te is not None:
+            mean_te = parts_te.groupBy(key).agg(F.avg(name).alias(name))
+            oof_test = mean_te if oof_test is None else oof_test.join(mean_te, key)
+    return list(learners), oof_train, oof_test
+
+
+def _folded(train: DataFrame, features: list[str], label: str, key: str, k: int, seed: int) -> DataFrame:
+    va = VectorAssembler(inputCols=features, outputCol="features")
+    return cut_lineage(fold_plain(va.transform(train).select(key, "features", F.col(label).cast("double").alias("label")),
+                                  k, seed))
+
+
+def out_of_fold(train: DataFrame, features: list[str], label: str = "label", key: str = "id", k: int = 5,
+                seed: int = 42, num_trees: int = 20) -> DataFrame:
+    """M5 level 1 alone: ``(key, lr, rf)``, each row of ``train`` predicted by
+    the fold models that did not see it (D6 folds)."""
+    _, oof, _ = _level1(_folded(train, features, label, key, k, seed), None, key, k, seed, num_trees)
+    return oof
+
+
+def stack(train: DataFrame, test: DataFrame, features: list[str], label: str = "label", key: str = "id",
+          k: int = 5, seed: int = 42, num_trees: int = 20) -> DataFrame:
+    """M5: out-of-fold stacking.  Level 1: linear and random-forest regressors;
+    each row of ``train`` gets the prediction of the model that did not see
+    it (D6 folds), ``test`` gets the mean over fold models; level 2: a random
+    forest on the two level-1 columns.  Everything is keyed by ``key``."""
+    tr = _folded(train, features, label, key, k, seed)
+    te = cut_lineage(VectorAssembler(inputCols=features, outputCol="features").transform(test).select(key, "features"))
+    names, oof_train, oof_test = _level1(tr, te, key, k, seed, num_trees)
+    va2 = VectorAssembler(inputCols=names, outputCol="features")
     level2_train = va2.transform(oof_train.join(tr.select(key, "label"), key))
     top = RandomForestRegressor(numTrees=num_trees, seed=seed).fit(level2_train)
-    return top.transform(va2.transform(oof_test)).select(key, *learners, F.col("prediction"))
+    return top.transform(va2.transform(oof_test)).select(key, *names, F.col("prediction"))

@@ -331,6 +331,11 @@ SELECT id, CASE WHEN fold = 0 THEN 'dev' ELSE 'train' END AS part FROM fs"""
 WITH lt AS (SELECT doc_id AS id, concat_ws('-', quality, toxic) AS cls FROM labels)
 SELECT id, cls, CAST((row_number() OVER (ORDER BY cls, {_hash_order('id', SEED)}, id) - 1) % 5 AS INTEGER) AS fold
 FROM lt"""
+    # M5 coverage: the training side of the 80/20 split, each id once
+    q["stack_oof"] = f"""
+WITH r AS (SELECT vec_id AS id, row_number() OVER (ORDER BY {_hash_order('vec_id', 42)}, vec_id) AS rn,
+                  count(*) OVER () AS n FROM embeddings)
+SELECT id, CAST(1 AS BIGINT) AS n_oof FROM r WHERE rn > ceil(n * 0.2)"""
     q["fold_plain"] = f"""
 SELECT doc_id AS id, CAST((row_number() OVER (ORDER BY {_hash_order('doc_id', 42)}, doc_id) - 1) % 5 AS INTEGER) AS fold
 FROM labels"""

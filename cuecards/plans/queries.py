@@ -463,16 +463,27 @@ def q_cv_ensemble(spark, sf):
     return out.select("id", format_scores("scores").alias("scores"), "n_files")
 
 
-def q_stack(spark, sf):
+def _stack_input(spark, sf):
     emb = spark.read.parquet(f"{sf}/embeddings.parquet")
     h = F.md5(F.col("vec_id").cast("string"))
     d = emb.select(F.col("vec_id").alias("id"), *[F.get("embedding", i).cast("double").alias(f"x{i}") for i in range(10)],
                    (F.substring(h, 1, 1) >= "a").cast("int").alias("label"))
-    d = splits.split_random(d, 0.2, 42)
+    return splits.split_random(d, 0.2, 42)
+
+
+def q_stack(spark, sf):
+    d = _stack_input(spark, sf)
     out = models.stack(d.where(~F.col("is_dev")), d.where("is_dev"), [f"x{i}" for i in range(10)], "label", k=5)
     return out.select("id", *[F.round(c, 6).alias(c) for c in ("lr", "rf", "prediction")])
 
 
+def q_stack_oof(spark, sf):
+    """M5 coverage: every training row gets exactly one out-of-fold row."""
+    d = _stack_input(spark, sf)
+    oof = models.out_of_fold(d.where(~F.col("is_dev")), [f"x{i}" for i in range(10)], "label", k=5)
+    return oof.groupBy("id").agg(F.count(F.lit(1)).alias("n_oof"))
+
+
 QUERIES = {
     "prepare_lines": q_prepare_lines,
     "parse_ids": q_parse_ids,
@@ -532,4 +543,5 @@ QUERIES = {
     "train_classifier": q_train_classifier,
     "cv_ensemble": q_cv_ensemble,
     "stack": q_stack,
+    "stack_oof": q_stack_oof,
 }

@@ -13,7 +13,7 @@ import pytest
 from __spark_entry__ import queries
 
 SF = "/root/testdata/sf0.001"
-MODEL_FITS = {"train_regressor", "train_classifier", "cv_ensemble", "stack"}
+MODEL_FITS = {"train_regressor", "train_classifier", "cv_ensemble", "stack", "stack_oof"}
 REDUCED = ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "LocalLimit", "GlobalLimit",
            "TakeOrderedAndProject", "CollectLimit")
 
