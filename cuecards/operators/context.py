@@ -35,14 +35,14 @@ def preceding_rows(df: DataFrame, values: list[str], k: int = CONTEXT_LINES, sco
     ``scope='global'`` follows the reference (order over the whole table);
     ``'script'`` / ``'scene'`` restart at every script / scene.
     """
-    if scope in ("script", "scene"):
-        part = ["jb_id"] if scope == "script" else ["jb_id", "cc_id"]
-        val = F.struct(*[F.col(v) for v in values])
-        w = Window.partitionBy(*part).orderBy(*ORDER)
-        prev = F.array_compact(F.array(*[F.lag(val, j).over(w) for j in range(1, k + 1)]))
-        return df.withColumn(out, prev)
-    if scope != "global":
+    scopes = {"global": [], "script": ["jb_id"], "scene": ["jb_id", "cc_id"]}
+    if scope not in scopes:
         raise ValueError(f"unknown scope {scope!r}")
+    # 'script' / 'scene' restart per group: in the global order a row's
+    # same-group neighbours are a leading run of its global neighbours, so
+    # the global job is reused and the others are filtered out (no per-group
+    # window, so a huge script is not one task).
+    part = scopes[scope]
 
     n = _n_ranges(df, n_ranges)
     # The whole row travels as one struct and both branches below (the lagged
@@ -79,6 +79,14 @@ def preceding_rows(df: DataFrame, values: list[str], k: int = CONTEXT_LINES, sco
         .otherwise(F.get(F.col("_carry"), F.lit(j) - F.col("_rn")))
         for j in range(1, k + 1)
     ]))
+    if part:
+        def same_group(_p):
+            cond = F.lit(True)
+            for c in part:
+                cond = cond & _p[c].eqNullSafe(F.col(f"_row.{c}"))
+            return cond
+
+        prev = F.filter(prev, same_group)
     return joined.select("_row.*", F.transform(prev, lambda _p: F.struct(*[_p[v].alias(v) for v in values])).alias(out))
 
 

@@ -87,3 +87,27 @@ def test_encode_combos_dense_text_order(spark):
     want = {str(i): (texts.index("[" + ", ".join(map(str, v)) + "]") if v is not None else None)
             for i, v in enumerate(labels)}
     assert got == want
+
+
+def brute_scoped(rows, threshold, group, k=3):
+    rows = sorted(rows, key=lambda r: (r["jb_id"], r["cc_id"], r["ids"], r["id"]))
+    out = {}
+    for i, r in enumerate(rows):
+        c = r["content"]
+        same = [rows[i - j] for j in range(1, k + 1)
+                if i - j >= 0 and all(rows[i - j][g] == r[g] for g in group)]
+        if len(same) == k and len(c) < threshold:
+            c = c + "".join(p["content"] for p in same)
+        out[r["id"]] = c
+    return out
+
+
+@pytest.mark.parametrize("scope,group", [("script", ["jb_id"]), ("scene", ["jb_id", "cc_id"])])
+def test_scoped_context_restarts_per_group(spark, scope, group):
+    from cuecards.sources.adapters import lines_from_conversations
+
+    p = parse_line_id(lines_from_conversations(spark, "/root/testdata/sf0.001"))
+    exp = brute_scoped([r.asDict() for r in p.collect()], 200, group)
+    for n in (1, 5):
+        got = {r.id: r.content for r in attach_context(p, threshold=200, scope=scope, n_ranges=n).collect()}
+        assert got == exp
