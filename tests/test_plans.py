@@ -93,3 +93,16 @@ def test_broadcast_only_within_the_row_cap(spark):
 
     assert hinted(bounded_broadcast(small, max_rows=10))
     assert not hinted(bounded_broadcast(small, max_rows=9))
+
+
+@pytest.mark.parametrize("name", ["encode_chars", "pack_pair", "char_features"])
+def test_per_character_rows_cross_no_shuffle(static_plans, name):
+    # texts are shuffled by id before they are exploded into characters, so
+    # no shuffle exchange sits above the per-character posexplode
+    def has_char_explode(node):
+        return any(n.nodeName() == "Generate" and "posexplode" in n.toString() for n in _walk(node))
+
+    plan = static_plans[name]
+    assert has_char_explode(plan)
+    shuffles = [n for n in _walk(plan) if n.nodeName() == "Exchange"]  # broadcasts are "BroadcastExchange"
+    assert not [n.toString().splitlines()[0] for n in shuffles if has_char_explode(n)]
