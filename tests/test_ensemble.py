@@ -111,3 +111,26 @@ def test_votes_with_a_hot_key(spark):
     df = spark.createDataFrame(ranked, "file string, key_id long, words array<string>").repartition(7)
     got = {r.key_id: r.word for r in ensemble.rank_vote(df, weights).collect()}
     assert got == _brute_rank(ranked, weights, 3)
+
+
+def test_votes_invariant_under_file_order_without_ties(spark):
+    # weights whose subset sums are all distinct leave no ties, so the file
+    # order (which only breaks ties) cannot change the result
+    import itertools
+    import random
+    rnd = random.Random(11)
+    files = ["a", "b", "c"]
+    preds = [(m, i, [rnd.randrange(4) for _ in range(6)]) for m in files for i in range(60)]
+    p = spark.createDataFrame(preds, "model string, id long, scores array<int>")
+    words = ["w%d" % i for i in range(8)]
+    ranked = [(m, i, rnd.sample(words, 3)) for m in files for i in range(60)]
+    r = spark.createDataFrame(ranked, "file string, key_id long, words array<string>")
+    vote_w = {"a": 1.0, "b": 2.0, "c": 4.0}
+    rank_w = {"a": 1.0, "b": 100.0, "c": 10000.0}
+    seen_vote, seen_rank = set(), set()
+    for order in itertools.permutations(files):
+        v = ensemble.weighted_vote(p, [(f, vote_w[f]) for f in order])
+        seen_vote.add(tuple(sorted((x.id, tuple(x.scores)) for x in v.collect())))
+        k = ensemble.rank_vote(r, [(f, rank_w[f]) for f in order])
+        seen_rank.add(tuple(sorted((x.key_id, x.word) for x in k.collect())))
+    assert len(seen_vote) == 1 and len(seen_rank) == 1
