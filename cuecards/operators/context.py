@@ -58,14 +58,17 @@ def preceding_rows(df: DataFrame, values: list[str], k: int = CONTEXT_LINES, sco
         "_part", "_row",
         *[F.lag("_row", j).over(w).alias(f"_lag{j}") for j in range(1, k + 1)],
         F.row_number().over(w).alias("_rn"),
-        F.count(F.lit(1)).over(Window.partitionBy("_part")).alias("_cnt"),
     )
-    # Last k rows of every range, oldest first; then for every range the last
-    # k rows before it (ranges can hold fewer than k rows, so look k back).
+    # Last k rows of every range, oldest first: a descending row_number
+    # filter, which Spark runs as a per-task top-k (WindowGroupLimit) before a
+    # shuffle of at most k rows per range.  Then for every range the last k
+    # rows before it (ranges can hold fewer than k rows, so look k back).
+    last = Window.partitionBy("_part").orderBy(*[c.desc() for c in order])
     tails = (
-        lagged.where(F.col("_rn") > F.col("_cnt") - k)
+        ranged.withColumn("_rd", F.row_number().over(last)).where(F.col("_rd") <= k)
         .groupBy("_part")
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("_rn", "_row"))), lambda s: s["_row"]).alias("_tail"))
+        .agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("_rd")).alias("_o"), "_row"))),
+                         lambda s: s["_row"]).alias("_tail"))
     )
     carry = tails.select(
         "_part",
