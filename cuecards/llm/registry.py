@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cuecards.llm.common import table
+from cuecards.llm.decontam import decontaminate
 from cuecards.llm.minhash import near_duplicates
 
 
@@ -15,8 +17,15 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnsRenamed({"doc": "doc_id", "component": "component_id"})
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
+    return out.select(F.col("doc").alias("doc_id"), "n_words", "n_hit", "n_items",
+                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op6_decontaminate": op6_decontaminate,
 }
 
 ORACLE: dict[str, str] = {}
