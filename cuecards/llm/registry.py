@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cuecards.llm.common import table
 from cuecards.llm.decontam import decontaminate
 from cuecards.llm.minhash import near_duplicates
+from cuecards.llm.secrets import find_secrets
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,9 +24,23 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_secrets(table(spark, sf_dir, "documents"))
+
+    def listed(spans: str):
+        return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return out.select(F.col("doc").alias("doc_id"), count("assign"), count("access"), count("hex"),
+                      F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE: dict[str, str] = {}
