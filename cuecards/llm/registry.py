@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cuecards.llm.common import table
 from cuecards.llm.decontam import decontaminate
+from cuecards.llm.langid import identify
 from cuecards.llm.minhash import near_duplicates
 from cuecards.llm.secrets import find_secrets
 
@@ -37,9 +38,15 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = identify(table(spark, sf_dir, "documents"))
+    return out.select(F.col("doc").alias("doc_id"), "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
 }
 
