@@ -11,6 +11,7 @@ from cuecards.llm.common import table
 from cuecards.llm.decontam import decontaminate
 from cuecards.llm.langid import identify
 from cuecards.llm.minhash import near_duplicates
+from cuecards.llm.mixing import mix
 from cuecards.llm.secrets import find_secrets
 
 
@@ -38,6 +39,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_copies=3)
+    return out.select(F.col("doc").alias("doc_id"), "size", "source_size", "target",
+                      (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = identify(table(spark, sf_dir, "documents"))
     return out.select(F.col("doc").alias("doc_id"), "held_out", "lang_pred", "score", "cross_entropy", "rejected")
@@ -46,6 +53,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op7_mix_sources": op7_mix_sources,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
 }
