@@ -13,6 +13,7 @@ from cuecards.llm.langid import identify
 from cuecards.llm.minhash import near_duplicates
 from cuecards.llm.mixing import mix
 from cuecards.llm.secrets import find_secrets
+from cuecards.llm.sharding import shard
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,12 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnsRenamed({"doc": "doc_id", "component": "component_id"})
 
 
+def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shard(table(spark, sf_dir, "documents"), n_shards=16)
+    return out.select(F.col("doc").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"), "place")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
     return out.select(F.col("doc").alias("doc_id"), "n_words", "n_hit", "n_items",
@@ -52,6 +59,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op4_hilbert_shards": op4_hilbert_shards,
     "op6_decontaminate": op6_decontaminate,
     "op7_mix_sources": op7_mix_sources,
     "op9_language_id": op9_language_id,
