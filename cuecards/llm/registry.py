@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cuecards.llm.chat import format_chats, loss_mask, masked_text, read_chats
 from cuecards.llm.common import table
 from cuecards.llm.decontam import decontaminate
 from cuecards.llm.langid import identify
@@ -21,6 +22,21 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnsRenamed({"doc": "doc_id", "component": "component_id"})
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    out = read_chats(format_chats(turns)).withColumn("mask", loss_mask(F.col("formatted")))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = masked_text(F.col("formatted"), F.col("mask"))
+    return out.select(F.col("conv").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+                      F.sha2(said, 256).alias("turns_sha256"), F.char_length(loss).cast("long").alias("loss_chars"),
+                      F.sha2(loss, 256).alias("loss_sha256"),
+                      F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard(table(spark, sf_dir, "documents"), n_shards=16)
     return out.select(F.col("doc").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -59,6 +75,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_chat_format": op2_chat_format,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op6_decontaminate": op6_decontaminate,
     "op7_mix_sources": op7_mix_sources,
@@ -66,4 +83,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLE: dict[str, str] = {}
+#: The twin works from the turns themselves; only ``formatted_chars`` restates
+#: the template (tag lengths, one separator per merged turn, one backslash per
+#: control string).
+_OP2 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+placed AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before,
+         length(regexp_replace(text, '([\[<])(\\*)(/?SYS\]|/?INST\]|OUT\]|\+\]|/?ROLE[ \]]|/s>)',
+                               '\1\2\\\3', 'g')) AS chars FROM turns),
+sized AS (
+  SELECT *, chars + CASE
+    WHEN before = role THEN 5
+    WHEN role = 'system' THEN 13 WHEN role = 'user' THEN 15 WHEN role = 'assistant' THEN 11
+    ELSE 16 + length(replace(replace(role, '%', '%25'), ']', '%5D')) END AS shown FROM placed)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(length(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, ''
+            ORDER BY turn NULLS FIRST, role, text), '')) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, ''
+            ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+       CAST(sum(shown) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_chat_format": _OP2,
+}
