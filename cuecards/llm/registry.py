@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cuecards.llm.chat import format_chats, loss_mask, masked_text, read_chats
 from cuecards.llm.common import table
 from cuecards.llm.decontam import decontaminate
+from cuecards.llm.htmltext import extract
 from cuecards.llm.langid import identify
 from cuecards.llm.minhash import near_duplicates
 from cuecards.llm.mixing import mix
@@ -68,6 +69,12 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract(table(spark, sf_dir, "pages"))
+    return out.select(F.col("page").alias("page_id"), "url", "text",
+                      F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = identify(table(spark, sf_dir, "documents"))
     return out.select(F.col("doc").alias("doc_id"), "held_out", "lang_pred", "score", "cross_entropy", "rejected")
@@ -79,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hilbert_shards": op4_hilbert_shards,
     "op6_decontaminate": op6_decontaminate,
     "op7_mix_sources": op7_mix_sources,
+    "op8_html_text": op8_html_text,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
 }
