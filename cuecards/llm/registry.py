@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cuecards.llm.ann import nearest
 from cuecards.llm.chat import format_chats, loss_mask, masked_text, read_chats
 from cuecards.llm.common import table
 from cuecards.llm.decontam import decontaminate
@@ -44,6 +45,11 @@ def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"), "place")
 
 
+def op5_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+    return out.select(F.col("query").alias("query_id"), "rank", F.col("vec").alias("vec_id"), "score")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
     return out.select(F.col("doc").alias("doc_id"), "n_words", "n_hit", "n_items",
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_chat_format": op2_chat_format,
     "op4_hilbert_shards": op4_hilbert_shards,
+    "op5_ann_search": op5_ann_search,
     "op6_decontaminate": op6_decontaminate,
     "op7_mix_sources": op7_mix_sources,
     "op8_html_text": op8_html_text,
