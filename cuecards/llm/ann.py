@@ -14,7 +14,8 @@ most about ``part`` rows, so a bucket with a third of all rows is many groups)
 and the queries that visit it.  A group is scored block by block and passes on
 only each query's best k, which is exact for the union; pairs are never rows.
 
-``m`` grows with the logarithm of the number of rows, r is the median distance
+``m`` grows with the logarithm of the number of rows, so that a bucket holds
+about ``rows_per_bucket`` of them; r is the median distance
 of the k-th neighbour in a sample of ``sample`` rows.  Queries whose buckets
 hold fewer than k candidates are compared with all rows, in blocks.
 
@@ -174,8 +175,8 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5,
-            tables: int = 4, success: float = 0.56, part: int = 4096, sample: int = 20_000,
-            rows_per_bucket: int = 64) -> DataFrame:
+            tables: int = 4, success: float = 0.5, part: int = 4096, sample: int = 20_000,
+            rows_per_bucket: int = 1024) -> DataFrame:
     """``query, rank, vec, score``: the ``k`` nearest found by cosine for each
     row that ``is_query`` selects, among all other rows."""
     spark = vectors.sparkSession
@@ -186,9 +187,11 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     none = spark.createDataFrame([], "query long, rank int, vec long, score double")
     if total < 2:
         return none
-    m = max(1, round(math.log2(total / rows_per_bucket)))
     radius = _neighbour_distance(rows, total, k, sample)
     width = 1.8 * radius
+    # a projection of unit vectors has about the differential entropy of a normal, less the slot's bits
+    bits = max(0.3, 0.5 * math.log2(2 * math.pi * math.e) - math.log2(width))
+    m = max(1, round(math.log2(max(2, total / rows_per_bucket)) / bits))
 
     def families():
         made: dict[int, Family] = {}
