@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -17,16 +18,33 @@ from cuecards.session import checkpoint_dir
 SEGMENT_BYTES = 1 << 20
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it
     back: lineage ends there, and a lost executor re-reads files."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    path = stage_path(spark, name)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def drop_files(spark: SparkSession, path: str) -> None:
+    """Delete a stage table that a newer one has replaced."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver notice finished shuffles: their files go when the
+    driver's handles are collected, which a long job may not see for a while."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -17,6 +17,7 @@ from cuecards.llm.minhash import near_duplicates
 from cuecards.llm.mixing import mix
 from cuecards.llm.secrets import find_secrets
 from cuecards.llm.sharding import shard
+from cuecards.llm.suffix import remove_repeats
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +40,12 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard(table(spark, sf_dir, "documents"), n_shards=16)
     return out.select(F.col("doc").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -89,6 +96,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_chat_format": op2_chat_format,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_ann_search": op5_ann_search,
     "op6_decontaminate": op6_decontaminate,
