@@ -34,7 +34,7 @@ from cuecards.llm import textvec as tv
 from cuecards.llm.common import per_segment, segments, stage, text_buffers
 
 U = np.uint64
-_POSTINGS = ("seg long, ids array<long>, n_words array<int>, base binary, "
+_POSTINGS = ("seg long, ids array<long>, text_keys array<long>, n_words array<int>, base binary, "
              "terms binary, ptr binary, pos binary")
 
 
@@ -107,18 +107,20 @@ def _indexer(vocab, gap: int, segment: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([(TaskContext.get().partitionId() << 32) + made], pa.int64()),
                      pa.array([ids.to_pylist()], pa.list_(pa.int64())),
+                     pa.array([batch.column("text_key").slice(i, j - i).to_pylist()], pa.list_(pa.int64())),
                      pa.array([np.concatenate(counts).astype(np.int32)], pa.list_(pa.int32())),
                      pa.array([np.concatenate(base).astype(np.int32).tobytes()], pa.binary()),
                      pa.array([uniq.tobytes()], pa.binary()),
                      pa.array([np.append(ptr, len(p)).astype(np.int32).tobytes()], pa.binary()),
                      pa.array([p.tobytes()], pa.binary())],
-                    ["seg", "ids", "n_words", "base", "terms", "ptr", "pos"])
+                    ["seg", "ids", "text_keys", "n_words", "base", "terms", "ptr", "pos"])
     return run
 
 
 def build_index(docs: DataFrame, vocab, id_col: str, text_col: str, gap: int, segment: int) -> DataFrame:
     """The postings table: one row per segment of the corpus."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).cast("long").alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     return stage(src.mapInArrow(_indexer(vocab, gap, segment), _POSTINGS), "postings")
 
 
@@ -182,8 +184,9 @@ def _member_sorted(big: np.ndarray, x: np.ndarray) -> np.ndarray:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", n: int = 10, segment: int = 4 << 20,
                   max_terms: int = 4_000_000, max_phrases: int = 500_000) -> DataFrame:
-    """Per row of ``docs``: ``doc, n_words, n_hit, n_items, items, spans,
-    contaminated``; ``spans`` are the found phrases as word ranges."""
+    """Per row of ``docs``: ``doc, text_key`` (hash of the text), ``n_words,
+    n_hit, n_items, items, spans, contaminated``; ``spans`` are the found phrases
+    as word ranges."""
     spark = docs.sparkSession
     src = benchmark.select(F.col(item_col).cast("long").alias("item"),
                            F.col(item_text).cast("string").alias("text"))
@@ -226,8 +229,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         part = index.select("seg", "base", "terms", "ptr", "pos").mapInArrow(
             match, "seg long, doc_no int, spans array<struct<s: int, e: int>>, items array<long>")
         hits = part if hits is None else hits.unionAll(part)
-    rows = index.select("seg", F.posexplode(F.arrays_zip("ids", "n_words")).alias("doc_no", "x")).select(
-        "seg", "doc_no", F.col("x.ids").alias("doc"), F.col("x.n_words").cast("long").alias("n_words"))
+    rows = index.select("seg", F.posexplode(F.arrays_zip("ids", "text_keys", "n_words")).alias("doc_no", "x")).select(
+        "seg", "doc_no", F.col("x.ids").alias("doc"), F.col("x.text_keys").alias("text_key"), F.col("x.n_words").cast("long").alias("n_words"))
     if hits is None:
         hits = spark.createDataFrame([], "seg long, doc_no int, spans array<struct<s: int, e: int>>, items array<long>")
     found = hits.groupBy("seg", "doc_no").agg(F.flatten(F.collect_list("spans")).alias("spans"),
@@ -240,7 +243,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                          F.array_sort(F.transform(F.array_distinct("items"), lambda x: x.cast("string"))).alias("items"))
     none = F.array().cast("array<string>")
     return (rows.join(found, ["seg", "doc_no"], "left")
-            .select("doc", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+            .select("doc", "text_key", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
                     F.coalesce(F.size(F.coalesce("items", none)), F.lit(0)).cast("long").alias("n_items"),
                     F.coalesce("items", none).alias("items"), "spans")
             .withColumn("contaminated", F.col("n_hit") > 0))
