@@ -8,11 +8,15 @@ candidates; a candidate link is confirmed on the full sets.  Links are closed
 to components by alternating large-star and small-star steps.
 
 Candidates are taken in two passes, so that a bucket of m near copies costs m
-checks and not m squared: first every class against the smallest class it
-meets in any bucket; then, between members of one bucket that the first pass
-left in different components, every pair (prefiltered by set size and by a
-one-bit signature).  A pair inside a component needs no check: it changes
-nothing.  Nothing is capped.
+checks and not m squared.  First every class is checked against the smallest
+class it meets in any bucket.  A pair inside a component then needs no check: it
+changes nothing.  What is left are buckets whose members are still in different
+components; a large group of texts just below the similarity makes such
+buckets.  Their members go through an exact prefix join: with all shingles in
+one global order, rare ones first, two sets at the similarity share a shingle
+near the front of both, and the positions of the first shared one bound the
+overlap.  Frequencies come from a table of ``slots`` counters (they steer the
+order, so they affect cost only).  Nothing is capped.
 
 Defined results: a null or empty text, or one without words, has no set and no
 links; a text of fewer than ``shingle`` words has its whole word sequence as
@@ -21,8 +25,7 @@ id are one node that has all the rows' links; a row without id is returned
 unlinked (component null, kept true).  Extra columns are ignored.
 
 The chance to miss a pair at similarity 0.8 exactly is ``(1 - 0.8**5)**40``,
-about 1.2e-7; above it, less.  The one-bit filter passes pairs at 0.8 except
-with a chance below 1e-8.
+about 1.2e-7; above it, less.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuecards.llm import textvec as tv
-from cuecards.llm.common import per_segment, stage
+from cuecards.llm.common import per_segment, segments, stage, text_buffers
 from cuecards.llm.components import connected_components
 
 U = np.uint64
@@ -68,16 +71,15 @@ def shingle_set(sh: np.ndarray, words: np.ndarray, lo: int, hi: int, k: int) ->
     return tv.mix(tagged.sum(dtype=U, keepdims=True))
 
 
-def _sketcher(id_col: str, text_col: str, k: int, bands: int, rows: int):
+def _sketcher(k: int, bands: int, rows: int):
     m = bands * rows
-    words64 = -(-m // 64)
 
     def one(raw, off, carry):
         mul, add = tv.constants(m, 21) | U(1), tv.constants(m, 22)
         fold, name = tv.constants(rows, 23) | U(1), tv.constants(bands, 24)
         sh, words, first = shingle_hashes(raw, off, k)
         n = len(off) - 1
-        size, digest, keys, bits = np.zeros(n, np.int64), [], np.zeros((n, bands), U), np.zeros((n, words64), U)
+        size, digest, keys = np.zeros(n, np.int64), [], np.zeros((n, bands), U)
         low = np.empty((_SIG_BLOCK, m), U)
         for i in range(n):
             s = shingle_set(sh, words, first[i], first[i + 1], k)
@@ -93,47 +95,45 @@ def _sketcher(id_col: str, text_col: str, k: int, bands: int, rows: int):
                 buf += add
                 np.minimum(sig, buf.min(axis=0), out=sig)
             keys[i] = tv.mix((sig.reshape(bands, rows) * fold).sum(axis=1, dtype=U) + name)
-            odd = np.zeros(words64 * 64, np.uint8)
-            odd[:m] = (tv.mix(sig) & U(1)).astype(np.uint8)
-            bits[i] = np.packbits(odd).view(U)
         flat = pa.array(keys.reshape(-1).view(np.int64))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands), flat)
-        sketch = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * words64),
-                                          pa.array(bits.reshape(-1).view(np.int64)))
         return pa.RecordBatch.from_arrays(
-            [carry[id_col], pa.array(size), pa.array(digest, pa.binary()), lists, sketch],
-            ["doc", "n_shingles", "digest", "bands", "bits"])
+            [carry["doc"], carry["text_key"], pa.array(size), pa.array(digest, pa.binary()), lists],
+            ["doc", "text_key", "n_shingles", "digest", "bands"])
 
-    return per_segment(one, text_col, id_col)
+    return per_segment(one, "text", "doc", "text_key")
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int, rows: int) -> DataFrame:
-    """One row per document: ``doc, n_shingles, digest`` of the set, band keys
-    and the one-bit signature."""
-    src = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col))
-    return src.mapInArrow(_sketcher(id_col, text_col, k, bands, rows),
-                          "doc long, n_shingles long, digest binary, bands array<long>, bits array<long>")
+    """One row per document: ``doc, text_key, n_shingles, digest`` of the set,
+    and the band keys."""
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).cast("long").alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    return src.mapInArrow(_sketcher(k, bands, rows),
+                          "doc long, text_key long, n_shingles long, digest binary, bands array<long>")
+
+
+def _sets(texts: pa.Array, want: list[bytes], k: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Index and set of each text whose set has the wanted digest (another row
+    of a repeated id may have another)."""
+    raw, off = text_buffers(texts)
+    for i, j in segments(off):
+        sh, words, first = shingle_hashes(raw[off[i]: off[j]], off[i: j + 1] - off[i], k)
+        for t in range(j - i):
+            s = shingle_set(sh, words, first[t], first[t + 1], k)
+            if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == want[i + t]:
+                yield i + t, s
 
 
 def _confirmer(k: int, percent: int):
     """Pairs whose two texts, found among the rows of one (a, b), reach the similarity."""
-    def texts_to_sets(col):
-        from cuecards.llm.common import segments, text_buffers
-        raw, off = text_buffers(col)
-        for i, j in segments(off):
-            sh, words, first = shingle_hashes(raw[off[i]: off[j]], off[i: j + 1] - off[i], k)
-            for t in range(j - i):
-                yield shingle_set(sh, words, first[t], first[t + 1], k)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, have = None, {}
         for batch in batches:
             a, b = batch.column("a").to_numpy(zero_copy_only=False), batch.column("b").to_numpy(zero_copy_only=False)
-            want, side = batch.column("want").to_pylist(), batch.column("side").to_pylist()
+            side = batch.column("side").to_pylist()
             left, right = [], []
-            for i, s in enumerate(texts_to_sets(batch.column("text"))):
-                if hashlib.blake2b(s.tobytes(), digest_size=16).digest() != want[i]:
-                    continue  # another row of a repeated id
+            for i, s in _sets(batch.column("text"), batch.column("want").to_pylist(), k):
                 if key != (a[i], b[i]):
                     key, have = (a[i], b[i]), {}
                 if side[i] in have:
@@ -150,7 +150,7 @@ def _confirmer(k: int, percent: int):
     return run
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of class representatives that are links on full
     sets.  Each pair's two texts meet by a shuffle on the pair, so a class with
     thousands of partners is spread out."""
@@ -161,61 +161,97 @@ def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, per
     return rows.mapInArrow(_confirmer(k, percent), "a long, b long")
 
 
+def _prefix_join(open_texts: DataFrame, k: int, percent: int, slots: int) -> DataFrame:
+    """Pairs ``(a, b)`` of classes in different components that may reach the
+    similarity; none that reaches it is missing.
+
+    ``open_texts (rep, comp, want, text)``.  For sets of sizes x <= y the
+    overlap must be at least ``need = percent / (100 + percent) * (x + y)``, so
+    the first shared shingle stands early enough to leave that many in both."""
+    shift = U(64 - slots.bit_length() + 1)
+
+    def count(batches):
+        total = np.zeros(slots, np.int64)
+        for batch in batches:
+            for _, s in _sets(batch.column("text"), batch.column("want").to_pylist(), k):
+                total += np.bincount((s >> shift).astype(np.int64), minlength=slots)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "n"])
+
+    spark = open_texts.sparkSession
+    counted = (open_texts.select("want", "text").mapInArrow(count, "slot long, n long")
+               .groupBy("slot").agg(F.sum("n").alias("n")).toPandas())  # at most ``slots`` rows
+    often = np.zeros(slots, np.int64)
+    often[counted["slot"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    often = spark.sparkContext.broadcast(often)
+
+    def prefixes(batches):
+        for batch in batches:
+            rep, comp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "comp"))
+            for i, s in _sets(batch.column("text"), batch.column("want").to_pylist(), k):
+                n = len(s)
+                s = s[np.lexsort((s, often.value[(s >> shift).astype(np.int64)]))]
+                s = s[: n - -(-percent * n // 100) + 1]
+                m = len(s)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(s.view(np.int64)), pa.array(np.arange(m, dtype=np.int32)),
+                     pa.array(np.full(m, n, np.int32)), pa.array(np.full(m, rep[i])), pa.array(np.full(m, comp[i]))],
+                    ["token", "pos", "n", "rep", "comp"])
+
+    rows = stage(open_texts.mapInArrow(prefixes, "token long, pos int, n int, rep long, comp long"), "minhash-prefix")
+    # a shingle of one component only joins nothing
+    mixed = (rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .where("lo < hi").select("token"))
+    rows = stage(rows.join(mixed, "token"), "minhash-prefix")
+    small = rows.where(((F.col("n") - F.col("pos")) * (100 + percent)) >= 2 * percent * F.col("n")).alias("x")
+    large = rows.alias("y")
+    left = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    return (small.join(large, F.col("x.token") == F.col("y.token"))
+            .where((F.col("x.comp") != F.col("y.comp"))
+                   & (F.struct("x.n", "x.rep") < F.struct("y.n", "y.rep"))
+                   & (100 * F.col("x.n") >= percent * F.col("y.n"))
+                   & ((100 + percent) * left >= percent * (F.col("x.n") + F.col("y.n"))))
+            .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                    percent: int = 80, bands: int = 40, rows: int = 5) -> DataFrame:
-    """Per row of ``docs``: ``doc, n_shingles, component, kept``."""
+                    percent: int = 80, bands: int = 40, rows: int = 5, slots: int = 1 << 16) -> DataFrame:
+    """Per row of ``docs``: ``doc, text_key`` (hash of the text), ``n_shingles,
+    component, kept``."""
     found = stage(sketches(docs, id_col, text_col, shingle, bands, rows), "minhash-sketch")
-    named = found.where("doc is not null and digest is not null")
-    reps = named.groupBy("digest").agg(F.min("doc").alias("rep"))
-    classes = stage(named.join(reps, "digest").where("doc = rep")
-                    .dropDuplicates(["rep", "digest"]).select("rep", "digest", "n_shingles", "bands", "bits"),
-                    "minhash-classes")
-    banded = classes.select("rep", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    members = stage(banded.join(shared, "key").select("key", "rep", "low"), "minhash-buckets")
+    # rows of one digest are equal, so any value of the others will do
+    classes = stage(found.where("doc is not null and digest is not null").groupBy("digest")
+                    .agg(F.min("doc").alias("rep"), F.first("bands").alias("bands")), "minhash-classes")
+    placed = stage(found.select("doc", "text_key", "n_shingles", "digest")
+                   .join(classes.select("digest", "rep"), "digest", "left").drop("digest"), "minhash-rows")
+
+    banded = classes.select("rep", "digest", F.explode("bands").alias("key"))
+    shared = stage(banded.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
+                   .where("low < high").select("key", "low"), "minhash-shared")
+    members = stage(banded.join(shared, "key").select("key", "rep", "digest", "low"), "minhash-buckets")
+    wanted = members.select("rep", F.col("digest").alias("want")).distinct()
+    texts = stage(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
+                  .join(wanted, "rep"), "minhash-texts")
 
     first = (members.where("low < rep").groupBy("rep").agg(F.min("low").alias("a"))
              .select("a", F.col("rep").alias("b")))
-    wanted = (members.select("rep").distinct().join(classes.select("rep", F.col("digest").alias("want")), "rep"))
-    texts = stage(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
-                  .join(wanted, "rep"), "minhash-texts")
-    links = stage(_confirm(first, classes, texts, shingle, percent), "minhash-links")
-    comp = connected_components(links)
-
-    placed = (members.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("key", "rep", F.coalesce("component", "rep").alias("comp")))
-    split = (placed.groupBy("key").agg(F.min("comp").alias("main"), F.max("comp").alias("other"))
-             .where("main < other").select("key", "main"))
-    facts = classes.select("rep", "n_shingles", "bits")
-    open_ = stage(placed.join(split, "key").join(facts, "rep"), "minhash-open")
-    x, y = open_.where("comp <> main").alias("x"), open_.alias("y")
-    near = sum((F.bit_count(F.element_at("x.bits", i + 1).bitwiseXOR(F.element_at("y.bits", i + 1)))
-                for i in range(-(-bands * rows // 64))), F.lit(0))
-    second = (x.join(y, F.col("x.key") == F.col("y.key"))
-              .where((F.col("x.comp") != F.col("y.comp"))
-                     & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep")))
-                     & (100 * F.least("x.n_shingles", "y.n_shingles")
-                        >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
-                     & (near <= _most_differing(bands * rows, percent)))
-              .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct())
-    more = stage(_confirm(second, classes, texts, shingle, percent), "minhash-links")
+    links = stage(_confirm(first, texts, shingle, percent), "minhash-links")
+    comp = stage(connected_components(links), "minhash-comp")
+
+    now = stage(members.select("key", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+                .select("key", "rep", F.coalesce("component", "rep").alias("comp")), "minhash-now")
+    split = stage(now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                  .where("lo < hi").select("key"), "minhash-split")
+    open_ = now.join(split, "key").select("rep", "comp").distinct()
+    open_texts = stage(texts.join(open_, "rep"), "minhash-open")
+    second = _prefix_join(open_texts, shingle, percent, slots)
+    more = stage(_confirm(second, texts, shingle, percent), "minhash-links")
 
     # rows of one repeated id are one node, whatever their sets
-    shared_id = (named.join(reps, "digest").groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
-                 .where("a < b"))
-    ids = (named.join(reps, "digest").join(shared_id.select("doc", "a"), "doc")
-           .select("a", F.col("rep").alias("b")))
-    comp = connected_components(comp.select(F.col("component").alias("a"), F.col("node").alias("b"))
-                                .unionAll(more).unionAll(ids))
-    by_digest = reps.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component"))
-    return (found.join(by_digest, "digest", "left")
-            .select("doc", "n_shingles", F.coalesce("component", "doc").alias("component"))
+    several = (placed.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b"))
+    ids = placed.join(several.select("doc", "a"), "doc").select("a", F.col("rep").alias("b"))
+    comp = stage(connected_components(comp.select(F.col("component").alias("a"), F.col("node").alias("b"))
+                                      .unionAll(more).unionAll(ids)), "minhash-comp")
+    return (placed.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+            .select("doc", "text_key", "n_shingles", F.coalesce("component", "rep", "doc").alias("component"))
             .withColumn("kept", F.coalesce(F.col("component") == F.col("doc"), F.lit(True))))
-
-
-def _most_differing(m: int, percent: int) -> int:
-    """Signature bits that a pair at the similarity may differ in, six standard
-    deviations included: bits differ with probability (1 - similarity) / 2."""
-    p = (1 - percent / 100) / 2
-    return int(m * p + 6 * (m * p * (1 - p)) ** 0.5) + 1

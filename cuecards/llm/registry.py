@@ -22,7 +22,7 @@ from cuecards.llm.suffix import remove_repeats
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
-    return out.withColumnsRenamed({"doc": "doc_id", "component": "component_id"})
+    return out.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
