@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cuecards.constants import CONTEXT_LINES, CONTEXT_THRESHOLD, NO_LABEL_TEXT, SENTINEL
 from cuecards.operators.ranking import rank_within
 
+N_LABELS = 6
 ORDER = ["jb_id", "cc_id", "ids", "id"]
 
 
@@ -144,20 +145,24 @@ def combo_text(col: str = "labels"):
 def encode_combos(df: DataFrame, col: str = "labels", out: str = "combo") -> DataFrame:
     """Dense 0-based code per distinct label combination, in text order.
 
-    Valid labels (six of four levels) allow at most 4**6 combinations, but
-    junk labels could make the distinct table large, so it is numbered like
-    any other group: in sub-buckets of the text's first 12 characters (a
-    prefix sorts like the text), whose counts give offsets.  It is joined
-    back without a broadcast hint; Spark broadcasts it when its measured size
-    allows.
+    The distinct texts are numbered like any other group, in sub-buckets of
+    their first 12 characters (a prefix sorts like the text).  A valid vector
+    is six levels 0..3, so at most 4**6 of the codes are for valid ones: that
+    part of the table is broadcast, and the lines are not shuffled by a text
+    that most of them share.  Only lines with junk labels (another width or
+    level) are joined by shuffle.  A null vector gets a null code and uses up
+    none.
     """
-    d = df.withColumn("_combo_text", combo_text(col))
-    # a null label vector gets a null code and uses up none
-    ranked = rank_within(d.select("_combo_text").where(F.col("_combo_text").isNotNull()).distinct(),
-                         [], [F.col("_combo_text")],
-                         F.substring("_combo_text", 1, 12), rank="_r", total="_nc")
-    codes = ranked.select("_combo_text", (F.col("_r") - 1).cast("int").alias(out))
-    return d.join(codes, "_combo_text", "left").drop("_combo_text")
+    text = combo_text(col)
+    junk = F.coalesce((F.size(col) != N_LABELS) | F.exists(col, lambda v: ~F.coalesce(v.between(0, 3), F.lit(False))),
+                      F.lit(False)) & text.isNotNull()
+    d = df.withColumn("_combo_text", text).withColumn("_junk", junk)
+    found = d.select("_combo_text", "_junk").where(F.col("_combo_text").isNotNull()).distinct()
+    ranked = rank_within(found, [], [F.col("_combo_text")], F.substring("_combo_text", 1, 12), rank="_r", total="_nc")
+    codes = ranked.select("_combo_text", "_junk", (F.col("_r") - 1).cast("int").alias(out))
+    valid = d.where(~F.col("_junk")).join(F.broadcast(codes.where(~F.col("_junk")).drop("_junk")), "_combo_text", "left")
+    rest = d.where("_junk").join(codes.where("_junk").drop("_junk"), "_combo_text", "left")
+    return valid.unionByName(rest).drop("_combo_text", "_junk")
 
 
 def sort_lines(df: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 """Vocabulary and fixed-length encodings.
 
-Character lookups are broadcast joins against the vocabulary table, whose
-size is capped by construction (``size + 2`` rows); no per-character map
-literal.  Per-row work is bounded by the row's own characters.
+Character tables (vocabulary, dictionary) are reduced to one row per single
+code point first, so they have at most 1,114,112 rows whatever the input: a
+proven bound, and the reason why they may be broadcast.  Lookups join the
+*distinct* characters of a text, gather them in one small map per text, and
+apply the map to the text; no per-character row is shuffled.
 """
 
 from __future__ import annotations
@@ -13,15 +15,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuecards.constants import CLS_ID, PAD_ID, SEP_ID, VOCAB_SIZE
-from cuecards.operators.sizing import bounded_broadcast
 from cuecards.session import cut_lineage
 
+MAX_CODE_POINTS = 0x110000
 UNK = "<UNK>"
 PAD = "<PAD>"
-# Whitespace removed from both ends of a text before counting characters
-# (the edges Python's str.strip() removes for ASCII text).
-_WS_CHARS = " \t\n\r\f\x0b"
-_WS = "[ \\t\\n\\r\\f\\x0B]"
+# Whitespace removed from both ends of a text before counting characters: what
+# Python's str.strip() removes.  Fixed values: code points.
+WHITESPACE = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
+              0x202F, 0x205F, 0x3000]
+_WS_CHARS = "".join(map(chr, WHITESPACE))
 
 
 def chars(col: str | Column) -> Column:
@@ -62,6 +65,8 @@ def build_vocab(df: DataFrame, col: str = "text", size: int = VOCAB_SIZE, materi
               .withColumn("_v", F.count(F.lit(1)).over(Window.partitionBy())))
     # The last numbered row also emits <UNK> = V and <PAD> = V + 1, so the
     # specials need no second pass over the corpus.
+    if not 0 < size <= MAX_CODE_POINTS:
+        raise ValueError(f"size must be between 1 and {MAX_CODE_POINTS}")
     row = F.struct("token", "token_id", "n")
     specials = F.array(
         row,
@@ -90,12 +95,22 @@ def _by_key(df: DataFrame, key: str, text: Column, carry) -> DataFrame:
     return df.select(key, text.alias("_text"), *carry).repartition(key)
 
 
-def _regroup(rows: DataFrame, key: str, item: Column, carry) -> DataFrame:
-    """One row per key (and carried values): the ``(pos, ...)`` items sorted by
-    position.  Grouping on the carried columns too keeps the result exact if a
-    key repeats, and needs no exchange: the rows are already partitioned by key."""
-    return rows.groupBy(key, *carry).agg(
-        F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), item))).alias("_s"))
+def one_per_code_point(table: DataFrame, value: str) -> DataFrame:
+    """``(token, value)`` with one row per single code point (of several, the
+    smallest value), so at most ``MAX_CODE_POINTS`` rows."""
+    return (table.where(F.char_length("token") == 1).groupBy("token").agg(F.min(value).alias(value)))
+
+
+def _with_lookup(df: DataFrame, table: DataFrame, value: str, key: str, text: Column, carry) -> DataFrame:
+    """``(key, _text, *carry, _map)``: the table's entries for the characters of
+    each text.  Only a text's distinct characters become rows; they are grouped
+    back on the partitioning by key that the texts were given (grouping on the
+    text and the carried columns too keeps the result exact if a key repeats)."""
+    d = _by_key(df, key, text, carry)
+    rows = d.select(key, "_text", *carry, F.explode_outer(F.array_distinct(chars("_text"))).alias("token"))
+    found = rows.join(F.broadcast(one_per_code_point(table, value)), "token", "left")
+    entry = F.when(F.col(value).isNotNull(), F.struct("token", value))
+    return found.groupBy(key, "_text", *carry).agg(F.map_from_entries(F.collect_set(entry)).alias("_map"))
 
 
 def encode_chars(df: DataFrame, vocab: DataFrame, max_len: int, col: str = "text", key: str = "id",
@@ -115,12 +130,9 @@ def encode_chars(df: DataFrame, vocab: DataFrame, max_len: int, col: str = "text
     carry = list(carry)
     # substring counts code points, so cutting before splitting yields the
     # same first max_len tokens without splitting the rest of a long text.
-    d = _by_key(df, key, F.substring(col, 1, max_len), carry)
-    toks = d.select(key, *carry, F.posexplode_outer(chars("_text")).alias("pos", "token"))
-    lookup = bounded_broadcast(vocab.where(~F.col("token").isin(UNK, PAD)).select("token", "token_id"))
-    j = toks.join(lookup, "token", "left")
-    grouped = _regroup(j, key, F.struct("pos", F.coalesce("token_id", F.lit(unk_id)).alias("t")), carry)
-    ids = F.transform("_s", lambda s: s["t"])
+    grouped = _with_lookup(df, vocab.select("token", "token_id"), "token_id", key, F.substring(col, 1, max_len), carry)
+    ids = F.coalesce(F.transform(chars("_text"), lambda c: F.coalesce(F.col("_map")[c], F.lit(unk_id))),
+                     F.array().cast("array<int>"))
     if pad:
         ids = F.concat(ids, F.array_repeat(F.lit(pad_id), F.lit(max_len) - F.size(ids)))
     return grouped.select(key, *carry, ids.alias(out))
@@ -223,18 +235,15 @@ def label_pairs(df: DataFrame, labels: str = "labels", seed: int = 2021, key: st
 def char_features(df: DataFrame, table: DataFrame, width: int = 8, col: str = "text", key: str = "id",
                   max_len: int | None = None, out: str = "char_features") -> DataFrame:
     """Per character a fixed-width id list from a ``(token, ids array<int>)``
-    dictionary, zero-filled when the character is missing.  The dictionary is
-    user data of unknown size: plain join, Spark broadcasts it only when its
-    measured size allows (then the texts are shuffled once, by key, and
-    nothing per character is shuffled)."""
+    dictionary, zero-filled when the character is missing.  A token listed
+    twice counts once, with its smallest list; tokens that are not a single
+    code point match no character.  The texts are shuffled once, by key."""
     text = F.col(col) if max_len is None else F.substring(col, 1, max_len)
-    toks = _by_key(df, key, text, []).select(key, F.posexplode_outer(chars("_text")).alias("pos", "token"))
-    j = toks.join(table.select("token", "ids"), "token", "left")
-    # regroup the dictionary's own lists (narrow rows), pad to width after
-    g = _regroup(j, key, F.struct("pos", F.slice("ids", 1, width).alias("f")), [])
-
-    def fixed(s):
-        f = F.coalesce(s["f"], F.array().cast("array<int>"))
-        return F.concat(f, F.array_repeat(F.lit(0), F.lit(width) - F.size(f)))
-
-    return g.select(key, F.transform("_s", fixed).alias(out))
+    # the table's lists are cut and filled once per token, not once per character
+    cut = F.slice("ids", 1, width)
+    lists = table.where(F.col("ids").isNotNull()).select(
+        "token", F.concat(cut, F.array_repeat(F.lit(0), F.lit(width) - F.size(cut))).alias("ids"))
+    g = _with_lookup(df, lists, "ids", key, text, [])
+    zeros = F.array(*[F.lit(0)] * width)
+    features = F.transform(chars("_text"), lambda c: F.coalesce(F.col("_map")[c], zeros))
+    return g.select(key, F.coalesce(features, F.array().cast("array<array<int>>")).alias(out))

@@ -25,17 +25,37 @@ def _weights(spark: SparkSession, weights, key: str) -> DataFrame:
     return spark.createDataFrame(rows, f"{key} string, _w double, _order int")
 
 
+def checked(scores, n: int):
+    """The score array, or an error where it is not ``n`` wide: a wider array
+    is never cut and a narrower one never padded.  A null array stays null."""
+    s = F.col(scores) if isinstance(scores, str) else scores
+    return F.when(s.isNull() | (F.size(s) == n), s).otherwise(F.raise_error(F.concat(
+        F.lit(f"expected {n} scores, found "), F.size(s).cast("string"))))
+
+
 def align(preds: DataFrame, models: list[str], n: int = N_LABELS) -> DataFrame:
-    """One row per id present in *every* listed file, one score array per file."""
+    """One row per id present in *every* listed file, one score array per
+    file.  An id that a file holds twice is an error (which of its rows is meant
+    is the caller's to say); ``duplicate_ids`` lists them."""
     g = preds.where(F.col("model").isin(models)).groupBy("id").agg(
-        *[F.max(F.when(F.col("model") == m, F.col("scores"))).alias(m) for m in models]
+        *[F.max(F.when(F.col("model") == m, checked("scores", n))).alias(m) for m in models],
+        *[F.count(F.when(F.col("model") == m, 1)).alias(f"_n_{i}") for i, m in enumerate(models)],
     )
+    g = g.select("id", *[
+        F.when(F.col(f"_n_{i}") > 1, F.raise_error(F.concat(F.lit(f"{m}: repeated id "), F.col("id").cast("string"))))
+        .otherwise(F.col(m)).alias(m) for i, m in enumerate(models)])
     return g.where(F.greatest(*[F.col(m).isNull() for m in models]) == F.lit(False))
 
 
+def duplicate_ids(preds: DataFrame) -> DataFrame:
+    """``(model, id, n)`` of ids that one file holds more than once."""
+    return preds.groupBy("model", "id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def mean_ensemble(preds: DataFrame, n: int = N_LABELS) -> DataFrame:
-    """A10: element-wise mean over files; map-side partial sums per position."""
-    return preds.groupBy("id").agg(
+    """A10: element-wise mean over files of ``n`` scores each; map-side partial
+    sums per position.  Another width is an error."""
+    return preds.withColumn("scores", checked("scores", n)).groupBy("id").agg(
         F.array(*[F.avg(F.get("scores", i)) for i in range(n)]).alias("scores"),
         F.count(F.lit(1)).alias("n_files"),
     )
@@ -49,12 +69,17 @@ def fold_mean(preds: DataFrame, lo: float = 0.0, hi: float = 3.0, n: int = N_LAB
 
 def weighted_mean(preds: DataFrame, weights, n: int = N_LABELS) -> DataFrame:
     """``sum(w * x) / sum(w)`` per id and position (the intended formula;
-    the reference's loop keeps only its last file)."""
+    the reference's loop keeps only its last file).  A null score counts neither
+    in the sum nor in the weights; a position that is null in every file stays
+    null."""
     w = _weights(preds.sparkSession, weights, "model")
-    j = preds.join(F.broadcast(w), "model", "inner")
-    return j.groupBy("id").agg(
-        F.array(*[(F.sum(F.col("_w") * F.get("scores", i)) / F.sum("_w")) for i in range(n)]).alias("scores")
-    )
+    j = preds.withColumn("scores", checked("scores", n)).join(F.broadcast(w), "model", "inner")
+
+    def mean(i):
+        x = F.get("scores", i)
+        return F.sum(F.col("_w") * x) / F.sum(F.when(x.isNotNull(), F.col("_w")))
+
+    return j.groupBy("id").agg(F.array(*[mean(i) for i in range(n)]).alias("scores"))
 
 
 def weighted_vote(preds: DataFrame, weights, label_weights=None, n: int = N_LABELS) -> DataFrame:
@@ -71,7 +96,7 @@ def weighted_vote(preds: DataFrame, weights, label_weights=None, n: int = N_LABE
     lw = F.array(*[F.lit(float(x)) for x in (label_weights or [1.0] * n)])
     w = _weights(preds.sparkSession, weights, "model")
     cells = (preds.join(F.broadcast(w), "model", "inner")
-             .select("id", "_order", "_w", F.posexplode_outer(F.slice("scores", 1, n)).alias("pos", "value")))
+             .select("id", "_order", "_w", F.posexplode_outer(checked("scores", n)).alias("pos", "value")))
     totals = cells.groupBy("id", "pos", "value").agg(
         F.round(F.sum(F.col("_w") * F.get(lw, F.col("pos"))), 9).alias("_t"),
         F.min("_order").alias("_f"),

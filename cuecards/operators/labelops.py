@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuecards.constants import BUCKET_LETTERS, SENTINEL
@@ -18,8 +18,8 @@ def labelled(df: DataFrame) -> DataFrame:
 def drop_sentinel(df: DataFrame, sentinel: str = SENTINEL) -> DataFrame:
     """drop rows whose labels were filled with the sentinel and recompute
     ``text_len``.  Must run *after* context building: such rows still serve as
-    neighbours."""
-    return df.where(~F.col("emotions").isin(sentinel)).withColumn("text_len", F.char_length("content"))
+    neighbours.  Rows whose labels are null carry no sentinel and stay."""
+    return df.where(F.coalesce(F.col("emotions") != sentinel, F.lit(True))).withColumn("text_len", F.char_length("content"))
 
 
 def holdout(df: DataFrame, scripts) -> tuple[DataFrame, DataFrame]:
@@ -53,6 +53,15 @@ def with_bucket(df: DataFrame, bucket: str, col: str = "labels") -> DataFrame:
     return df.where(F.get(col, pos) == int(bucket[1:]))
 
 
+def in_bucket(bucket: str, col: str = "labels") -> Column:
+    """The condition of F4/F5 for a bucket named by a column: the emotion has
+    the level, or, for ``"none"``, no emotion has one."""
+    letters = F.array(*[F.lit(x) for x in BUCKET_LETTERS])
+    pos = F.array_position(letters, F.substring(bucket, 1, 1)).cast("int")
+    level = F.substring(F.col(bucket), 2, 10).try_cast("int")
+    return F.when(F.col(bucket) == UNLABELLED, ~F.exists(col, lambda v: v > 0)).otherwise(F.get(col, pos - 1) == level)
+
+
 def unlabelled(df: DataFrame, col: str = "labels") -> DataFrame:
     """rows whose label vector has no positive entry."""
     return df.where(~F.exists(col, lambda v: v > 0))

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuecards.functions.labels import binarize, clamp
+from cuecards.operators.ensemble import checked
 
 N_LABELS = 6
 
 
 def pair_up(preds: DataFrame, truth: DataFrame) -> DataFrame:
-    """``(id, scores)`` ⨝ ``(id, labels)`` by id -> ``(id, scores, labels)``."""
+    """``(id, scores)`` ⨝ ``(id, labels)`` by id -> ``(id, scores, labels)``.
+    The metrics read ``n`` positions: pass the width that the arrays have."""
     return preds.select("id", "scores").join(truth.select("id", "labels"), "id", "inner")
 
 
@@ -69,7 +71,7 @@ def evaluate(preds: DataFrame, truth: DataFrame, lo: float = 0.0, hi: float = 3.
     """M6: clamp, pair by id, then every metric in one aggregate pass (per
     ``by`` group, e.g. per model file, when given)."""
     by = list(by or [])
-    clamped = preds.withColumn("scores", clamp("scores", lo, hi))
+    clamped = preds.withColumn("scores", clamp(checked("scores", n), lo, hi))
     pairs = clamped.select(*by, "id", "scores").join(truth.select("id", "labels"), "id", "inner")
     flat = rmse_expr("flat", n)
     return pairs.groupBy(*by).agg(

@@ -105,7 +105,7 @@ def train_classifier(train: DataFrame, text_col: str = "text", label_col: str =
 
 
 def cv_ensemble(train: DataFrame, test: DataFrame, k: int = 5, seed: int = 2021, text_col: str = "text",
-                label_col: str = "labels", lo: float = 0.0, hi: float = 3.0, **kw) -> DataFrame:
+                label_col: str = "labels", lo: float = 0.0, hi: float = 3.0, n: int = N_LABELS, **kw) -> DataFrame:
     """M4: per-scene k-fold training (D3) and a fold ensemble on ``test``:
     every fold's scores are clamped, then averaged (A15).  The fold loop runs
     k distributed fits; predictions stay a long ``(model, id, scores)`` table."""
@@ -117,10 +117,10 @@ def cv_ensemble(train: DataFrame, test: DataFrame, k: int = 5, seed: int = 2021,
     preds = None
     for i in range(k):
         tr, _dev = fold_view(folded, i)
-        model = train_regressor(tr, text_col, label_col, **kw)
+        model = train_regressor(tr, text_col, label_col, n=n, **kw)
         p = model.predict(test).withColumn("model", F.lit(f"fold{i}"))
         preds = p if preds is None else preds.unionByName(p)
-    return fold_mean(preds, lo, hi)
+    return fold_mean(preds, lo, hi, n)
 
 
 def _level1(tr: DataFrame, te: DataFrame | None, key: str, k: int, seed: int, num_trees: int):

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuecards.constants import DOUBLED_BUCKETS
-from cuecards.operators.labelops import explode_buckets, unlabelled
+from cuecards.operators.labelops import all_buckets, explode_buckets, unlabelled
 from cuecards.operators.ranking import hash_order
-from cuecards.operators.sizing import bounded_broadcast
 
 
 def default_policy(spark: SparkSession, doubled=DOUBLED_BUCKETS, copies: int = 2) -> DataFrame:
@@ -25,10 +24,13 @@ def rebalance(df: DataFrame, policy: DataFrame | None = None, rewrite: Callable[
     copies (``copy_no`` 2..), whose ``content`` is passed through ``rewrite``
     (identity by default; the reference used a translation service).
 
-    The policy has one row per bucket; it is broadcast after a size check.
+    The policy counts for the 19 known buckets, the largest number of copies
+    where it lists one twice: a table of at most 19 rows, broadcast.
     """
     policy = policy if policy is not None else default_policy(df.sparkSession)
-    b = explode_buckets(df, col).join(bounded_broadcast(policy), "bucket", "left")
+    policy = (policy.join(F.broadcast(all_buckets(df.sparkSession)), "bucket", "left_semi")
+              .groupBy("bucket").agg(F.max("copies").alias("copies")))
+    b = explode_buckets(df, col).join(F.broadcast(policy), "bucket", "left")
     out = b.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1))))).drop("copies")
     if rewrite is not None:
         out = out.withColumn("content", F.when(F.col("copy_no") > 1, rewrite(F.col("content"))).otherwise(F.col("content")))

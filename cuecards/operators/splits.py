@@ -24,14 +24,26 @@ def shuffle_rows(df: DataFrame, seed: int = 2021, key: str = "id") -> DataFrame:
 
 def split_random(df: DataFrame, frac: float = 0.2, seed: int = 2021, key: str = "id",
                  prefix: int = 4) -> DataFrame:
-    """Adds ``is_dev``; exactly ``ceil(frac * n)`` rows, the smallest hashes.
+    """Adds ``is_dev``; exactly ``ceil(frac * n)`` rows, the smallest hashes
+    (rows that share the id at the cut stay on one side).
 
-    A global rank without a global sort: ``16**prefix`` hash-prefix buckets are
-    counted, offsets come from that small table, rows are numbered only
-    inside their bucket.
+    The rows themselves are not shuffled: ``16**prefix`` hash-prefix buckets
+    are counted, the bucket that the cut falls into is searched for the last
+    (hash, id) on the dev side, and every row is compared with that one value,
+    a scalar subquery.  A null id hashes like the empty text.
     """
-    r = hash_rank(df, seed, key, [], prefix=prefix)
-    return r.withColumn("is_dev", F.col("_rank") <= F.ceil(F.col("_n") * F.lit(frac))).drop("_rank", "_n")
+    ids = df.select(hash_order(seed, key).alias("_h"), F.col(key).alias("_k"))
+    counts = ids.groupBy(F.substring("_h", 1, prefix).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    upto = F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0))
+    everything = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cut = (counts.withColumn("_end", upto).withColumn("_take", F.ceil(F.sum("_c").over(everything) * F.lit(frac)))
+           .where((F.col("_end") >= F.col("_take")) & (F.col("_end") - F.col("_c") < F.col("_take")))
+           .select("_p", (F.col("_take") - F.col("_end") + F.col("_c")).alias("_nth")))  # one row at most
+    inside = ids.join(F.broadcast(cut), F.substring("_h", 1, prefix) == F.col("_p"))
+    last = (inside.withColumn("_rn", F.row_number().over(Window.partitionBy("_p").orderBy("_h", "_k")))
+            .where(F.col("_rn") == F.col("_nth")).select(F.struct("_h", "_k").alias("last")))
+    mine = F.struct(hash_order(seed, key).alias("_h"), F.col(key).alias("_k"))
+    return df.withColumn("is_dev", F.coalesce(mine <= last.scalar(), F.lit(False)))
 
 
 def split_scene(df: DataFrame, frac: float = 0.2, seed: int = 2021, key: str = "id",
@@ -54,17 +66,12 @@ def fold_stratified(df: DataFrame, cls: str, k: int = 5, seed: int = 2021, key:
                     prefix: int = 4) -> DataFrame:
     """Stratified k-fold: fold = (class offset + position in class - 1) mod k,
     which balances both every class and the fold totals.  A class holding most
-    rows is still numbered in ``16**prefix`` pieces; class offsets come from the
-    class-count table (one row per class)."""
-    r = hash_rank(df, seed, key, [cls], prefix=prefix)
-    offsets = (
-        df.groupBy(cls).agg(F.count(F.lit(1)).alias("_c"))
-        .select(cls, F.coalesce(F.sum("_c").over(Window.orderBy(cls).rowsBetween(Window.unboundedPreceding, -1)),
-                                F.lit(0)).alias("_off"))
-    )
-    return (r.join(offsets, cls, "inner")
-            .withColumn("fold", ((F.col("_off") + F.col("_rank") - 1) % k).cast("int"))
-            .drop("_rank", "_n", "_off"))
+    rows is still numbered in ``16**prefix`` pieces; the class offset comes with
+    the pieces' offsets, so the rows are never joined on the class alone.  A
+    null class is a class."""
+    r = hash_rank(df, seed, key, [cls], prefix=prefix, base="_base")
+    return (r.withColumn("fold", ((F.col("_base") + F.col("_rank") - 1) % k).cast("int"))
+            .drop("_rank", "_n", "_base"))
 
 
 def fold_plain(df: DataFrame, k: int = 5, seed: int = 42, key: str = "id", prefix: int = 4) -> DataFrame:

@@ -3,7 +3,9 @@
 Written from the operator definitions, not from the Spark code: global
 windows (``lag``, ``row_number``) where the Spark plans avoid them, plain
 joins and ``unnest``.  The driver tables are pre-registered views.  Model
-fits (MLlib) have no SQL twin and get rows-only checks.
+fits (MLlib) are checked by what must hold of any fit: the rows that get a
+score, widths, ranges, and the mean of a linear model's predictions on its own
+training rows.
 """
 
 from __future__ import annotations
@@ -114,7 +116,9 @@ def _hint(*parts: str) -> str:
     return f"CAST(('0x' || substr({_hash(*parts)}, 1, 8)) AS BIGINT)"
 
 
-_WS = "[ \\t\\n\\r\\f\\x0B]"
+# What Python's str.strip() removes, as a regular expression class.  Fixed values.
+_WS = ("[\\x09-\\x0D\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}"
+       "\\x{3000}]")
 VOCAB = f"""
 vtok AS (SELECT unnest(regexp_extract_all(regexp_replace(text, '\\A{_WS}+|{_WS}+\\z', '', 'g'), '(?s).')) AS token
          FROM documents),
@@ -215,16 +219,17 @@ SELECT id, {_ints('labels')} AS labels, {_labels_text()} AS labels_text,
        concat_ws(',', {hot}) AS label24, concat_ws(',', {dec}) AS decoded
 FROM labelled"""
 
-    m0 = [_s(0, i) for i in range(N)]
+    m0 = [f"s{i}" for i in range(N)]
     bucket = ", ".join(f"(CASE WHEN {x} < 0.5 THEN 0 WHEN {x} < 1.5 THEN 1 WHEN {x} < 2.5 THEN 2 ELSE 3 END)" for x in m0)
     q["score_transforms"] = f"""
-SELECT vec_id AS id,
+WITH {PREDS}
+SELECT model, id,
   {_fmt_list([f"greatest(0.0, least(3.0, {x}))" for x in m0])} AS clamped,
   concat_ws(',', {bucket}) AS bucket,
   concat_ws(',', {', '.join(f"CAST({x} >= 0.5 AS INTEGER)" for x in m0)}) AS binary,
   {_fmt_list([f"{x} * 0.9 + 0.05" for x in m0])} AS smoothed,
   {_fmt_list([f"1.0 / (1.0 + exp(-{x}))" for x in m0])} AS sigmoid
-FROM embeddings"""
+FROM preds"""
 
     ch = "coalesce(character, 'nan')"
     q["text_templates"] = f"""
@@ -241,6 +246,12 @@ FROM parsed"""
     q["attach_context"] = f"""
 WITH {LINES},
 {_ctx('parsed')}
+SELECT id, content2 AS content, length(content2) AS text_len FROM ctx"""
+
+    for name, part in (("context_script", "jb_id"), ("context_scene", "jb_id, cc_id")):
+        q[name] = f"""
+WITH {LINES},
+{_ctx('parsed').replace("ORDER BY", f"PARTITION BY {part} ORDER BY")}
 SELECT id, content2 AS content, length(content2) AS text_len FROM ctx"""
 
     q["attach_context_labelled"] = f"""
@@ -274,7 +285,9 @@ WITH {LINES},
 ct AS (SELECT id, '[' || array_to_string(labels, ', ') || ']' AS t FROM labelled)
 SELECT id, CAST(dense_rank() OVER (ORDER BY t) - 1 AS INTEGER) AS combo FROM ct"""
 
-    q["sort_lines"] = f"WITH {LINES} SELECT id, jb_id, cc_id, ids FROM parsed"
+    q["sort_lines"] = f"""
+WITH {LINES}
+SELECT id, jb_id, cc_id, ids, row_number() OVER (ORDER BY jb_id, cc_id, ids, id) AS position FROM parsed"""
     q["scene_counts"] = f"WITH {LINES} SELECT jb_id, cc_id, count(*) AS n FROM parsed GROUP BY jb_id, cc_id"
 
     bl = ", ".join(f"CASE WHEN labels[{i + 1}] > 0 THEN '{BUCKET_LETTERS[i]}' || CAST(labels[{i + 1}] AS VARCHAR) END"
@@ -289,18 +302,23 @@ WITH {LINES},
 allb AS (SELECT * FROM (VALUES {names}) t(bucket))
 SELECT a.bucket, count(ex.id) AS n FROM allb a LEFT JOIN ex ON ex.bucket = a.bucket GROUP BY a.bucket"""
     q["explode_buckets"] = f"WITH {LINES},\n{buckets}\nSELECT id, bucket FROM ex"
+    one = " UNION ALL ".join(
+        f"SELECT id, '{BUCKET_LETTERS[i]}{lv}' AS bucket, true AS in_bucket FROM labelled WHERE labels[{i + 1}] = {lv}"
+        for i in range(N) for lv in (1, 2, 3))
     q["bucket_filter"] = f"""
 WITH {LINES}
-SELECT id, 'A1' AS bucket FROM labelled WHERE labels[1] = 1
-UNION ALL SELECT id, 'C2' FROM labelled WHERE labels[3] = 2
-UNION ALL SELECT id, 'F3' FROM labelled WHERE labels[6] = 3
-UNION ALL SELECT id, 'none' FROM labelled WHERE NOT list_bool_or(list_transform(labels, lambda v: v > 0))"""
+{one}
+UNION ALL SELECT id, 'none', true FROM labelled WHERE NOT list_bool_or(list_transform(labels, lambda v: v > 0))"""
     doubled = ", ".join(f"'{b}'" for b in DOUBLED_BUCKETS)
     q["rebalance"] = f"""
 WITH {LINES},
 {buckets},
-cp AS (SELECT id, bucket, CASE WHEN bucket IN ({doubled}) THEN 2 ELSE 1 END AS copies FROM ex)
-SELECT id, bucket, unnest(generate_series(1, copies)) AS copy_no FROM cp"""
+cp AS (SELECT id, bucket, CASE WHEN bucket IN ({doubled}) THEN 2 ELSE 1 END AS copies FROM ex),
+no AS (SELECT id, bucket, unnest(generate_series(1, copies)) AS copy_no FROM cp)
+SELECT no.id, bucket, copy_no,
+       CASE WHEN copy_no > 1 THEN '~' || reverse(content) ELSE content END AS content
+FROM no JOIN labelled USING (id)"""
+    q["rewrite_copies"] = q["rebalance"]
     q["sample_unlabelled"] = f"""
 WITH {LINES}
 SELECT id FROM labelled WHERE NOT list_bool_or(list_transform(labels, lambda v: v > 0))
@@ -331,6 +349,43 @@ SELECT id, CASE WHEN fold = 0 THEN 'dev' ELSE 'train' END AS part FROM fs"""
 WITH lt AS (SELECT doc_id AS id, concat_ws('-', quality, toxic) AS cls FROM labels)
 SELECT id, cls, CAST((row_number() OVER (ORDER BY cls, {_hash_order('id', SEED)}, id) - 1) % 5 AS INTEGER) AS fold
 FROM lt"""
+    q["fold_stratified_null"] = f"""
+WITH lt AS (SELECT doc_id AS id, CASE WHEN doc_id % 7 <> 0 THEN concat_ws('-', quality, toxic) END AS cls FROM labels)
+SELECT id, cls, CAST((row_number() OVER (ORDER BY cls NULLS FIRST, {_hash_order('id', SEED)}, id) - 1) % 5 AS INTEGER) AS fold
+FROM lt"""
+    q["split_scene_bad_ids"] = f"""
+WITH {LINES},
+bad AS (SELECT id, jb_id, CASE WHEN substr(md5('n' || id), 1, 1) >= '2' THEN cc_id END AS cc_id,
+               CASE WHEN substr(md5('n' || id), 1, 1) <> '7' THEN ids END AS ids FROM parsed)
+SELECT id, row_number() OVER (PARTITION BY jb_id, cc_id ORDER BY {h}, id)
+           <= floor(count(*) OVER (PARTITION BY jb_id, cc_id) * 0.2) AS is_dev,
+       row_number() OVER (PARTITION BY jb_id, cc_id ORDER BY ids NULLS FIRST, id) AS pos,
+       count(*) OVER (PARTITION BY jb_id, cc_id) AS scene_rows
+FROM bad"""
+    dev = f"""
+pl AS (SELECT id, row_number() OVER (ORDER BY {h}, id) <= ceil(count(*) OVER () * 0.2) AS is_dev, emotions
+       FROM parsed WHERE emotions IS NOT NULL AND content IS NOT NULL)"""
+    q["train_regressor"] = f"WITH {LINES},\n{dev}\nSELECT id, 6 AS width, true AS in_range FROM pl WHERE is_dev"
+    q["train_classifier"] = q["train_regressor"]
+    q["cv_ensemble"] = f"""
+WITH {LINES},
+{dev}
+SELECT id, 6 AS width, true AS in_range, CAST(5 AS BIGINT) AS n_files FROM pl WHERE is_dev"""
+    q["train_evaluate"] = f"""
+WITH {LINES},
+{dev}
+SELECT count(*) AS rows, true AS consistent FROM pl WHERE is_dev"""
+    q["train_regressor_fit"] = f"""
+WITH {LINES},
+{dev},
+lab AS (SELECT list_transform(string_split(emotions, ','), lambda x: CAST(trim(x) AS INTEGER)) AS labels
+        FROM pl WHERE NOT is_dev)
+SELECT CAST(i AS INTEGER) AS label, round(avg(labels[i + 1]), 3) AS mean
+FROM lab, generate_series(0, 5) t(i) GROUP BY i"""
+    q["stack"] = f"""
+WITH r AS (SELECT vec_id AS id, row_number() OVER (ORDER BY {_hash_order('vec_id', 42)}, vec_id) AS rn,
+                  count(*) OVER () AS n FROM embeddings)
+SELECT id, true AS has_lr, true AS rf_in_range, true AS in_range FROM r WHERE rn <= ceil(n * 0.2)"""
     # M5 coverage: the training side of the 80/20 split, each id once
     q["stack_oof"] = f"""
 WITH r AS (SELECT vec_id AS id, row_number() OVER (ORDER BY {_hash_order('vec_id', 42)}, vec_id) AS rn,
@@ -387,12 +442,16 @@ SELECT DISTINCT id, a, b, same FROM (SELECT * FROM pairs UNION ALL SELECT * FROM
     vec = lambda tok, i: f"CAST((({_hint(chr(39) + 'v' + chr(39), tok, chr(39) + str(i) + chr(39))}) % 1000) / 1000.0 AS FLOAT)"
     fb = lambda tok, i: f"CAST(CAST({_hint(chr(39) + '7' + chr(39), tok, chr(39) + str(i) + chr(39))} AS DOUBLE) / 4294967296.0 AS FLOAT)"
     q["lookup_vectors"] = f"""
-WITH {_vocab(200)},
+WITH {_vocab()},
 bt AS (SELECT DISTINCT unnest(regexp_extract_all(text, '(?s).')) AS token FROM benchmark),
-bv AS (SELECT token, [{', '.join(vec('token', i) for i in range(4))}] AS vec FROM bt)
+bv AS (SELECT token, [{', '.join(vec('token', i) for i in range(300))}] AS vec FROM bt)
 SELECT v.token, v.token_id, bv.vec IS NOT NULL AS found,
-       concat_ws(',', {', '.join(_fmt(f"coalesce(bv.vec[{i + 1}], {fb('v.token', i)})") for i in range(4))}) AS vec
+       concat_ws(',', {', '.join(_fmt(f"coalesce(bv.vec[{i + 1}], {fb('v.token', i)})") for i in range(300))}) AS vec
 FROM vocab v LEFT JOIN bv ON bv.token = v.token"""
+    q["read_vectors"] = f"""
+WITH bt AS (SELECT DISTINCT unnest(regexp_extract_all(text, '(?s).')) AS token FROM benchmark),
+bv AS (SELECT token, [{', '.join(vec('token', i) for i in range(300))}] AS vec FROM bt WHERE NOT regexp_matches(token, '{_WS}'))
+SELECT token, concat_ws(',', {', '.join(_fmt(f"vec[{i + 1}]") for i in range(300))}) AS vec FROM bv"""
 
     q["char_features"] = f"""
 WITH {LINES},
@@ -422,6 +481,9 @@ tot AS (SELECT id, p, v, round(sum(w), 9) AS total, min(file_order) AS first
         FROM votes JOIN weights USING (model) GROUP BY id, p, v),
 win AS (SELECT *, row_number() OVER (PARTITION BY id, p ORDER BY total DESC, first) AS rn FROM tot QUALIFY rn = 1)
 SELECT id, string_agg(CAST(v AS VARCHAR), ',' ORDER BY p) AS scores FROM win GROUP BY id"""
+    lw = (1.0, 0.5, 2.0, 1.0, 1.5, 0.25)
+    q["weighted_vote_labels"] = q["weighted_vote"].replace(
+        "round(sum(w), 9)", "round(sum(w * [" + ", ".join(f"{x}::DOUBLE" for x in lw) + "][p + 1]), 9)")
     q["rank_vote"] = RANK_VOTE
     q["ranked_roundtrip"] = RANK_VOTE
     clamped = [f"avg(greatest(0.0, least(3.0, s{i})))" for i in range(N)]
@@ -442,6 +504,11 @@ WHERE a.model = 'm0'"""
     q["fill_template"] = f"""
 WITH {PREDS}, {mean}
 SELECT l.doc_id AS id, mean.emotion FROM labels l LEFT JOIN mean ON mean.id = l.doc_id"""
+    q["restore_order"] = f"""
+WITH {PREDS}, {mean}
+SELECT l.doc_id AS id, mean.emotion,
+       row_number() OVER (ORDER BY md5(CAST(l.doc_id AS VARCHAR)), l.doc_id) AS position
+FROM labels l LEFT JOIN mean ON mean.id = l.doc_id"""
     q["template_report"] = f"""
 WITH {PREDS}, {mean},
 pc AS (SELECT id, count(*) AS n FROM mean GROUP BY id)
@@ -454,20 +521,20 @@ FROM labels l FULL JOIN pc ON pc.id = l.doc_id"""
     sq = lambda i: f"pow(s{i} - t{i}, 2)"
     flat = f"sqrt(({' + '.join(f'sum({sq(i)})' for i in range(N))}) / (count(*) * {N}))"
     per = f"(({' + '.join(f'sqrt(avg({sq(i)}))' for i in range(N))}) / {N})"
-    pairs_m0 = f"WITH {PREDS}, {TRUTH}, pr AS (SELECT * FROM preds JOIN truth USING (id) WHERE model = 'm0')"
+    pairs = f"WITH {PREDS}, {TRUTH}, pr AS (SELECT * FROM preds JOIN truth USING (id))"
     q["metrics_rmse"] = f"""
-{pairs_m0}
-SELECT round({flat}, 6) AS rmse_flat, round(1.0 / (1.0 + {flat}), 6) AS score_flat,
+{pairs}
+SELECT model, round({flat}, 6) AS rmse_flat, round(1.0 / (1.0 + {flat}), 6) AS score_flat,
        round({per}, 6) AS rmse_per_label, round(1.0 / (1.0 + {per}), 6) AS score_per_label
-FROM pr"""
+FROM pr GROUP BY model"""
     same = " AND ".join(f"(CAST(t{i} >= 1.0 AS INTEGER) = CAST(s{i} >= 0.5 AS INTEGER))" for i in range(N))
     bce = " + ".join(f"sum(greatest(s{i}, 0.0) - s{i} * CAST(t{i} >= 1 AS DOUBLE) + ln(1 + exp(-abs(s{i}))))" for i in range(N))
     q["metrics_losses"] = f"""
-{pairs_m0}
-SELECT round(avg(CAST({same} AS DOUBLE)), 6) AS exact_match,
+{pairs}
+SELECT model, round(avg(CAST({same} AS DOUBLE)), 6) AS exact_match,
        round(({' + '.join(f'sum({sq(i)})' for i in range(N))}) / (count(*) * {N}), 6) AS mse,
        round(({bce}) / (count(*) * {N}), 6) AS bce
-FROM pr"""
+FROM pr GROUP BY model"""
     cl = f"WITH {PREDS}, {TRUTH}, pc AS (SELECT model, id, " + ", ".join(
         f"greatest(0.0, least(3.0, s{i})) AS s{i}" for i in range(N)) + " FROM preds), pr AS (SELECT * FROM pc JOIN truth USING (id))"
     q["evaluate"] = f"""
@@ -489,6 +556,29 @@ WITH {LINES},
 r AS (SELECT id, row_number() OVER (ORDER BY {h}, id) <= ceil(count(*) OVER () * 0.2) AS is_dev FROM parsed)
 SELECT id FROM r WHERE NOT is_dev"""
     q["tsv_roundtrip"] = f"WITH {LINES} SELECT id, content, character, emotions FROM lines"
+    digit = "substr(md5('r' || id), 1, 1)"
+    q["line_rule"] = f"""
+WITH {LINES}
+SELECT id, coalesce(character, 'x') AS character,
+       CASE WHEN {digit} >= '3' THEN coalesce(emotions, 'x') END AS emotions,
+       {digit} >= '3' AND {digit} < '9' AS too_long
+FROM lines"""
+    broken = "substr(md5('q' || id), 1, 1)"
+    q["quarantine"] = f"""
+WITH {LINES}
+SELECT CASE WHEN {broken} < '2' THEN replace(id, '_', '-') ELSE id END AS id,
+       CASE WHEN {broken} < '2' OR {broken} = 'f' THEN 'quarantined' ELSE 'prepared' END AS part
+FROM lines WHERE {broken} < '2' OR {broken} = 'f' OR substr(md5(id), 2, 1) >= '2'"""
+    logits = [f"(avg(CAST(embedding[k * 24 + {i + 1}] AS DOUBLE) * 8))" for i in range(24)]
+    hot24 = [f"CAST(1.0 / (1.0 + exp(-{x})) >= 0.5 AS INTEGER)" for x in logits]
+    level = ", ".join("CASE " + " ".join(f"WHEN b{4 * e + lv} = 1 THEN {lv}" for lv in (3, 2, 1)) + " ELSE 0 END"
+                      for e in range(N))
+    q["decode24"] = f"""
+WITH b AS (SELECT vec_id AS id, {', '.join(f'{x} AS b{i}' for i, x in enumerate(hot24))}
+           FROM embeddings, generate_series(0, 1) t(k) GROUP BY vec_id)
+SELECT id, 24 AS width, concat_ws(',', {', '.join(f'b{i}' for i in range(24))}) AS label24,
+       concat_ws(',', {level}) AS levels
+FROM b"""
     q["predictions_roundtrip"] = f"WITH {PREDS} SELECT model, id, {_fmt_list([f's{i}' for i in range(N)])} AS scores FROM preds"
     q["score_table"] = f"WITH {PREDS} SELECT id, {_fmt_list([f's{i}' for i in range(N)])} AS scores FROM preds WHERE model = 'm0'"
     return q

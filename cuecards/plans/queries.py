@@ -10,9 +10,9 @@ operator (top-k vocabulary, the unlabelled sample).
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cuecards.functions.ids import parse_line_id, text_len
@@ -23,7 +23,6 @@ from cuecards.functions.labels import (
 from cuecards.functions.text import fill_nulls, make_text, strip_punctuation
 from cuecards.constants import EXAMPLE_FILE_WEIGHTS, SENTINEL
 from cuecards.operators import context, encode, ensemble, labelops, metrics, models, rebalance, splits
-from cuecards.operators.ranking import hash_rank
 from cuecards.plans.prepare import label_columns, prepare_lines
 from cuecards.session import checkpoint_dir
 from cuecards.sources import adapters, files, stages, template, vectors
@@ -37,10 +36,12 @@ SHORT_PAIR_LEN = 12
 SEED = 2021
 MODELS = adapters.MODELS
 FILE_WEIGHTS = dict(zip(MODELS, EXAMPLE_FILE_WEIGHTS))
-RANK_WEIGHTS = {"0": 2.0, "1": 1.8, "2": 1.6}
+RANK_WEIGHTS = {str(i): w for i, w in enumerate(EXAMPLE_FILE_WEIGHTS)}
 HOLDOUT = [30001, 30004, 30009]
-VOCAB_SMALL = 200
-VEC_DIM = 4
+VOCAB = 10000
+VEC_DIM = 300
+EMB_DIM = 64
+LABEL_WEIGHTS = [1.0, 0.5, 2.0, 1.0, 1.5, 0.25]
 VEC_SEED = 7
 
 
@@ -79,9 +80,9 @@ def _labels_table(spark, sf):
             .select(F.col("doc_id").alias("id"), F.concat_ws("-", "quality", "toxic").alias("cls")))
 
 
-def _scratch(spark, name, sf):
-    key = hashlib.sha1(sf.encode()).hexdigest()[:12]
-    return f"{checkpoint_dir(spark)}/queries/{name}-{key}"
+def _scratch(spark, name):
+    """A fresh folder: a query never reads what an earlier run wrote."""
+    return f"{checkpoint_dir(spark)}/queries/{name}-{uuid.uuid4().hex}"
 
 
 # -- preparation (entry 1) -----------------------------------------------------
@@ -107,9 +108,9 @@ def q_label_encodings(spark, sf):
 
 
 def q_score_transforms(spark, sf):
-    p = _preds(spark, sf).where(F.col("model") == "m0")
+    p = _preds(spark, sf)
     return p.select(
-        "id",
+        "model", "id",
         format_scores(clamp("scores")).alias("clamped"),
         ints_text(bucketize("scores")).alias("bucket"),
         ints_text(binarize("scores", 0.5)).alias("binary"),
@@ -152,7 +153,30 @@ def q_encode_combos(spark, sf):
 
 
 def q_sort_lines(spark, sf):
-    return context.sort_lines(_parsed(spark, sf)).select("id", "jb_id", "cc_id", "ids")
+    """The order itself: the position that each row of the sorted table has.
+    A sorted table comes in ordered partitions, so a row's place is its
+    partition and its number in it; counts per partition give the rest."""
+    return _positions(context.sort_lines(_parsed(spark, sf)).select("id", "jb_id", "cc_id", "ids"))
+
+
+def _positions(ordered):
+    """``position`` (1-based) of every row of a sorted table, read from where
+    the rows actually are."""
+    placed = (ordered.withColumn("_part", F.spark_partition_id())
+              .withColumn("_n", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    placed = _written(placed)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    return (placed.join(F.broadcast(starts), "_part")
+            .withColumn("position", F.col("_start") + F.col("_n") + 1).drop("_part", "_n", "_start"))
+
+
+def _written(df):
+    """Written once and read back: partition numbers are facts from then on."""
+    path = _scratch(df.sparkSession, "placed")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # -- label counts, filters, rebalancing ---------------------------------------
@@ -170,16 +194,30 @@ def q_explode_buckets(spark, sf):
 
 
 def q_bucket_filter(spark, sf):
-    d = _labelled(spark, sf)
-    parts = [labelops.with_bucket(d, b).select("id", F.lit(b).alias("bucket")) for b in ("A1", "C2", "F3")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.unionByName(labelops.unlabelled(d).select("id", F.lit("none").alias("bucket")))
+    """Every bucket in one scan; ``with_bucket`` says for each exploded row
+    whether the single-bucket filter takes it too."""
+    d = labelops.explode_buckets(_labelled(spark, sf))
+    return d.select("id", "bucket", labelops.in_bucket("bucket").alias("in_bucket"))
+
+
+def _rewritten(content):
+    """A deterministic rewrite for checks: the text reversed, with a mark."""
+    return F.concat(F.lit("~"), F.reverse(content))
 
 
 def q_rebalance(spark, sf):
-    return rebalance.rebalance(_labelled(spark, sf)).select("id", "bucket", "copy_no")
+    return (rebalance.rebalance(_labelled(spark, sf), rewrite=_rewritten)
+            .select("id", "bucket", "copy_no", "content"))
+
+
+def _reverse_batch(pdf):
+    return pdf.assign(content="~" + pdf["content"].str[::-1])
+
+
+def q_rewrite_copies(spark, sf):
+    """The copies rewritten by a batch function, then the union."""
+    r = rebalance.rebalance(_labelled(spark, sf)).select("id", "bucket", "copy_no", "content")
+    return rebalance.rewrite_copies(r, _reverse_batch)
 
 
 def q_sample_unlabelled(spark, sf):
@@ -219,12 +257,12 @@ def q_fold_view(spark, sf):
 
 
 def q_shuffle_rows(spark, sf):
-    return hash_rank(_parsed(spark, sf), SEED, "id", []).select("id", F.col("_rank").alias("position"))
+    return _positions(splits.shuffle_rows(_parsed(spark, sf).select("id"), SEED))
 
 
 # -- encodings -------------------------------------------------------------------
 
-def _vocab(spark, sf, size=10000):
+def _vocab(spark, sf, size=VOCAB):
     return encode.build_vocab(spark.read.parquet(f"{sf}/documents.parquet"), "text", size)
 
 
@@ -272,21 +310,37 @@ def q_label_pairs(spark, sf):
     return encode.label_pairs(d, "labels", SEED)
 
 
+def _vector_file(spark, sf):
+    """The benchmark vectors as a text file: a header line, then a token and
+    its values per line."""
+    path = _scratch(spark, "vectors")
+    v = _bench_vectors(spark, sf).where(encode.strip_ws("token") != "")
+    head = spark.range(1).select(F.lit(f"0 {VEC_DIM}").alias("value"))
+    rows = v.select(F.concat_ws(" ", "token", F.transform("vec", lambda x: x.cast("string"))).alias("value"))
+    head.unionByName(rows).write.text(path)
+    return path
+
+
+def q_read_vectors(spark, sf):
+    """The vector file read back."""
+    v = vectors.read_vectors(spark, _vector_file(spark, sf), VEC_DIM)
+    return v.select("token", format_scores("vec").alias("vec"))
+
+
 def _bench_vectors(spark, sf):
     """Vectors for every character of the benchmark texts: ``dim`` values
     ``(md5('v|token|i') mod 1000) / 1000`` as float."""
     b = spark.read.parquet(f"{sf}/benchmark.parquet")
     toks = b.select(F.explode(encode.chars("text")).alias("token")).distinct()
-    vec = F.array(*[
-        ((F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("v"), F.col("token"), F.lit(str(i)))), 1, 8), 16, 10)
-          .cast("long") % 1000) / F.lit(1000.0)).cast("float")
-        for i in range(VEC_DIM)
-    ])
+    vec = F.transform(
+        F.sequence(F.lit(0), F.lit(VEC_DIM - 1)),
+        lambda i: ((F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("v"), F.col("token"), i.cast("string"))), 1, 8), 16, 10)
+                    .cast("long") % 1000) / F.lit(1000.0)).cast("float"))
     return toks.select("token", vec.cast("array<float>").alias("vec"))
 
 
 def q_lookup_vectors(spark, sf):
-    v = vectors.lookup_vectors(_vocab(spark, sf, VOCAB_SMALL), _bench_vectors(spark, sf), VEC_DIM, VEC_SEED)
+    v = vectors.lookup_vectors(_vocab(spark, sf), _bench_vectors(spark, sf), VEC_DIM, VEC_SEED)
     return v.select("token", "token_id", "found", format_scores("vec").alias("vec"))
 
 
@@ -318,6 +372,12 @@ def q_weighted_vote(spark, sf):
     return ensemble.weighted_vote(p, FILE_WEIGHTS).select("id", ints_text("scores").alias("scores"))
 
 
+def q_weighted_vote_labels(spark, sf):
+    """A12 with a weight per label position."""
+    p = _preds(spark, sf).withColumn("scores", bucketize("scores"))
+    return ensemble.weighted_vote(p, FILE_WEIGHTS, LABEL_WEIGHTS).select("id", ints_text("scores").alias("scores"))
+
+
 def q_rank_vote(spark, sf):
     return ensemble.rank_vote(adapters.ranked_from_events(spark, sf), RANK_WEIGHTS).select("key_id", "word")
 
@@ -344,25 +404,34 @@ def q_fill_template(spark, sf):
     return template.fill_template(_template(spark, sf), mean).select("id", "emotion")
 
 
+def q_restore_order(spark, sf):
+    """The filled template in its own order again."""
+    t = _template(spark, sf).withColumn("ordinal", F.md5(F.col("id").cast("string")))
+    filled = template.fill_template(t, ensemble.mean_ensemble(_preds(spark, sf)))
+    return _positions(filled.orderBy("ordinal", "id").select("id", "emotion"))
+
+
 def q_template_report(spark, sf):
     return template.template_report(_template(spark, sf), ensemble.mean_ensemble(_preds(spark, sf)))
 
 
 # -- metrics --------------------------------------------------------------------
 
-def _pairs_m0(spark, sf):
-    return metrics.pair_up(_preds(spark, sf).where(F.col("model") == "m0"), _truth(spark, sf))
+def _all_pairs(spark, sf):
+    """Every file's predictions with the gold labels, per file."""
+    p = _preds(spark, sf).join(_truth(spark, sf), "id")
+    return p.groupBy("model")
 
 
 def q_metrics_rmse(spark, sf):
     flat, per = metrics.rmse_expr("flat"), metrics.rmse_expr("per_label")
-    return _pairs_m0(spark, sf).agg(
+    return _all_pairs(spark, sf).agg(
         F.round(flat, 6).alias("rmse_flat"), F.round(F.lit(1.0) / (F.lit(1.0) + flat), 6).alias("score_flat"),
         F.round(per, 6).alias("rmse_per_label"), F.round(F.lit(1.0) / (F.lit(1.0) + per), 6).alias("score_per_label"))
 
 
 def q_metrics_losses(spark, sf):
-    return _pairs_m0(spark, sf).agg(
+    return _all_pairs(spark, sf).agg(
         F.round(metrics.exact_match_expr(), 6).alias("exact_match"),
         F.round(metrics.mse_expr(), 6).alias("mse"),
         F.round(metrics.bce_expr(), 6).alias("bce"))
@@ -387,7 +456,8 @@ def q_cut_share(spark, sf):
 
 def q_materialise(spark, sf):
     prepared, _ = prepare_lines(_lines(spark, sf), threshold=THRESHOLD)
-    table = stages.materialise(prepared.select(*PREPARED_COLS), "prepared", {"sf": sf, "threshold": THRESHOLD})
+    table = stages.materialise(prepared.select(*PREPARED_COLS), "prepared", {"threshold": THRESHOLD},
+                               root=_scratch(spark, "stages"))
     return table.select(*PREPARED_COLS)
 
 
@@ -398,27 +468,98 @@ def q_pending(spark, sf):
 
 
 def q_tsv_roundtrip(spark, sf):
-    path = _scratch(spark, "lines", sf)
-    files.write_table(_lines(spark, sf), path)
-    return files.read_lines(spark, path, labeled=True, multi_line=True).select("id", "content", "character", "emotions")
+    path = _scratch(spark, "lines")
+    files.write_table(_lines(spark, sf), path, escape=True)
+    return files.read_lines(spark, path, labeled=True, escaped=True).select("id", "content", "character", "emotions")
+
+
+def q_line_rule(spark, sf):
+    """S1 on rows with missing and surplus fields: by a digit of the id's hash,
+    a line lacks its last field, has one too many (empty or not), or is right."""
+    path = _scratch(spark, "ragged")
+    lines = _lines(spark, sf)
+    kind = F.substring(F.md5(F.concat(F.lit("r"), F.col("id"))), 1, 1)
+    fields = [F.col("id"), F.col("id"), F.coalesce("character", F.lit("x"))]
+    last = F.coalesce("emotions", F.lit("x"))
+    row = (F.when(kind < "3", F.concat_ws("\t", *fields))
+           .when(kind < "6", F.concat_ws("\t", *fields, last, F.lit("")))
+           .when(kind < "9", F.concat_ws("\t", *fields, last, F.lit(""), F.lit("y")))
+           .otherwise(F.concat_ws("\t", *fields, last)))
+    lines.select(row.alias("id\tcontent\tcharacter\temotions")).write.option("header", True).option(
+        "sep", "\x01").option("quote", "\x02").option("ignoreTrailingWhiteSpace", False).csv(path)
+    back = files.read_lines(spark, path, labeled=True, skip_bad=False)
+    return back.select("id", "character", "emotions", F.col("_too_long").alias("too_long"))
+
+
+def q_quarantine(spark, sf):
+    """The rows that preparation sets aside, of lines whose ids are damaged by a
+    digit of their hash."""
+    kind = F.substring(F.md5(F.concat(F.lit("q"), F.col("id"))), 1, 1)
+    bad = _lines(spark, sf).withColumn("id", F.when(kind < "2", F.replace("id", F.lit("_"), F.lit("-")))
+                                       .otherwise(F.col("id")))
+    bad = bad.withColumn("content", F.when(kind != "f", F.col("content")))
+    prepared, quarantined = prepare_lines(bad, threshold=THRESHOLD)
+    return (prepared.select("id", F.lit("prepared").alias("part"))
+            .unionByName(quarantined.select("id", F.lit("quarantined").alias("part"))))
+
+
+def q_split_scene_bad_ids(spark, sf):
+    """D2 and W4 on lines of which some have no scene or sequence number: no row
+    is lost, rows without a scene are a group of their own."""
+    kind = F.substring(F.md5(F.concat(F.lit("n"), F.col("id"))), 1, 1)
+    d = (_parsed(spark, sf).withColumn("cc_id", F.when(kind >= "2", F.col("cc_id")))
+         .withColumn("ids", F.when(kind != "7", F.col("ids"))))
+    d = splits.split_scene(d, 0.2, SEED)
+    return context.position_in_scene(d).select("id", "is_dev", "pos", "scene_rows")
+
+
+def q_fold_stratified_null(spark, sf):
+    """D4 with rows of a null class."""
+    d = _labels_table(spark, sf).withColumn("cls", F.when(F.col("id") % 7 != 0, F.col("cls")))
+    return splits.fold_stratified(d, "cls", 5, SEED).select("id", "cls", "fold")
+
+
+def q_context_script(spark, sf):
+    """W1 restarting at every script."""
+    return context.attach_context(_parsed(spark, sf), threshold=THRESHOLD, scope="script").select("id", "content", "text_len")
+
+
+def q_context_scene(spark, sf):
+    """W1 restarting at every scene."""
+    return context.attach_context(_parsed(spark, sf), threshold=THRESHOLD, scope="scene").select("id", "content", "text_len")
+
+
+def _preds24(spark, sf):
+    """Two files of 24 scores: the 24-wide label vector's logits."""
+    emb = spark.read.parquet(f"{sf}/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
+    return emb.select("id", F.explode(F.array(*[
+        F.struct(F.lit(f"m{k}").alias("model"), F.array(*[
+            F.get("embedding", 24 * k + i).cast("double") * 8 for i in range(24)]).alias("scores"))
+        for k in range(2)])).alias("p")).select("p.model", "id", "p.scores")
+
+
+def q_decode24(spark, sf):
+    """The 24-slot chain: mean of the files, sigmoid, threshold 0.5, levels."""
+    mean = ensemble.mean_ensemble(_preds24(spark, sf), n=24)
+    hot = mean.withColumn("slots", binarize(sigmoid("scores"), 0.5))
+    return hot.select("id", F.size("scores").alias("width"), ints_text("slots").alias("label24"),
+                      ints_text(decode_levels("slots")).alias("levels"))
 
 
 def q_predictions_roundtrip(spark, sf):
-    root = _scratch(spark, "preds", sf)
-    preds = _preds(spark, sf)
-    for m in MODELS:  # one prediction file (folder) per model, as the reference keeps them
-        files.write_table(preds.where(F.col("model") == m).select("id", F.col("scores").alias("emotion")), f"{root}/{m}")
+    root = _scratch(spark, "preds")
+    # one folder per model, as the reference keeps its files, in one pass
+    files.write_table(_preds(spark, sf).select("model", "id", F.col("scores").alias("emotion")), root, partition_by="model")
     back = files.read_predictions(spark, f"{root}/*/*.csv", name_from="dir")
-    return back.select("model", F.col("id").cast("long").alias("id"), format_scores("scores").alias("scores"))
+    return back.select(F.substring_index("model", "=", -1).alias("model"), F.col("id").cast("long").alias("id"), format_scores("scores").alias("scores"))
 
 
 def q_ranked_roundtrip(spark, sf):
-    root = _scratch(spark, "ranked", sf)
-    ranked = adapters.ranked_from_events(spark, sf)
-    for f in ("0", "1", "2"):
-        out = ranked.where(F.col("file") == int(f)).select("key_id", F.array_join("words", " ").alias("word"))
-        out.write.mode("overwrite").option("header", True).option("quoteAll", True).csv(f"{root}/{f}")
+    root = _scratch(spark, "ranked")
+    out = adapters.ranked_from_events(spark, sf).select("file", "key_id", F.array_join("words", " ").alias("word"))
+    out.write.partitionBy("file").option("header", True).option("quoteAll", True).csv(root)
     back = files.read_ranked(spark, f"{root}/*/*.csv", name_from="dir")
+    back = back.withColumn("file", F.substring_index("file", "=", -1))
     return ensemble.rank_vote(back, RANK_WEIGHTS).select("key_id", "word")
 
 
@@ -440,47 +581,77 @@ def q_score_table(spark, sf):
 
 
 def _train_dev(spark, sf):
+    """The prepared lines, written once (the fits read them many times), split."""
     prepared, _ = prepare_lines(_lines(spark, sf), threshold=THRESHOLD)
-    d = splits.split_random(prepared.select("id", "jb_id", "cc_id", "text", "labels"), 0.2, SEED)
+    d = _written(splits.split_random(prepared.select("id", "jb_id", "cc_id", "text", "labels"), 0.2, SEED))
     return d.where(~F.col("is_dev")), d.where("is_dev")
 
 
+def _in_range(scores, lo, hi):
+    return F.forall(scores, lambda x: x.between(lo, hi))
+
+
+def _label_means(model, train, n=6):
+    """Per label: the mean of the unclamped predictions on the training rows.  A
+    linear model with an intercept, penalised or not, predicts the mean label
+    on average."""
+    p = model.predict(train)
+    return p.select(F.posexplode(ensemble.checked("scores", n)).alias("label", "x")).groupBy("label").agg(
+        F.round(F.avg("x"), 3).alias("mean"))
+
+
 def q_train_regressor(spark, sf):
     train, dev = _train_dev(spark, sf)
-    m = models.train_regressor(train, num_features=1 << 14, max_iter=10)
-    return m.predict(dev, lo=0.0, hi=3.0).select("id", format_scores("scores").alias("scores"))
+    scores = models.train_regressor(train).predict(dev, lo=0.0, hi=3.0)
+    return scores.select("id", F.size("scores").alias("width"), _in_range("scores", 0.0, 3.0).alias("in_range"))
+
+
+def q_train_regressor_fit(spark, sf):
+    train, _ = _train_dev(spark, sf)
+    return _label_means(models.train_regressor(train), train)
 
 
 def q_train_classifier(spark, sf):
     train, dev = _train_dev(spark, sf)
-    m = models.train_classifier(train, num_features=1 << 14, max_iter=10)
-    return m.predict(dev).select("id", format_scores("scores").alias("scores"))
+    scores = models.train_classifier(train).predict(dev)
+    return scores.select("id", F.size("scores").alias("width"), _in_range("scores", 0.0, 1.0).alias("in_range"))
+
+
+def q_train_evaluate(spark, sf):
+    """Train, predict and score the held-out lines (M2, M6)."""
+    train, dev = _train_dev(spark, sf)
+    e = metrics.evaluate(models.train_regressor(train).predict(dev), dev)
+    sane = (F.col("rmse_flat").between(0, 3) & F.col("score").between(0.25, 1) & F.col("exact_match").between(0, 1)
+            & (F.abs(F.col("mse") - F.col("rmse_flat") * F.col("rmse_flat")) < 1e-9))
+    return e.select("rows", sane.alias("consistent"))
 
 
 def q_cv_ensemble(spark, sf):
     train, dev = _train_dev(spark, sf)
-    out = models.cv_ensemble(train, dev, k=5, seed=SEED, num_features=1 << 14, max_iter=5)
-    return out.select("id", format_scores("scores").alias("scores"), "n_files")
+    out = models.cv_ensemble(train, dev, k=5, seed=SEED)
+    return out.select("id", F.size("scores").alias("width"), _in_range("scores", 0.0, 3.0).alias("in_range"), "n_files")
 
 
 def _stack_input(spark, sf):
     emb = spark.read.parquet(f"{sf}/embeddings.parquet")
     h = F.md5(F.col("vec_id").cast("string"))
-    d = emb.select(F.col("vec_id").alias("id"), *[F.get("embedding", i).cast("double").alias(f"x{i}") for i in range(10)],
+    d = emb.select(F.col("vec_id").alias("id"), *[F.get("embedding", i).cast("double").alias(f"x{i}") for i in range(EMB_DIM)],
                    (F.substring(h, 1, 1) >= "a").cast("int").alias("label"))
     return splits.split_random(d, 0.2, 42)
 
 
 def q_stack(spark, sf):
     d = _stack_input(spark, sf)
-    out = models.stack(d.where(~F.col("is_dev")), d.where("is_dev"), [f"x{i}" for i in range(10)], "label", k=5)
-    return out.select("id", *[F.round(c, 6).alias(c) for c in ("lr", "rf", "prediction")])
+    out = models.stack(d.where(~F.col("is_dev")), d.where("is_dev"), [f"x{i}" for i in range(EMB_DIM)], "label", k=5)
+    # forests average labels, so they stay inside 0..1; the linear learner may leave it
+    return out.select("id", F.col("lr").isNotNull().alias("has_lr"), F.col("rf").between(0, 1).alias("rf_in_range"),
+                      F.col("prediction").between(-1, 2).alias("in_range"))
 
 
 def q_stack_oof(spark, sf):
     """M5 coverage: every training row gets exactly one out-of-fold row."""
     d = _stack_input(spark, sf)
-    oof = models.out_of_fold(d.where(~F.col("is_dev")), [f"x{i}" for i in range(10)], "label", k=5)
+    oof = models.out_of_fold(d.where(~F.col("is_dev")), [f"x{i}" for i in range(EMB_DIM)], "label", k=5)
     return oof.groupBy("id").agg(F.count(F.lit(1)).alias("n_oof"))
 
 
@@ -544,4 +715,17 @@ QUERIES = {
     "cv_ensemble": q_cv_ensemble,
     "stack": q_stack,
     "stack_oof": q_stack_oof,
+    "train_regressor_fit": q_train_regressor_fit,
+    "train_evaluate": q_train_evaluate,
+    "rewrite_copies": q_rewrite_copies,
+    "read_vectors": q_read_vectors,
+    "weighted_vote_labels": q_weighted_vote_labels,
+    "restore_order": q_restore_order,
+    "line_rule": q_line_rule,
+    "quarantine": q_quarantine,
+    "split_scene_bad_ids": q_split_scene_bad_ids,
+    "fold_stratified_null": q_fold_stratified_null,
+    "context_script": q_context_script,
+    "context_scene": q_context_scene,
+    "decode24": q_decode24,
 }

@@ -8,6 +8,7 @@ tests.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import SparkSession
 
@@ -45,11 +46,14 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder for checkpoints and stage tables.
 
     The cluster names it in ``spark.checkpoint.dir``; we only set our own
-    (``fallback``, or a folder under the system temp dir) when it is unset,
-    which happens in tests and local benches.
+    (``fallback``, or a folder under the system temp dir) when it is unset on a
+    local master, which happens in tests and local benches.  Elsewhere a missing
+    setting is an error: executors on other machines would not see the folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not (fallback or re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         current = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "cuecards-checkpoints")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

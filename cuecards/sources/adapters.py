@@ -7,7 +7,7 @@ same inputs.  See FIXTURES.md for the matching SQL spelling.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 N_LABELS = 6
@@ -78,15 +78,7 @@ def ranked_from_events(spark: SparkSession, sf_dir: str, top: int = 3) -> DataFr
         ev.select((F.col("event_id") % 3).cast("int").alias("file"), F.col("user_id").alias("key_id"), "event_type")
         .groupBy("file", "key_id", "event_type").count()
     )
-    # Per (file, user) the candidate list is bounded by the number of event
-    # types, so a sorted collect is cheap and needs no window shuffle.
-    return counts.groupBy("file", "key_id").agg(
-        F.slice(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("neg"), F.col("event_type").alias("w")))),
-                lambda s: s["w"],
-            ),
-            1,
-            top,
-        ).alias("words")
-    )
+    order = Window.partitionBy("file", "key_id").orderBy(F.desc("count"), "event_type")
+    best = counts.withColumn("r", F.row_number().over(order)).where(F.col("r") <= top)
+    return best.groupBy("file", "key_id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("r", "event_type"))), lambda s: s["event_type"]).alias("words"))

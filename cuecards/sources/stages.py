@@ -4,12 +4,36 @@ from __future__ import annotations
 
 import hashlib
 import json
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 
 from cuecards.session import checkpoint_dir
 
 
+def code_version() -> str:
+    """Hash of this package's own sources: a table that other code wrote is not reused."""
+    top = Path(__file__).resolve().parent.parent
+    h = hashlib.sha1()
+    for p in sorted(top.rglob("*.py")):
+        if "llm" not in p.relative_to(top).parts:
+            h.update(p.read_bytes())
+    return h.hexdigest()
+
+
+def input_identity(df: DataFrame) -> str:
+    """Hash of the names, sizes and modification times of the files that ``df``
+    reads, and of its schema; changed input gives another identity."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    h = hashlib.sha1(df.schema.json().encode())
+    for f in sorted(df.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        h.update(f"{f}|{status.getLen()}|{status.getModificationTime()}".encode())
+    return h.hexdigest()
+
+
 def stage_path(root: str, stage: str, params: dict) -> str:
     key = hashlib.sha1(json.dumps(params, sort_keys=True, default=str).encode()).hexdigest()[:16]
     return f"{root.rstrip('/')}/{stage}-{key}"
@@ -24,8 +48,8 @@ def _committed(spark, path: str) -> bool:
 
 def materialise(df: DataFrame, stage: str, params: dict | None = None, root: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under a path keyed by the stage parameters
-    and return the table read back; later calls with the same parameters read
-    the existing table.  The default root is the shared checkpoint folder, so
+    and return the table read back; later calls with the same parameters, the
+    same input files (by size and time) and the same code read the existing table.  The default root is the shared checkpoint folder, so
     it also cuts lineage and survives executor loss.
 
     A table counts as present only when its write committed (``_SUCCESS``);
@@ -33,7 +57,7 @@ def materialise(df: DataFrame, stage: str, params: dict | None = None, root: str
     """
     spark = df.sparkSession
     root = root or f"{checkpoint_dir(spark)}/stages"
-    path = stage_path(root, stage, params or {})
+    path = stage_path(root, stage, {**(params or {}), "_input": input_identity(df), "_code": code_version()})
     if not _committed(spark, path):
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -11,12 +11,16 @@ from cuecards.functions.labels import format_scores
 def fill_template(template: DataFrame, preds: DataFrame, digits: int = 6,
                   out: str = "emotion") -> DataFrame:
     """Left-join the template's ids with ``(id, scores)``; ids without a
-    prediction get a null ``emotion``.  Extra template columns (such as an
+    prediction get a null ``emotion``.  The result has one row per template row:
+    an id that is predicted twice is an error (see ``template_report``).  Extra template columns (such as an
     ``ordinal`` carrying the original file order) pass through, so the sink can
     restore the order with one ``orderBy``.
     """
     keep = [c for c in template.columns if c != out]
-    scored = preds.select("id", format_scores("scores", digits).alias(out))
+    once = preds.groupBy("id").agg(F.max("scores").alias("scores"), F.count(F.lit(1)).alias("_n"))
+    scored = once.select("id", F.when(
+        F.col("_n") > 1, F.raise_error(F.concat(F.lit("repeated prediction for id "), F.col("id").cast("string"))))
+        .otherwise(format_scores("scores", digits)).alias(out))
     return template.select(*keep).join(scored, "id", "left")
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuecards.operators.sizing import bounded_broadcast
 
 
 def read_vectors(spark: SparkSession, path: str, dim: int = 300) -> DataFrame:
@@ -36,13 +35,13 @@ def fallback_vector(token: Column, dim: int, seed: int) -> Column:
 def lookup_vectors(vocab: DataFrame, vectors: DataFrame, dim: int = 300, seed: int = 0) -> DataFrame:
     """``(token, token_id)`` vocabulary -> ``(token, token_id, vec, found)``.
 
-    The vocabulary is bounded by its size cap (checked), so it is the
-    broadcast side of a filter over the (possibly huge) vector table; the
-    matched rows, again at most vocabulary-sized, are joined back.  Duplicate tokens in the
-    vector file resolve to the greatest vector, deterministically.
+    Tokens are unique in the vocabulary, so the join has no hot key and needs no
+    broadcast hint; Spark broadcasts the vocabulary when its measured size
+    allows.  Duplicate tokens in the vector file resolve to the greatest vector,
+    deterministically.
     """
     hits = (
-        vectors.join(bounded_broadcast(vocab.select("token")), "token", "inner")
+        vectors.join(vocab.select("token").distinct(), "token", "left_semi")
         .groupBy("token").agg(F.max("vec").alias("vec"))
     )
     return (

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cuecards.session import checkpoint_dir
-from cuecards.sources.files import apply_line_rule, line_schema
+from cuecards.sources.files import LINE_OPTIONS, apply_line_rule, line_schema
 
 
 def process_new_files(spark: SparkSession, source: str, out: str, transform: Callable[[DataFrame], DataFrame],
@@ -32,11 +32,11 @@ def process_new_files(spark: SparkSession, source: str, out: str, transform: Cal
     dropped, short rows kept with nulls, ``null_tokens`` read as null.
     """
     reader = (spark.readStream.schema(line_schema(labeled)).option("header", True).option("sep", sep)
-              .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
+              .option("quote", '"').option("escape", '"').options(**LINE_OPTIONS))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     # the batch reader's row rule: over-long rows dropped, short rows kept
-    stream = transform(apply_line_rule(reader.csv(source), labeled, null_tokens))
+    stream = transform(apply_line_rule(reader.csv(source), labeled, null_tokens, sep=sep))
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{name}"
     q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
          .outputMode("append").trigger(availableNow=True).start())

@@ -68,3 +68,30 @@ def test_mask_labels_and_pairs(spark):
     same = [p for p in pairs if p.same == 1]
     assert [(p.a, p.b) for p in same] == [(1, 3)]
     assert all(p.a in (1, 3) and p.b not in (1, 3) for p in pairs if p.same == 0)
+
+
+def test_vocabulary_strips_what_python_strips(spark):
+    edges = [chr(c) for c in encode.WHITESPACE]
+    assert [c for c in map(chr, range(0x110000)) if c.isspace()] == edges
+    texts = ["　ab　", " a b ", "".join(edges) + "c" + "".join(edges)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    want = {}
+    for t in texts:
+        for c in t.strip():
+            want[c] = want.get(c, 0) + 1
+    assert {r.token: r.n for r in encode.token_counts(df).collect()} == want
+
+
+def test_repeated_dictionary_token_counts_once(spark):
+    d = spark.createDataFrame([("x", "aba"), ("y", ""), ("z", None), ("x", "b")], "id string, text string")
+    t = spark.createDataFrame([("a", [5, 6]), ("a", [1, 2, 3]), ("bb", [9])], "token string, ids array<int>")
+    got = sorted((r.id, r.char_features) for r in encode.char_features(d, t, width=2).collect())
+    assert got == [("x", [[0, 0]]), ("x", [[1, 2], [0, 0], [1, 2]]), ("y", []), ("z", [])]
+
+
+def test_encoding_with_one_character_in_a_third_of_all_text(spark):
+    d = spark.createDataFrame([(i, "的" * 40 + chr(0x4E00 + i)) for i in range(60)], "id int, text string")
+    v = encode.build_vocab(d, "text", 30)
+    hot = v.where("token = '的'").first().token_id
+    rows = encode.encode_chars(d, v, 41).collect()
+    assert len(rows) == 60 and all(r.input_ids[:40] == [hot] * 40 for r in rows)

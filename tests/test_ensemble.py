@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from cuecards.operators import ensemble
@@ -134,3 +135,35 @@ def test_votes_invariant_under_file_order_without_ties(spark):
         k = ensemble.rank_vote(r, [(f, rank_w[f]) for f in order])
         seen_rank.add(tuple(sorted((x.key_id, x.word) for x in k.collect())))
     assert len(seen_vote) == 1 and len(seen_rank) == 1
+
+
+def _files(spark, rows):
+    return spark.createDataFrame(rows, "model string, id int, scores array<double>")
+
+
+@pytest.mark.parametrize("op", [
+    lambda p, n: ensemble.mean_ensemble(p, n), lambda p, n: ensemble.fold_mean(p, n=n),
+    lambda p, n: ensemble.weighted_mean(p, {"a": 1, "b": 1}, n), lambda p, n: ensemble.weighted_vote(p, {"a": 1, "b": 1}, n=n)])
+def test_score_width_is_kept_or_rejected(spark, op):
+    wide = _files(spark, [("a", 1, [1.0] * 24), ("b", 1, [1.0] * 24)])
+    assert len(op(wide, 24).first().scores) == 24
+    with pytest.raises(Exception, match="expected 6 scores, found 24"):
+        op(wide, 6).collect()
+
+
+def test_align_rejects_and_lists_repeated_ids(spark):
+    p = _files(spark, [("a", 1, [1.0, 9.0]), ("a", 1, [2.0, 0.0]), ("b", 1, [0.0, 0.0])])
+    assert [tuple(r) for r in ensemble.duplicate_ids(p).collect()] == [("a", 1, 2)]
+    with pytest.raises(Exception, match="repeated id 1"):
+        ensemble.align(p, ["a", "b"], 2).collect()
+
+
+def test_weighted_mean_leaves_null_scores_out(spark):
+    p = _files(spark, [("a", 1, [1.0, None, None]), ("b", 1, [None, 4.0, None])])
+    assert ensemble.weighted_mean(p, {"a": 1.0, "b": 3.0}, 3).first().scores == [1.0, 4.0, None]
+
+
+def test_label_weights_change_a_vote(spark):
+    # position 1 is worth nothing, so its tie goes to the first file
+    p = _files(spark, [("a", 1, [1.0, 1.0]), ("b", 1, [2.0, 2.0])])
+    assert ensemble.weighted_vote(p, [("a", 1.0), ("b", 3.0)], [1.0, 0.0], 2).first().scores == [2.0, 1.0]

@@ -52,7 +52,7 @@ def test_single_partition_only_above_reduced_input(static_plans):
                     bad.append((name, child))
     assert not bad, bad
     # global totals and the split offset tables do use them: the walk sees them
-    assert {"metrics_rmse", "split_random"} <= seen, seen
+    assert {"cut_share", "template_report"} <= seen, seen
 
 
 def test_no_nested_loop_or_cartesian_join(static_plans):
@@ -81,26 +81,19 @@ def test_same_rows_at_1_and_16_shuffle_partitions(spark, name):
     assert got[0] == got[1]
 
 
-def test_broadcast_only_within_the_row_cap(spark):
-    from cuecards.operators.sizing import bounded_broadcast
+def test_lookup_tables_have_one_row_per_code_point(spark):
+    from cuecards.operators.encode import one_per_code_point
 
-    big = spark.range(100).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-
-    def hinted(side):
-        plan = big.join(side, "k")._jdf.queryExecution().analyzed().toString()
-        return "ResolvedHint (strategy=broadcast)" in plan
-
-    assert hinted(bounded_broadcast(small, max_rows=10))
-    assert not hinted(bounded_broadcast(small, max_rows=9))
+    t = spark.createDataFrame([("a", 2), ("a", 1), ("bc", 3), ("", 4), ("\U0001F600", 5)], "token string, v int")
+    assert sorted(map(tuple, one_per_code_point(t, "v").collect())) == [("a", 1), ("\U0001F600", 5)]
 
 
 @pytest.mark.parametrize("name", ["encode_chars", "pack_pair", "char_features"])
 def test_per_character_rows_cross_no_shuffle(static_plans, name):
-    # texts are shuffled by id before they are exploded into characters, so
-    # no shuffle exchange sits above the per-character posexplode
+    # texts are shuffled by id before their distinct characters become rows,
+    # so no shuffle exchange sits above that explode
     def has_char_explode(node):
-        return any(n.nodeName() == "Generate" and "posexplode" in n.toString() for n in _walk(node))
+        return any(n.nodeName() == "Generate" and "array_distinct" in n.toString() for n in _walk(node))
 
     plan = static_plans[name]
     assert has_char_explode(plan)

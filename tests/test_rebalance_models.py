@@ -74,3 +74,31 @@ def test_model_jobs_smoke(spark):
     assert all(0.0 <= s <= 1.0 for r in c for s in r.scores)
     ens = models.cv_ensemble(train, dev, k=2, num_features=256, max_iter=2).collect()
     assert len(ens) == dev.count() and all(r.n_files == 2 for r in ens)
+
+
+def test_drop_sentinel_keeps_null_labels(spark):
+    from cuecards.operators import labelops
+
+    d = spark.createDataFrame([("a", "x", "99"), ("b", "y", None), ("c", "z", "0")], "id string, content string, emotions string")
+    assert sorted(r.id for r in labelops.drop_sentinel(d).collect()) == ["b", "c"]
+
+
+def test_template_rejects_a_repeated_prediction(spark):
+    import pytest
+
+    from cuecards.sources import template
+
+    t = spark.createDataFrame([(1,), (2,)], "id int")
+    p = spark.createDataFrame([(1, [0.0]), (1, [1.0])], "id int, scores array<double>")
+    with pytest.raises(Exception, match="repeated prediction for id 1"):
+        template.fill_template(t, p).collect()
+    assert template.template_report(t, p).first().duplicated == 1
+
+
+def test_cv_ensemble_keeps_24_outputs(spark):
+    from cuecards.operators import models
+
+    rows = [(f"i{i}", 1, i % 2, "ab cd"[: 1 + i % 5], [i % 2] * 24) for i in range(24)]
+    d = spark.createDataFrame(rows, "id string, jb_id int, cc_id int, text string, labels array<int>")
+    out = models.cv_ensemble(d, d.limit(3), k=2, n=24, num_features=64, max_iter=2)
+    assert [len(r.scores) for r in out.collect()] == [24] * 3

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from cuecards.sources import files, stages, template, vectors
@@ -68,3 +69,43 @@ def test_materialise_replaces_an_uncommitted_write(spark, tmp_path):
     os.remove(os.path.join(path, "_SUCCESS"))
     got = stages.materialise(spark.range(5).withColumnRenamed("id", "k"), "nums", {"n": 5}, root=str(tmp_path))
     assert sorted(r.k for r in got.collect()) == list(range(5))
+
+
+def test_surplus_empty_field_makes_a_row_too_long(spark, tmp_path):
+    p = tmp_path / "lines.tsv"
+    p.write_text("id\tcontent\tcharacter\temotions\na\ta\tc\t0\nb\tb\tc\t0\t\nc\tb\tc\t0\t\tX\nd\t\"x\ty\"\tc\t0\ne\tb\n")
+    assert sorted(r.id for r in files.read_lines(spark, str(p)).collect()) == ["a", "d", "e"]
+    flagged = files.read_lines(spark, str(p), skip_bad=False)
+    assert {r.id: r._too_long for r in flagged.collect()} == {"a": False, "b": True, "c": True, "d": False, "e": False}
+    assert flagged.where("_too_long").count() == 2
+
+
+def test_line_breaks_and_edge_spaces_survive_a_splittable_file(spark, tmp_path):
+    texts = ["a\nb", "a\\nb", "\\", "\\\\n\r", " x ", "\x1a1", "tab\t\"q\"", "\\\n"]
+    df = spark.createDataFrame([(str(i), t, "c", "0") for i, t in enumerate(texts)], "id string, content string, character string, emotions string")
+    files.write_table(df, str(tmp_path / "out"), escape=True)
+    back = files.read_lines(spark, str(tmp_path / "out"), escaped=True)
+    assert {r.id: r.content for r in back.collect()} == {str(i): t for i, t in enumerate(texts)}
+
+
+def test_stage_is_rebuilt_when_its_input_changes(spark, tmp_path):
+    src, root = str(tmp_path / "in"), str(tmp_path / "stages")
+    spark.range(3).write.parquet(src)
+    assert stages.materialise(spark.read.parquet(src), "s", root=root).count() == 3
+    spark.range(5).write.mode("overwrite").parquet(src)
+    assert stages.materialise(spark.read.parquet(src), "s", root=root).count() == 5
+
+
+def test_missing_shared_folder_is_an_error_off_a_local_master():
+    from cuecards.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "spark://host:7077"})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())

@@ -64,3 +64,43 @@ def test_same_result_any_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert base == one
+
+
+def test_rows_with_null_keys_are_kept(spark):
+    from cuecards.operators import context
+
+    rows = [(f"i{i}", None if i < 2 else 1, 7, None if i == 5 else i) for i in range(9)]
+    d = spark.createDataFrame(rows, "id string, jb_id int, cc_id int, ids int")
+    for out in (splits.split_scene(d), splits.fold_scene(d), splits.split_random(d), context.position_in_scene(d)):
+        assert out.count() == 9
+    pos = {r.id: r.pos for r in context.position_in_scene(d).collect()}
+    assert pos["i5"] == 1 and sorted(pos[f"i{i}"] for i in range(2, 9)) == [1, 2, 3, 4, 5, 6, 7]
+    cls = spark.createDataFrame([(1, None), (2, "a"), (3, None)], "id int, cls string")
+    assert splits.fold_stratified(cls, "cls", 2).count() == 3
+
+
+def test_split_random_moves_no_text(spark):
+    d = spark.range(50).select(F.col("id").cast("string").alias("id"), F.repeat(F.lit("x"), 50).alias("content"))
+    out = splits.split_random(d, 0.2, 7)
+    assert out.where("is_dev").count() == 10
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = splits.split_random(d, 0.2, 7)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    names, todo = [], [plan]
+    while todo:  # the rows' own plan; the cut is a scalar subquery beside it
+        node = todo.pop()
+        names.append(node.nodeName())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert not [x for x in names if "Exchange" in x or "Sort" in x or "Window" in x], names
+
+
+def test_stratified_folds_with_one_class_of_a_third(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"c{i % 50}") for i in range(900)]
+    d = spark.createDataFrame(rows, "id int, cls string")
+    got = splits.fold_stratified(d, "cls", 5).groupBy("cls", "fold").count().collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.cls, []).append(r["count"])
+    assert all(max(v) - min(v) <= 1 for v in by.values() if len(v) == 5)
