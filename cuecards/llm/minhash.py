@@ -253,5 +253,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = stage(connected_components(comp.select(F.col("component").alias("a"), F.col("node").alias("b"))
                                       .unionAll(more).unionAll(ids)), "minhash-comp")
     return (placed.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("doc", "text_key", "n_shingles", F.coalesce("component", "rep", "doc").alias("component"))
+            .select("doc", "text_key", "n_shingles", F.when(F.col("doc").isNotNull(), F.coalesce("component", "rep", "doc")).alias("component"))
             .withColumn("kept", F.coalesce(F.col("component") == F.col("doc"), F.lit(True))))
