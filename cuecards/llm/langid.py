@@ -323,7 +323,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         F.avg("cross_entropy").alias("own"), F.avg(short).alias("avg_short"))
     mean = mean.select("lang_pred", "m1", "own", (F.col("own") - F.col("m1") * F.col("avg_short")).alias("m0"))
     over = F.col("cross_entropy") - F.col("m0") - F.col("m1") * short
-    var = (fit.join(mean, "lang_pred").withColumn("sq", over * over).groupBy("lang_pred").agg(
+    var = (fit.join(F.broadcast(mean), "lang_pred").withColumn("sq", over * over).groupBy("lang_pred").agg(
         F.greatest(F.coalesce(F.regr_slope("sq", short), F.lit(0.0)), F.lit(0.0)).alias("v1"),
         F.avg("sq").alias("v"), F.avg(short).alias("avg_short")))
     var = var.select("lang_pred", "v1", F.greatest(F.col("v") - F.col("v1") * F.col("avg_short"),
@@ -332,7 +332,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     foreign = (train.select("lang", F.explode(F.arrays_zip(names.alias("name"), F.col("cross"))).alias("x"))
                .where("lang <> x.name").groupBy(F.col("x.name").alias("lang_pred"))
                .agg(F.avg("x.cross").alias("foreign")))
-    level = mean.join(var, "lang_pred").join(foreign, "lang_pred", "left")
+    # one row per language of the model, whose size is bounded
+    level = F.broadcast(stage(mean.join(var, "lang_pred").join(foreign, "lang_pred", "left"), "langid-levels"))
     odd = ((over > reject_sd * F.sqrt(F.col("v0") + F.col("v1") * short) + 1e-9)
            & (F.col("cross_entropy") > F.coalesce("foreign", "own")))
     return (scores.join(level, "lang_pred", "left")
