@@ -30,8 +30,6 @@ PUNCT_LONG = "。: ！？｡＂＃＄％＆＇（）＊＋，－／：；＜＝
 EXAMPLE_FILE_WEIGHTS = [2.0, 1.8, 1.6]
 # Rank weights of the ranked vote start at this base and drop by one per rank.
 RANK_WEIGHT_BASE = 5
-# Scripts held out by the whole-script split in the reference.
-HOLDOUT_SCRIPTS = [34162, 34311, 34949, 2721, 32812, 34126, 1460]
 # BERT-style special token ids used by the sequence packers.
 CLS_ID = 101
 SEP_ID = 102

@@ -18,15 +18,23 @@ from pyspark.sql import functions as F
 
 from cuecards.constants import CONTEXT_LINES, CONTEXT_THRESHOLD, NO_LABEL_TEXT, SENTINEL
 from cuecards.operators.ranking import rank_within
+from cuecards.sources.stages import input_bytes
 
 N_LABELS = 6
 ORDER = ["jb_id", "cc_id", "ids", "id"]
 
 
+RANGE_BYTES = 128 << 20
+
+
 def _n_ranges(df: DataFrame, n_ranges: int | None) -> int:
+    """The caller's number of ranges, or one for every ``RANGE_BYTES`` of the
+    files that ``df`` reads (compressed bytes, so a range's rows are a few times
+    that in memory), and the session's shuffle partitions at least."""
     if n_ranges:
         return int(n_ranges)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-input_bytes(df) // RANGE_BYTES))
 
 
 def preceding_rows(df: DataFrame, values: list[str], k: int = CONTEXT_LINES, scope: str = "global",
@@ -65,11 +73,17 @@ def preceding_rows(df: DataFrame, values: list[str], k: int = CONTEXT_LINES, sco
     # shuffle of at most k rows per range.  Then for every range the last k
     # rows before it (ranges can hold fewer than k rows, so look k back).
     last = Window.partitionBy("_part").orderBy(*[c.desc() for c in order])
+    wanted = list(dict.fromkeys([*values, *part]))
+
+    def narrow(row):
+        return F.struct(*[row[v].alias(v) for v in wanted])
+
+    # only the values asked for go on to the carry-in window
     tails = (
         ranged.withColumn("_rd", F.row_number().over(last)).where(F.col("_rd") <= k)
         .groupBy("_part")
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("_rd")).alias("_o"), "_row"))),
-                         lambda s: s["_row"]).alias("_tail"))
+        .agg(F.transform(F.sort_array(F.collect_list(F.struct(
+            (-F.col("_rd")).alias("_o"), narrow(F.col("_row")).alias("_v")))), lambda s: s["_v"]).alias("_tail"))
     )
     carry = tails.select(
         "_part",
@@ -79,7 +93,7 @@ def preceding_rows(df: DataFrame, values: list[str], k: int = CONTEXT_LINES, sco
     # Neighbour j of the row numbered rn inside its range is lag j when j < rn,
     # otherwise carry element (j - rn + 1), counting back from the range start.
     prev = F.array_compact(F.array(*[
-        F.when(F.lit(j) < F.col("_rn"), F.col(f"_lag{j}"))
+        F.when(F.lit(j) < F.col("_rn"), F.when(F.col(f"_lag{j}").isNotNull(), narrow(F.col(f"_lag{j}"))))
         .otherwise(F.get(F.col("_carry"), F.lit(j) - F.col("_rn")))
         for j in range(1, k + 1)
     ]))

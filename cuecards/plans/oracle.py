@@ -152,17 +152,19 @@ def _rep(value: str, n: str) -> str:
 
 def _pair_sql(max_len: int) -> str:
     m = max_len - 3
+    # the truncation as the loop that it is: pop the longer side, the label side on a tie
     return f"""
-WITH {LINES},
+WITH RECURSIVE {LINES},
 {_vocab()},
 src AS (SELECT id, content AS text FROM labelled),
 {_encode('src')},
 ab AS (
   SELECT enc.id, enc.l, lb.labels, len(enc.l) AS tl FROM enc JOIN labelled lb ON lb.id = enc.id),
-ab2 AS (
-  SELECT *, greatest(CASE WHEN tl + 6 <= {m} THEN tl ELSE greatest(least(tl, {(m + 1) // 2}), {m - 6}) END, 0) AS a
-  FROM ab),
-ab3 AS (SELECT *, greatest(least(6, {m} - a), 0) AS b FROM ab2),
+pops(tl, a, b) AS (
+  SELECT DISTINCT tl, tl, 6::BIGINT FROM ab
+  UNION ALL
+  SELECT tl, CASE WHEN a > b THEN a - 1 ELSE a END, CASE WHEN a > b THEN b ELSE b - 1 END FROM pops WHERE a + b > {m}),
+ab3 AS (SELECT ab.*, pops.a, pops.b FROM ab JOIN pops USING (tl) WHERE pops.a + pops.b <= {m}),
 ab4 AS (SELECT *, {max_len} - (a + b + 3) AS rest FROM ab3)
 SELECT id,
   {_ints(f"list_concat([{CLS_ID}], list_slice(l, 1, a), [{SEP_ID}], list_slice([1,2,3,4,5,6], 1, b), [{SEP_ID}], {_rep(str(PAD_ID), 'rest')})")} AS pair_ids,

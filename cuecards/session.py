@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -62,11 +63,29 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint of ``df`` in the shared checkpoint folder (eager).
+    """``df`` written once as Parquet to the shared checkpoint folder, and read back.
 
     Used where a table is read many times (vocabularies, fold tables of
-    k-fold loops): it is computed once, and a lost executor re-reads the
-    files instead of recomputing the lineage.  Never a local checkpoint.
+    k-fold loops): it is computed once, readers read only the columns they
+    use, and a lost executor re-reads the files instead of recomputing the
+    lineage.  Never a local checkpoint.  ``drop_tables`` removes the files.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.parquet(path)
+    _written.append(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+_written: list[str] = []
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete the tables that ``cut_lineage`` has written in this process, when
+    nothing reads them any more; returns how many."""
+    done = 0
+    while _written:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        done += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return done

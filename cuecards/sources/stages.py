@@ -24,14 +24,23 @@ def code_version() -> str:
 def input_identity(df: DataFrame) -> str:
     """Hash of the names, sizes and modification times of the files that ``df``
     reads, and of its schema; changed input gives another identity."""
+    h = hashlib.sha1(df.schema.json().encode())
+    for f, status in _statuses(df):
+        h.update(f"{f}|{status.getLen()}|{status.getModificationTime()}".encode())
+    return h.hexdigest()
+
+
+def _statuses(df: DataFrame):
     spark = df.sparkSession
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    h = hashlib.sha1(df.schema.json().encode())
     for f in sorted(df.inputFiles()):
         path = jvm.org.apache.hadoop.fs.Path(f)
-        status = path.getFileSystem(conf).getFileStatus(path)
-        h.update(f"{f}|{status.getLen()}|{status.getModificationTime()}".encode())
-    return h.hexdigest()
+        yield f, path.getFileSystem(conf).getFileStatus(path)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads (0 for tables made in memory)."""
+    return sum(status.getLen() for _, status in _statuses(df))
 
 
 def stage_path(root: str, stage: str, params: dict) -> str:
