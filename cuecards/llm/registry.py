@@ -133,6 +133,50 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: All shared shingles counted, links closed by a recursive query.
+_OP1 = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+cut AS (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM words WHERE len(w) > 0),
+sets AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s FROM cut),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id
+           GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a AS doc_id, a AS other FROM both_ways
+          UNION SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON e.a = r.other),
+comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
+       coalesce(component_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN comp USING (doc_id)
+"""
+
+#: Every window of every document joined with every window of the items.
+_OP6 = rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+item_cut AS (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM item_words WHERE len(w) > 0),
+phrases AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS s, least(10, len(w)) AS l FROM item_cut),
+lengths AS (SELECT DISTINCT l FROM phrases),
+cut AS (SELECT doc_id, w, l, unnest(generate_series(1, len(w) - l + 1)) AS i FROM words, lengths WHERE len(w) >= l),
+hits AS (SELECT doc_id, i, cut.l, item_id FROM cut JOIN phrases ON s = array_to_string(w[i:i + cut.l - 1], ' ') AND phrases.l = cut.l),
+marked AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + l - 1)) AS pos FROM hits),
+n_marked AS (SELECT doc_id, count(*) AS n FROM marked GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_marked.n, 0) AS n_hit, coalesce(found.n, 0) AS n_items,
+       sha256(coalesce(found.items, '')) AS items_sha256, coalesce(n_marked.n, 0) > 0 AS contaminated
+FROM words LEFT JOIN n_marked USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_minhash_dedup": _OP1,
+    "op6_decontaminate": _OP6,
     "op2_chat_format": _OP2,
 }
