@@ -23,7 +23,8 @@ merge scan runs over it and the arrays of the existing levels, in hash order:
 
 Open contexts are then cut from the texts and compared string by string, within
 the group of equal first bytes; a group of more than ``hot`` contexts is
-compared by string hash over many tasks instead.  The scan holds two entries at
+compared by string hash over many tasks instead, each task settling its own
+repeats first.  The scan holds two entries at
 a time, whatever the size of a group.  Copies inside a task are combined before
 the shuffle.  Texts travel compressed.
 
@@ -50,7 +51,7 @@ from cuecards.llm.common import drop_files, release, stage, stage_path, text_buf
 U = np.uint64
 _LAST = (1 << 63) - 1
 _CHUNK = 1 << 20
-_ENTRY = "part long, h long, c long, doc long, tie long, pos int, right int, src int"
+_ENTRY = "h long, c long, doc long, tie long, pos int, right int, src int"
 _MARKS = "doc long, tie long, lo int, hi int"
 #: Entry sources: the new batch, or a repeat found before the shuffle; level n has 2 n, and 2 n + 1 once passed on as open.
 NEW, REPEAT = 0, -1
@@ -95,12 +96,12 @@ def anchors(text: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(pos), np.concatenate(head), np.concatenate(context)
 
 
-def _entry_batch(part, h, c, doc, tie, pos, right, src) -> pa.RecordBatch:
+def _entry_batch(h, c, doc, tie, pos, right, src) -> pa.RecordBatch:
     long = lambda x: pa.array(x.view(np.int64))
     return pa.RecordBatch.from_arrays(
-        [long(part), long(h), long(c), pa.array(doc), pa.array(tie), pa.array(pos.astype(np.int32)),
+        [long(h), long(c), pa.array(doc), pa.array(tie), pa.array(pos.astype(np.int32)),
          pa.array(right.astype(np.int32)), pa.array(src.astype(np.int32))],
-        ["part", "h", "c", "doc", "tie", "pos", "right", "src"])
+        ["h", "c", "doc", "tie", "pos", "right", "src"])
 
 
 def _suffix_array(length: int, k: int, most: int = 1 << 19):
@@ -117,8 +118,9 @@ def _suffix_array(length: int, k: int, most: int = 1 << 19):
             h, c, doc, tie, pos, right = (x[order] for x in (h, c, doc, tie, pos, right))
             again = np.zeros(len(h), bool)
             again[1:] = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
-            part = np.where(again, tv.mix(doc.view(U) + pos.astype(U) * U(3)), h)
-            return _entry_batch(part, h, c, doc, tie, pos, right, np.where(again, REPEAT, NEW))
+            # a repeat needs no hash any more: its own place deals it out evenly
+            h = np.where(again, tv.mix(doc.view(U) + pos.astype(U) * U(3)), h)
+            return _entry_batch(h, c, doc, tie, pos, right, np.where(again, REPEAT, NEW))
 
         for batch in batches:
             raw, off = text_buffers(batch.column("text"))
@@ -209,10 +211,9 @@ class SuffixFamily:
         entries = docs.select("doc", "tie", "text").mapInArrow(_suffix_array(self.length, self.k), _ENTRY)
         for n, (_, level, _) in enumerate(self.levels, 1):
             entries = entries.unionByName(level.select(
-                F.col("h").alias("part"), "h", "c", "doc", "tie", "pos", "right",
+                "h", "c", "doc", "tie", "pos", "right",
                 (F.col("src") % 2 + 2 * n).alias("src")))
-        scan = (entries.repartition("part").sortWithinPartitions("h", "c", "doc", "tie", "pos")
-                .select("h", "c", "doc", "tie", "pos", "right", "src")
+        scan = (entries.repartition("h").sortWithinPartitions("h", "c", "doc", "tie", "pos")
                 .mapInArrow(_merge_scan(), "kind int, h long, c long, doc long, tie long, pos int, right int, src int"))
         # levels of the size gathered so far are written anew together with the batch
         size, merged = 1, []
@@ -303,22 +304,31 @@ def _cover(doc, tie, start, length: int) -> pa.RecordBatch:
          pa.array((start[last] + length).astype(np.int32))], ["doc", "tie", "lo", "hi"])
 
 
+def _repeats(t: pa.Table, length: int, k: int) -> tuple[np.ndarray, ...]:
+    """Document, tie, start and hash of the strings of some contexts, in place
+    order, and whether each also stands earlier among them."""
+    h, doc, tie = (t.column(c).to_numpy() for c in ("h", "doc", "tie"))
+    lo, at = (t.column(c).to_numpy().astype(np.int64) for c in ("lo", "at"))
+    owner, start, found = _strings(h, lo, at, t.column("data").to_pylist(), length, k)
+    place = np.lexsort((start, tie[owner], doc[owner]))
+    owner, start, found = owner[place], start[place], found[place]
+    doc, tie = doc[owner], tie[owner]
+    again = np.zeros(len(found), bool)
+    if len(found):
+        by = np.argsort(found, kind="stable")
+        new = np.append(True, found[by][1:] != found[by][:-1])
+        first = by[np.flatnonzero(new)][np.cumsum(new) - 1]
+        again[by] = ~((doc[by] == doc[first]) & (tie[by] == tie[first]) & (start[by] == start[first]))
+    return doc, tie, start, found, again
+
+
 def _compare(length: int, k: int, most: int = 1 << 13):
     """``mapInArrow`` over contexts sorted by h: ranges of the strings that also
     stand earlier in their group.  Whole groups are compared, about ``most``
     contexts at a time."""
     def judged(t: pa.Table) -> pa.RecordBatch:
-        h, doc, tie = (t.column(c).to_numpy() for c in ("h", "doc", "tie"))
-        lo, at = (t.column(c).to_numpy().astype(np.int64) for c in ("lo", "at"))
-        owner, start, found = _strings(h, lo, at, t.column("data").to_pylist(), length, k)
-        place = np.lexsort((start, tie[owner], doc[owner]))
-        owner, start, found = owner[place], start[place], found[place]
-        by = np.argsort(found, kind="stable")
-        new = np.append(True, found[by][1:] != found[by][:-1]) if len(by) else np.zeros(0, bool)
-        first = by[np.flatnonzero(new)][np.cumsum(new) - 1] if len(by) else by
-        same = (doc[owner[by]] == doc[owner[first]]) & (tie[owner[by]] == tie[owner[first]]) & (start[by] == start[first])
-        again = np.sort(by[~same])
-        return _cover(doc[owner[again]], tie[owner[again]], start[again], length)
+        doc, tie, start, _, again = _repeats(t, length, k)
+        return _cover(doc[again], tie[again], start[again], length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -337,18 +347,31 @@ def _compare(length: int, k: int, most: int = 1 << 13):
     return run
 
 
-def _hashed(length: int, k: int):
-    """``mapInArrow``: the strings of contexts, for groups compared by hash."""
+def _hashed(length: int, k: int, most: int = 1 << 13):
+    """``mapInArrow``: the strings of contexts, for groups compared by hash.
+    What repeats among the ``most`` contexts that a task holds at a time is
+    settled here and leaves as ranges (string null); only the first occurrences
+    go on to be compared between tasks."""
+    def settled(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        doc, tie, start, found, again = _repeats(t, length, k)
+        ranges = _cover(doc[again], tie[again], start[again], length)
+        yield pa.RecordBatch.from_arrays([pa.nulls(ranges.num_rows, pa.int64()), *ranges.columns],
+                                         ["string", "doc", "tie", "lo", "hi"])
+        doc, tie, start, found = (x[~again] for x in (doc, tie, start, found))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found.view(np.int64)), pa.array(doc), pa.array(tie), pa.array(start.astype(np.int32)),
+             pa.array((start + length).astype(np.int32))], ["string", "doc", "tie", "lo", "hi"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            h, doc, tie = (batch.column(c).to_numpy() for c in ("h", "doc", "tie"))
-            lo, at = (batch.column(c).to_numpy().astype(np.int64) for c in ("lo", "at"))
-            owner, start, found = _strings(h, lo, at, batch.column("data").to_pylist(), length, k)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.view(np.int64)), pa.array(doc[owner]), pa.array(tie[owner]),
-                 pa.array(start.astype(np.int32))], ["string", "doc", "tie", "start"])
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= most:
+                yield from settled(pa.Table.from_batches(held))
+                held, rows = [], 0
+        if rows:
+            yield from settled(pa.Table.from_batches(held))
     return run
 
 
@@ -418,12 +441,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release(spark)
     cold = (contexts.where("not hot").drop("hot").repartition("h").sortWithinPartitions("h")
             .mapInArrow(_compare(length, k), _MARKS))
-    strings = contexts.where("hot").mapInArrow(_hashed(length, k), "string long, doc long, tie long, start int")
-    strings = stage(strings, "suffix-strings")
-    first = stage(strings.groupBy("string").agg(F.min(F.struct("doc", "tie", "start")).alias("first"),
-                                                F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "suffix-first")
-    again = (strings.join(first, "string").where(F.struct("doc", "tie", "start") != F.col("first"))
-             .select("doc", "tie", F.col("start").alias("lo"), (F.col("start") + length).alias("hi")))
+    strings = stage(contexts.where("hot").mapInArrow(
+        _hashed(length, k), "string long, doc long, tie long, lo int, hi int"), "suffix-strings")
+    firsts = strings.where("string is not null")
+    first = stage(firsts.groupBy("string").agg(F.min(F.struct("doc", "tie", "lo")).alias("first"),
+                                               F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "suffix-first")
+    again = firsts.join(first, "string").where(F.struct("doc", "tie", "lo") != F.col("first"))
+    again = strings.where("string is null").unionByName(again.drop("first")).drop("string")
     ranges = stage(marks.unionByName(cold).unionByName(again).distinct(), "suffix-ranges")
     release(spark)
     per_doc = ranges.groupBy("doc", "tie").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
