@@ -336,7 +336,8 @@ def _bench_vectors(spark, sf):
         F.sequence(F.lit(0), F.lit(VEC_DIM - 1)),
         lambda i: ((F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("v"), F.col("token"), i.cast("string"))), 1, 8), 16, 10)
                     .cast("long") % 1000) / F.lit(1000.0)).cast("float"))
-    return toks.select("token", vec.cast("array<float>").alias("vec"))
+    # a table, as a vector file would be: made once, not once per character that the lookup reads
+    return _written(toks.select("token", vec.cast("array<float>").alias("vec")))
 
 
 def q_lookup_vectors(spark, sf):
