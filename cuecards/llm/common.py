@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import uuid
 from collections.abc import Callable, Iterator
@@ -22,13 +23,27 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """At most ``rows`` rows in an Arrow batch while a job runs: a task then
+    holds a few megabytes of text at a time on either side, not tens."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), rows) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it
     back: lineage ends there, and a lost executor re-reads files."""
     spark = df.sparkSession
     path = stage_path(spark, name)
     schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
