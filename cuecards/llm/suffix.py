@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuecards.llm import textvec as tv
-from cuecards.llm.common import drop_files, release, stage, stage_path, text_buffers
+from cuecards.llm.common import drop_files, release, small_batches, stage, stage_path, text_buffers
 
 U = np.uint64
 _LAST = (1 << 63) - 1
@@ -223,7 +223,8 @@ class SuffixFamily:
         level_rows = F.col("kind") == _KINDS["level"]
         fresh = F.lit(not last) & ((F.col("src") < 2) | (F.col("src") >= 2 * (len(self.levels) + 1)))
         path = stage_path(spark, "suffix-scan")
-        (scan.where(~level_rows | fresh).write.partitionBy("kind").option("compression", "zstd").parquet(path))
+        with small_batches(spark):
+            scan.where(~level_rows | fresh).write.partitionBy("kind").option("compression", "zstd").parquet(path)
         out = spark.read.schema(scan.schema).parquet(path)
         if not last:
             folder = f"{path}/kind={_KINDS['level']}"
