@@ -9,8 +9,11 @@ smoothed along the path (each ancestor's subtree counts half as much as the
 step below it) and fused into one score.  A heading has the score of the best
 path beside it; a path inside ``article`` or ``main`` has at least that of the
 whole element, so its short list items stay with its paragraphs.  Paths below
-``share`` of the best score are dropped; where the page marks an article, a path
-outside must beat it.  What is left is the text, in page order.
+``share`` of the page's level are dropped, but inside an article only if most
+of their text is links; where the page marks an article, a path outside must
+beat it.  The level is the median score of the text outside links, at most
+that of ordinary paragraphs, so a few huge blocks outvote nothing.  What is left
+is the text, in page order.
 
 Pages are independent rows, so nothing is shuffled.
 
@@ -54,6 +57,7 @@ NEVER_WORDS = frozenset(
     "signup skyscraper social sponsor sponsored subscribe toolbar widget".split())
 NEVER_ROLES = frozenset("banner complementary contentinfo dialog alert alertdialog form menu menubar navigation search".split())
 DEPTH = 96  # open elements that make up a path; deeper ones share it
+ORDINARY = (1, 400, 4)  # nodes, text and punctuation of an ordinary paragraph
 PUNCTUATION = re.compile(r"[.,;:!?…、。，！？；：।؟،]")
 
 _TAG = re.compile(
@@ -205,15 +209,38 @@ def _article_depth(path: tuple[str, ...]) -> int:
     return next((i + 1 for i, t in enumerate(path) if t in ("article", "main")), 0)
 
 
+def _linked(found: list[tuple[tuple[str, ...], str, int]]) -> set[tuple[str, ...]]:
+    """Paths with more than half of their text in links."""
+    excess: dict[tuple[str, ...], int] = {}
+    for path, text, link in found:
+        excess[path] = excess.get(path, 0) + 2 * link - len(text)
+    return {p for p, x in excess.items() if x > 0}
+
+
+def _level(found: list[tuple[tuple[str, ...], str, int]], scores: dict[tuple[str, ...], float]) -> float:
+    """The score that half of the page's text outside links reaches, bounded by
+    that of ordinary paragraphs."""
+    weight: dict[tuple[str, ...], int] = {}
+    for path, text, link in found:
+        weight[path] = weight.get(path, 0) + len(text) - link
+    left = sum(weight.values()) / 2
+    for path in sorted(weight, key=scores.__getitem__):
+        left -= weight[path]
+        if left <= 0:
+            return min(scores[path], _fused(*ORDINARY))
+    return 0.0
+
+
 def main_text(page: str | None, share: float = 0.05, decay: float = 0.5) -> str:
     found = list(blocks(page or ""))
     if not found:
         return ""
     scores = path_scores(found, decay)
-    best = max(scores.values())
+    least = share * _level(found, scores)
+    linked = _linked(found)
     article = max((v for p, v in scores.items() if _article_depth(p)), default=0)
     kept = {p for p, v in scores.items()
-            if v > 0 and v >= share * best and (not article or _article_depth(p) or v > article)}
+            if v > 0 and (v >= least or _article_depth(p) and p not in linked) and (_article_depth(p) or v > article)}
     return "\n".join(text for path, text, _ in found if path in kept)
 
 

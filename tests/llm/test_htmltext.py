@@ -27,6 +27,22 @@ def test_headings_of_short_articles_stay():
     assert main_text(page).startswith("Head\nSentence number 0,") and main_text(page).count("\n") == 50
 
 
+@pytest.mark.parametrize("chars", [5_000, 20_000, 100_000])
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+def test_a_huge_block_leaves_the_paragraphs(chars, outer):
+    body = "".join(f"<p>{f'Paragraph {i}, ' + 'word ' * 37}.</p>" for i in range(60))
+    for tag in ("pre", "blockquote", "div"):
+        page = f"<{outer}><h1>Head</h1>{body}<{tag}>{'code; line ' * (chars // 11)}</{tag}></{outer}>"
+        assert main_text(page).count("Paragraph") == 60 and main_text(page).count("code; line") == chars // 11
+
+
+def test_cells_of_a_large_table_stay_in_an_article():
+    body = "".join(f"<p>{f'Paragraph {i}, ' + 'word, ' * 100}.</p>" for i in range(60))
+    cells = "<tr>" + "<td>12345</td>" * 10 + "</tr>"
+    got = main_text(f"<article>{body}<table>{cells * 200}</table></article>")
+    assert got.count("Paragraph") == 60 and got.count("12345") == 2000
+
+
 def test_long_and_hostile_pages_take_linear_time():
     assert main_text("<div>" * 20_000 + "x") == "x"
     assert main_text("<a " * 50_000 + '"' * 1000) is not None
