@@ -3,8 +3,8 @@
 Learning: every labelled training text is normalised (letters and marks
 lower-cased, any other run of characters one space) and cut into character
 ``ORDER``-grams; tasks count them, Spark sums the counts per language.  The
-counts of lower orders are continuation counts, so the top-order table is all
-that is gathered; it grows with the corpus.  Each language's interpolated
+counts of lower orders are continuation counts, so they follow from the
+top-order table, which grows with the corpus.  Each language's interpolated
 Kneser-Ney probabilities are stored in hash arrays, one sorted by the mixed
 64-bit key per order, shared by all languages (a column for each).
 
@@ -18,9 +18,13 @@ rejected if it holds no letter, or if its cross-entropy both lies more than
 language and is above what that model gives the training texts of other
 languages on average.  Texts that mix known languages pass.
 
-``max_cells`` bounds the model (grams times languages) that is sent to the
-executors: if the grams exceed it, those with the lowest counts are left out of
-the model, whole count levels at a time.
+``max_cells`` bounds the model (grams times languages) that is held at once.  A
+larger one is divided by language and, within a language, by the grams' last
+character but one, on which all contexts of a part's grams agree; discounts, the
+alphabet and the lowest order, which cross parts, are counted in Spark.  Each
+part scores all texts in a pass of its own and the partial log-probabilities
+are added up, so the bound changes the cost, not the results.  (One language's
+grams around one character are never divided, whatever ``max_cells``.)
 
 Defined results: null and empty texts and texts without letters are ``und``
 with score 0 and rejected; without any training text every text is ``und``;
@@ -32,6 +36,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -182,10 +187,31 @@ class HashTable:
         return at
 
 
+class Whole(NamedTuple):
+    """What a model of some of the grams takes from all of them."""
+
+    size: int  # of the alphabet
+    discount: np.ndarray  # (order, language)
+    first: tuple[np.ndarray, np.ndarray, np.ndarray]  # language, character, continuation count
+
+
+class Part(NamedTuple):
+    """Some languages' grams, by their last character but one: ``low <= it < high``."""
+
+    langs: list[int]
+    low: int = 0
+    high: int = 1 << 16
+
+
+def _discount(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """From how many grams count one and two, per language."""
+    return np.where(one + two > 0, one / np.maximum(1, one + 2 * two), 0.5).clip(0.1, 0.9)
+
+
 class Model:
     """Interpolated Kneser-Ney log-probabilities of all languages."""
 
-    def __init__(self, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray):
+    def __init__(self, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray, whole: Whole | None = None):
         self.langs = langs
         k = len(langs)
         level = [(lang, gram.astype(U), n.astype(np.float64))]
@@ -195,7 +221,9 @@ class Model:
             pair = np.stack([l.astype(U), g & U((1 << (16 * order)) - 1)], axis=1)
             uniq, count = np.unique(pair, axis=0, return_counts=True)
             level.insert(0, (uniq[:, 0].astype(np.int64), uniq[:, 1], count.astype(np.float64)))
-        self.size = max(2, len(np.unique(level[0][1])) + 1)
+        if whole:
+            level[0] = whole.first
+        self.size = whole.size if whole else _alphabet(level[0][1])
         self.tables: list[tuple[HashTable, np.ndarray]] = []
         self.contexts: list[tuple[HashTable, np.ndarray]] = []
         for order, (l, g, c) in enumerate(level, 1):
@@ -204,9 +232,8 @@ class Model:
             total, kinds = np.zeros((len(ctx_keys), k)), np.zeros((len(ctx_keys), k))
             np.add.at(total, (ctx_at, l), c)
             np.add.at(kinds, (ctx_at, l), 1)
-            one = np.bincount(l[c == 1], minlength=k)
-            two = np.bincount(l[c == 2], minlength=k)
-            discount = np.where(one + two > 0, one / np.maximum(1, one + 2 * two), 0.5).clip(0.1, 0.9)
+            discount = whole.discount[order - 1] if whole else _discount(
+                np.bincount(l[c == 1], minlength=k), np.bincount(l[c == 2], minlength=k))
             back = np.where(total > 0, discount * kinds / np.maximum(total, 1), 1.0)
             keys = np.unique(g)
             row, own = np.searchsorted(keys, g), np.searchsorted(ctx_keys, keys >> U(16))
@@ -235,71 +262,173 @@ class Model:
         return out
 
 
-def learn(train: DataFrame, max_cells: int = 24_000_000) -> Model | None:
-    """The model of ``train (text, lang)``; ``None`` without training texts."""
-    counts = stage(gram_counts(train), "gram-counts")
-    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
+def _alphabet(chars: np.ndarray) -> int:
+    return max(2, len(np.unique(chars)) + 1)
+
+
+def _numbers(langs: list[str], column: pa.ChunkedArray) -> np.ndarray:
+    return np.searchsorted(np.array(langs, object), np.array(column.to_pylist(), object)).astype(np.int64)
+
+
+def _divide(counts: DataFrame, langs: list[str], max_cells: int) -> list[Part]:
+    """Parts that each hold at most ``max_cells`` cells, and all grams together."""
+    totals = dict(counts.groupBy("lang").count().collect())
+    if sum(totals.values()) * len(langs) <= max_cells:
+        return [Part(list(range(len(langs))))]
+    parts, group, held = [], [], 0
+    for i, lang in enumerate(langs):
+        if totals[lang] <= max_cells:
+            if group and (held + totals[lang]) * (len(group) + 1) > max_cells:
+                parts.append(Part(group))
+                group, held = [], 0
+            group, held = [*group, i], held + totals[lang]
+            continue
+        unit = F.shiftrightunsigned("gram", 16).bitwiseAND(0xFFFF)
+        low = rows = 0
+        for r in counts.where(F.col("lang") == lang).groupBy(unit.alias("unit")).count().orderBy("unit").collect():
+            if rows and rows + r["count"] > max_cells:
+                parts.append(Part([i], low, r["unit"]))
+                low, rows = r["unit"], 0
+            rows += r["count"]
+        parts.append(Part([i], low))
+    return [*parts, Part(group)] if group else parts
+
+
+def _whole(counts: DataFrame, langs: list[str]) -> Whole:
+    """Discounts, alphabet and lowest order over all grams."""
+    level, discount = counts, np.zeros((ORDER, len(langs)))
+    for order in range(ORDER, 0, -1):
+        if order < ORDER:
+            shorter = F.col("gram").bitwiseAND((1 << (16 * order)) - 1)
+            level = stage(level.groupBy("lang", shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n")), "gram-level")
+        got = level.groupBy("lang").agg(*[F.count(F.when(F.col("n") == x, 1)) for x in (1, 2)]).collect()
+        few = {lang: (one, two) for lang, one, two in got}
+        discount[order - 1] = _discount(*np.array([few[x] for x in langs]).T)
+    first = level.toArrow()  # at most 65,536 rows a language
+    chars = first.column("gram").to_numpy().view(U)
+    return Whole(_alphabet(chars), discount,
+                 (_numbers(langs, first.column("lang")), chars, first.column("n").to_numpy().astype(np.float64)))
+
+
+def _part_model(counts: DataFrame, langs: list[str], part: Part, whole: Whole | None) -> Model:
+    if whole:
+        unit = F.shiftrightunsigned("gram", 16).bitwiseAND(0xFFFF)
+        counts = counts.where(F.col("lang").isin([langs[i] for i in part.langs]) & (unit >= part.low) & (unit < part.high))
+        mine = np.isin(whole.first[0], part.langs)
+        number, chars, n = (x[mine] for x in whole.first)
+        whole = Whole(whole.size, whole.discount[:, part.langs], (np.searchsorted(part.langs, number), chars, n))
+    names = [langs[i] for i in part.langs]
+    got = counts.toArrow()
+    return Model(names, _numbers(names, got.column("lang")), got.column("gram").to_numpy().view(U),
+                 got.column("n").to_numpy(), whole)
+
+
+def _log_sums(raw, off, model: Model | None, part: Part, k: int):
+    """Each text's log-probability by language over the part's grams, its number
+    of grams in all, and whether it holds a letter."""
+    n = len(off) - 1
+    units, begin, has = normalise(raw, off)
+    if model is None:
+        return np.zeros((n, 0)), np.zeros(n, np.int64), has
+    keys, owner = grams(units, begin)
+    length = np.bincount(owner, minlength=n)
+    if part.high - part.low < 1 << 16:
+        unit = (keys >> U(16)) & U(0xFFFF)
+        mine = (unit >= U(part.low)) & (unit < U(part.high))
+        keys, owner = keys[mine], owner[mine]
+    logs = model.log_prob(keys, ORDER)
+    sums = np.zeros((n, k))
+    for j, i in enumerate(part.langs):
+        sums[:, i] = np.bincount(owner, weights=logs[:, j], minlength=n)
+    return sums, length, has
+
+
+def _choose(sums: np.ndarray, length: np.ndarray, has: np.ndarray, langs: list[str], sharpness: float):
+    """Columns ``lang_pred, score, cross, length``."""
+    n = len(length)
+    cross = -sums / np.maximum(length, 1)[:, None]
     if not langs:
-        return None
-    # whole count levels are left out until grams x languages fit the bound
-    most = max_cells // len(langs)
-    kept = counts
-    if counts.count() > most:
-        levels = counts.groupBy(F.least("n", F.lit(1000)).alias("n")).count().orderBy(F.desc("n")).collect()
-        room, cut = most, 1001
-        for r in levels:
-            if (room := room - r["count"]) < 0:
-                break
-            cut = r["n"]
-        kept = counts.where(F.col("n") >= cut)
-    got = kept.toArrow()
-    if not got.num_rows:
-        return None
-    lang = np.searchsorted(np.array(langs, object), np.array(got.column("lang").to_pylist(), object))
-    return Model(langs, lang.astype(np.int64), got.column("gram").to_numpy().view(U), got.column("n").to_numpy())
-
-
-def _scorer(model: Model | None, sharpness: float):
-    def scored(raw, off):
-        n = len(off) - 1
-        units, begin, has = normalise(raw, off)
-        if model is None:
-            return np.full(n, -1), np.zeros(n), np.zeros((n, 0)), np.zeros(n, np.int64)
-        keys, owner = grams(units, begin)
-        logs = model.log_prob(keys, ORDER)
-        length = np.bincount(owner, minlength=n)
-        cross = np.stack([-np.bincount(owner, weights=logs[:, i], minlength=n) for i in range(len(model.langs))], 1)
-        cross /= np.maximum(length, 1)[:, None]
+        best, post, length = np.full(n, -1), np.zeros(n), np.zeros(n, np.int64)
+    else:
         best = cross.argmin(axis=1)
         low = cross[np.arange(n), best]
         post = 1 / np.exp(-sharpness * (cross - low[:, None])).sum(axis=1)
-        return np.where(has, best, -1), np.where(has, post, 0.0), cross, length
-    return scored
+        best, post = np.where(has, best, -1), np.where(has, post, 0.0)
+    names = np.array([*langs, "und"], object)
+    return [pa.array(names[best], pa.string()), pa.array(post, pa.float64()),
+            pa.array(list(cross), pa.list_(pa.float64())), pa.array(length, pa.int64())]
+
+
+_SCORED = "lang_pred string, score double, cross array<double>, length long"
 
 
-def score_texts(docs: DataFrame, model: Model | None, keys: list[str], sharpness: float = 20.0) -> DataFrame:
-    """``keys`` and ``lang_pred, score, cross, length`` of each row's ``text``;
-    ``cross`` holds the cross-entropies of all languages in name order."""
+def score_texts(docs: DataFrame, counts: DataFrame, keys: list[str], max_cells: int,
+                sharpness: float = 20.0) -> tuple[list[str], DataFrame]:
+    """The languages, and ``keys`` and ``lang_pred, score, cross, length`` of
+    each row's ``text``; ``cross`` holds the cross-entropies of all languages in
+    name order.  ``keys`` begin with ``doc, text_key``."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
+    parts = _divide(counts, langs, max_cells) if langs else [Part([])]
+    whole = _whole(counts, langs) if len(parts) > 1 else None
+    kinds = dict(docs.dtypes)
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", "
+    names = [*keys, "lang_pred", "score", "cross", "length"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = _scorer(shared.value, sharpness)
-        names = np.array([*(shared.value.langs if shared.value else []), "und"], object)
-        for batch in batches:
+    def sums_of(shared, part):
+        def run(batch):
             raw, off = text_buffers(batch.column("text"))
-            parts = [score(raw[off[i]: off[j]], off[i: j + 1] - off[i]) for i, j in segments(off, _SEGMENT >> 2)]
-            if not parts:
-                continue
-            best, post, cross, length = (np.concatenate(x) for x in zip(*parts, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in keys), pa.array(names[best], pa.string()), pa.array(post, pa.float64()),
-                 pa.array(list(cross), pa.list_(pa.float64())), pa.array(length, pa.int64())],
-                [*keys, "lang_pred", "score", "cross", "length"])
+            found = [_log_sums(raw[off[i]: off[j]], off[i: j + 1] - off[i], shared.value, part, len(langs))
+                     for i, j in segments(off, _SEGMENT >> 2)]
+            return [np.concatenate(x) for x in zip(*found, strict=True)]
+        return run
+
+    if len(parts) == 1:
+        sums = sums_of(spark.sparkContext.broadcast(_part_model(counts, langs, parts[0], None) if langs else None), parts[0])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [*(batch.column(k) for k in keys), *_choose(*sums(batch), langs, sharpness)], names)
+
+        return langs, docs.mapInArrow(run, schema + _SCORED)
+
+    found = None
+    for p, part in enumerate(parts):
+        shared = spark.sparkContext.broadcast(_part_model(counts, langs, part, whole))
+
+        def add(batches: Iterator[pa.RecordBatch], sums=sums_of(shared, part), p=p) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    total, length, has = sums(batch)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc"), batch.column("text_key"), pa.array(np.full(len(has), p, np.int32)),
+                         pa.array(list(total), pa.list_(pa.float64())), pa.array(length, pa.int64()), pa.array(has)],
+                        ["doc", "text_key", "part", "sums", "length", "has"])
+
+        mine = stage(docs.select("doc", "text_key", "text").mapInArrow(
+            add, "doc long, text_key long, part int, sums array<double>, length long, has boolean"), "langid-part")
+        shared.destroy()
+        found = mine if found is None else found.unionAll(mine)
+    zero = F.array_repeat(F.lit(0.0), len(langs))
+    added = found.dropDuplicates(["doc", "text_key", "part"]).groupBy("doc", "text_key").agg(
+        F.aggregate(F.array_sort(F.collect_list(F.struct("part", "sums"))), zero,
+                    lambda acc, x: F.zip_with(acc, x["sums"], lambda a, b: a + b)).alias("sums"),
+        F.first("length").alias("length"), F.first("has").alias("has"))
+    added = added.withColumnsRenamed({"doc": "sum_doc", "text_key": "sum_key"})
+    rows = docs.select(*keys).join(added, F.col("doc").eqNullSafe(F.col("sum_doc")) & (F.col("text_key") == F.col("sum_key")))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                total = batch.column("sums").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(langs))
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(k) for k in keys), *_choose(
+                        total, batch.column("length").to_numpy(), batch.column("has").to_numpy(zero_copy_only=False), langs, sharpness)],
+                    names)
 
-    kinds = dict(docs.dtypes)
-    return docs.mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in keys)
-                           + ", lang_pred string, score double, cross array<double>, length long")
+    return langs, rows.select(*keys, "sums", "length", "has").mapInArrow(choose, schema + _SCORED)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -311,8 +440,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         F.col(lang_col).cast("string").alias("lang"),
         F.xxhash64(F.col(text_col).cast("string")).alias("text_key"),
         (F.crc32(F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit(""))) % 3 == 1).alias("held_out"))
-    model = learn(src.where("not held_out"), max_cells)
-    scores = stage(score_texts(src, model, ["doc", "text_key", "held_out", "lang"]), "langid-scores")
+    counts = stage(gram_counts(src.where("not held_out")), "gram-counts")
+    langs, scores = score_texts(src, counts, ["doc", "text_key", "held_out", "lang"], max_cells)
+    scores = stage(scores, "langid-scores")
     scores = scores.withColumn("cross_entropy", F.array_min("cross"))
     short = 1 / F.col("length")
     # passes over the narrow score table: the mean by length, the variance around it, the foreign level
@@ -328,7 +458,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         F.avg("sq").alias("v"), F.avg(short).alias("avg_short")))
     var = var.select("lang_pred", "v1", F.greatest(F.col("v") - F.col("v1") * F.col("avg_short"),
                                                    0.05 * F.col("v")).alias("v0"))
-    names = F.array(*[F.lit(x) for x in (model.langs if model else [])]).cast("array<string>")
+    names = F.array(*[F.lit(x) for x in langs]).cast("array<string>")
     foreign = (train.select("lang", F.explode(F.arrays_zip(names.alias("name"), F.col("cross"))).alias("x"))
                .where("lang <> x.name").groupBy(F.col("x.name").alias("lang_pred"))
                .agg(F.avg("x.cross").alias("foreign")))

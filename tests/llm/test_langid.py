@@ -42,6 +42,22 @@ def test_held_out_accuracy_rejection_and_awkward_rows(spark):
     assert all(by[9000 + i].rejected for i in range(3)) and not any(by[i].rejected for i in range(240))
 
 
+def test_a_divided_model_gives_the_same_results(spark):
+    data, _ = rows()
+    rng = random.Random(8)
+    rare = [(20_000 + i, " ".join("".join(rng.choices("łąkęśćżnoda", k=5)) for _ in range(40)), "dd", "s", 1) for i in range(8)]
+    data = [*data, *rare, data[0], (data[1][0], data[2][1], "cc", "s", 1)]
+    src = frame(spark, data)
+    whole = sorted(map(tuple, identify(src).collect()), key=repr)
+    for most in (600, 8000):  # within a language, and by language
+        got = sorted(map(tuple, identify(src, max_cells=most).collect()), key=repr)
+        assert len(got) == len(whole)
+        for a, b in zip(whole, got, strict=True):
+            assert a[:4] == b[:4] and a[6] == b[6]
+            assert math.isclose(a[4], b[4], rel_tol=1e-6) and math.isclose(a[5] or 0, b[5] or 0, rel_tol=1e-6)
+        assert {r[3] for r in got if r[0] in {x[0] for x in rare}} == {"dd"}
+
+
 def test_no_training_text(spark):
     got = identify(frame(spark, [(1, "some text", None, "s", 1), (2, None, "aa", "s", 1)])).collect()
     assert {r.lang_pred for r in got} == {"und"}
