@@ -16,8 +16,15 @@ only each query's best k, which is exact for the union; pairs are never rows.
 
 ``m`` grows with the logarithm of the number of rows, so that a bucket holds
 about ``rows_per_bucket`` of them; r is the median distance
-of the k-th neighbour in a sample of ``sample`` rows.  Queries whose buckets
-hold fewer than k candidates are compared with all rows, in blocks.
+of the k-th neighbour in a sample of ``sample`` rows.
+
+Each query is judged by its own result: the visited buckets' estimated success
+is taken anew at the distances of the k found, over all tables.  (What was
+missed lies nearer than what was found in its place, so the estimate errs on
+the low side.)  Queries whose mean is below what the tables aim at together,
+because their neighbours are farther than r or because a table's buckets are too
+many to enumerate, and queries with fewer than k candidates, are compared with
+all rows, in blocks.
 
 Defined results: rows without id, and vectors that are null, empty, zero, or
 hold null or non-finite components, take no part; vectors of another length than
@@ -108,6 +115,16 @@ def perturbations(place: np.ndarray, spread: float, success: float, most: int =
     return home.astype(np.int64) + combo[order[:upto]]
 
 
+def covered(place: np.ndarray, codes: np.ndarray, spread: float) -> float:
+    """Probability that a neighbour whose projections have this standard
+    deviation, in slots, lies in one of the distinct buckets ``codes``."""
+    steps = codes - np.floor(place).astype(np.int64)
+    low = int(steps.min())
+    edge = (np.floor(place) + low - place)[:, None] + np.arange(int(steps.max()) - low + 2)
+    mass = np.diff(np.interp(edge / spread, _STEP, _NORMAL), axis=1)
+    return float(mass[np.arange(len(place)), steps - low].prod(axis=1).sum())
+
+
 def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Cosines of all pairs; each pair's sum runs in the same order wherever it stands."""
     dots = np.einsum("ij,kj->ik", q, x)
@@ -244,7 +261,27 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
               .sortWithinPartitions("key", "part", "dim", "is_query"))
     found = stage(_top(groups.mapInArrow(_bucket_scorer(k), _FOUND), k), "ann-found")
 
-    enough = found.groupBy("query").count().where(F.col("count") >= min(k, total - 1)).select(F.col("query").alias("vec"))
+    def judge(batches):
+        get = families()
+        for batch in batches:
+            far_of = batch.column("far").to_pylist()
+            for dim, at, x in by_dim(batch):
+                ids, place = batch.column("vec").to_numpy()[at], get(dim).places(x)
+                held = np.zeros(len(at))
+                for i in range(len(at)):
+                    spreads = np.maximum(far_of[at[i]], 1e-3) / width
+                    missed = np.ones(len(spreads))
+                    for t in range(tables):
+                        codes = perturbations(place[i, t], radius / width, success)
+                        missed *= [1 - covered(place[i, t], codes, s) for s in spreads]
+                    held[i] = 1 - missed.mean()
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(held)], ["vec", "held"])
+
+    far = F.sqrt(F.greatest(2 - 2 * F.col("score"), F.lit(0.0)))
+    full = (found.groupBy("query").agg(F.collect_list(far).alias("far"))  # at most k
+            .where(F.size("far") >= min(k, total - 1)).withColumnRenamed("query", "vec"))
+    judged = queries.dropDuplicates(["vec"]).join(full, "vec").mapInArrow(judge, "vec long, held double")
+    enough = stage(judged, "ann-judged").where(F.col("held") >= 1 - (1 - success) ** tables).select("vec")
     short = queries.dropDuplicates(["vec"]).join(enough, "vec", "left_anti")
     found = found.unionByName(_top(_exhaustive(short, rows, k), k))
     return (_top(found.select("query", "vec", "score"), k)

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cuecards.llm.ann import cosines, nearest, perturbations
+from cuecards.llm.ann import cosines, covered, nearest, perturbations
 
 SCHEMA = "vec_id long, embedding array<float>, label int, vec string, data string, key int, score double"
 
@@ -59,6 +59,38 @@ def test_recall_with_production_settings(spark):
     assert hit / (80 * 5) >= 0.9
 
 
+def recall(spark, vs, step, only=lambda q: True, **kw):
+    got = answer(table(spark, vs), F.col("vec_id") % step == 0, **kw)
+    x = np.array([v for _, v in vs], np.float64)
+    hit = n = 0
+    for q in filter(only, range(0, len(vs), step)):
+        s = cosines(x[q: q + 1], x)[0]
+        s[q] = -2
+        hit += len(set(np.argsort(-s)[:5].tolist()) & {i for i, _ in got[q]})
+        n += 5
+    return hit / n
+
+
+def test_isolated_vectors_beside_copies(spark):
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((40, 64))
+    x = rng.standard_normal((4000, 64))
+    copies = np.arange(4000) % 5 < 3  # 60 per cent, in groups of 60
+    x[copies] = base[np.arange(copies.sum()) % 40] + 1e-3 * rng.standard_normal((copies.sum(), 64))
+    vs = [(i, v.astype("f4").tolist()) for i, v in enumerate(x)]
+    assert recall(spark, vs, 49, lambda q: not copies[q], rows_per_bucket=8) >= 0.9
+
+
+def test_covered_is_the_sum_of_the_visited_buckets():
+    place = np.array([0.1, 2.5, -1.9])
+    rng = np.random.default_rng(1)
+    codes = perturbations(place, 0.6, 0.8)
+    for spread in (0.05, 0.6, 1.5):
+        moved = np.floor(place + spread * rng.standard_normal((100_000, 3))).astype(int)
+        share = np.mean([m in {tuple(c) for c in codes} for m in map(tuple, moved[:5000])])
+        assert abs(covered(place, codes, spread) - share) < 0.04
+
+
 @pytest.mark.parametrize("vs", [[], [(0, [1.0, 2.0])], [(0, [1.0, 2.0]), (1, [2.0, 1.0])]])
 def test_tiny_tables(spark, vs):
     assert {q: [i for i, _ in v] for q, v in answer(table(spark, vs), F.col("vec_id") % 50 == 0).items()} == (
