@@ -81,6 +81,13 @@ def test_isolated_vectors_beside_copies(spark):
     assert recall(spark, vs, 49, lambda q: not copies[q], rows_per_bucket=8) >= 0.9
 
 
+def test_queries_whose_buckets_cannot_be_enumerated(spark):
+    rng = np.random.default_rng(7)
+    vs = [(i, rng.standard_normal(64).astype("f4").tolist()) for i in range(3000)]
+    # so small buckets take as many projections as 10^8 rows with the default
+    assert recall(spark, vs, 150, rows_per_bucket=0.03) >= 0.9
+
+
 def test_covered_is_the_sum_of_the_visited_buckets():
     place = np.array([0.1, 2.5, -1.9])
     rng = np.random.default_rng(1)
