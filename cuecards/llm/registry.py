@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from cuecards.llm.ann import nearest
 from cuecards.llm.chat import format_chats, loss_mask, masked_text, read_chats
+from cuecards.llm.collocations import collocations
 from cuecards.llm.common import table
 from cuecards.llm.decontam import decontaminate
 from cuecards.llm.htmltext import extract
 from cuecards.llm.langid import identify
 from cuecards.llm.minhash import near_duplicates
 from cuecards.llm.mixing import mix
+from cuecards.llm.pii import find_personal
 from cuecards.llm.secrets import find_secrets
 from cuecards.llm.sharding import shard
+from cuecards.llm.spelling import spelling_variants
 from cuecards.llm.suffix import remove_repeats
 
 
@@ -63,17 +66,18 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def _listed(spans):
+    return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_secrets(table(spark, sf_dir, "documents"))
 
-    def listed(spans: str):
-        return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])))
-
     def count(kind: str):
         return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return out.select(F.col("doc").alias("doc_id"), count("assign"), count("access"), count("hex"),
-                      F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+                      F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +97,25 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("doc").alias("doc_id"), "held_out", "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_personal(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    every = F.concat(F.col("base"), F.transform("terms", lambda t: F.struct(t["kind"], t["start"], t["end"])))
+    return out.select(F.col("doc").alias("doc_id"), count("email"), count("ip"), count("card"), count("phone"),
+                      F.sha2(_listed("base"), 256).alias("base_sha256"), _listed(every).alias("spans"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), support=100, longest=5, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_chat_format": op2_chat_format,
@@ -104,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
+    "op11_pii": op11_pii,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_collocations": op13_collocations,
 }
 
 #: The twin works from the turns themselves; only ``formatted_chars`` restates
@@ -175,8 +201,33 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_marked.n, 0) AS n_h
 FROM words LEFT JOIN n_marked USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+#: Every phrase counted, the longer ones searched for the shorter as strings.
+_OP13 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+cut AS (SELECT lang, m, w, unnest(generate_series(1, len(w) - m + 1)) AS i
+        FROM words, (VALUES (1), (2), (3), (4), (5)) lengths(m) WHERE len(w) >= m),
+f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS p, count(*) AS n FROM cut GROUP BY ALL HAVING count(*) >= 100),
+cand AS (SELECT lang, m, p, n AS a, string_split(p, ' ') AS w FROM f WHERE m > 1),
+cuts AS (SELECT lang, p, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+         FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM cand)),
+scored AS (SELECT c.lang, c.p, c.a, k, x.n AS l, y.n AS r, t.n AS n,
+                  CAST(1000::HUGEINT * c.a * t.n // (x.n::HUGEINT * y.n) AS BIGINT) AS score
+           FROM cuts c JOIN f x ON x.lang = c.lang AND x.p = head JOIN f y ON y.lang = c.lang AND y.p = tail
+           JOIN total t ON t.lang = c.lang),
+weakest AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS o FROM scored),
+kept AS (SELECT * FROM weakest b WHERE o = 1 AND NOT EXISTS (
+  SELECT 1 FROM cand q WHERE q.lang = b.lang AND len(q.p) > len(b.p) AND 100 * q.a >= 100 * b.a
+                         AND contains(' ' || q.p || ' ', ' ' || b.p || ' '))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM kept)
+SELECT lang, rank, p AS phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op1_minhash_dedup": _OP1,
     "op6_decontaminate": _OP6,
     "op2_chat_format": _OP2,
+    "op13_collocations": _OP13,
 }
