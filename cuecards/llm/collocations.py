@@ -1,22 +1,27 @@
 """Phrase collocation mining by SON partitioning.
 
-The corpus is cut into at most ``shards`` shards (whole input splits).  Phase
-one mines every shard completely, level by level, at its proportional support:
-a phrase with ``support`` occurrences overall has, in at least one shard ``i``,
-a count ``c`` with ``c * N >= support * n_i`` (``n_i`` of the language's ``N``
+The corpus is cut into at most ``shards`` shards (whole input splits).  Every
+shard is mined completely, level by level, at its proportional support: a
+phrase with ``support`` occurrences overall has, in at least one shard ``i``, a
+count ``c`` with ``c * N >= support * n_i`` (``n_i`` of the language's ``N``
 words lie in the shard).  A shard is as large as the corpus makes it, so it is
 counted by a Spark aggregation, not inside one task; a task combines its own
-occurrences first.  Words come first, then pairs of locally frequent words,
-then phrases of three and more words all of whose pairs are locally frequent.
-
-The union of the locally frequent phrases is kept as a bitmap of ``2**bits``
-bits (its size is fixed, whatever the corpus), one per level.  Phase two counts
-every phrase the bitmap lets through, over all shards, by its text: counts are
-exact, and a phrase that only shares a bit falls below the support there.
-Phase one knows phrases by a 64-bit hash; equal hashes add up, so that no
-phrase is lost.  In phase two a task counts by hash and sends the text: two
-phrases of one task that pass the bitmap would have to share all 64 bits to be
-mixed up (for 10**5 such phrases a task about 3e-10).
+occurrences first.  The union of the locally frequent phrases are the
+candidates; as every shard is counted completely, a candidate's exact count is
+the sum over all shards, worked out where its local counts already lie.  Words
+come first, then pairs of frequent words, then phrases of three and more words
+all of whose pairs are frequent.
+
+What a task must know of the level before is a Bloom filter of ``2**bits`` bits
+(its size is fixed, whatever the corpus); what it lets through wrongly falls
+below the support.  Texts of the frequent phrases come from one last scan: the
+counts name one split that holds the phrase, and a filter of (phrase, split)
+lets only that split's tasks send its text, so that a phrase is sent about once
+and not by every task.
+
+Phrases are known by a 64-bit hash of their language and words.  A rarer phrase
+with the same hash would be added to a frequent one's count: for 10**13 distinct
+phrases that is a chance of 5e-7 for a given frequent phrase.
 
 Words are lower-cased (A-Z only); phrases never cross a piece (see ``BREAKS``)
 or a text.
@@ -48,18 +53,21 @@ _BREAK[[*BREAKS]] = True
 _WORD = np.ones(256, bool)
 _WORD[[*BREAKS, *BLANKS]] = False
 
-#: Occurrences a task holds before it hands on their counts; texts it keeps for phase two.
-HELD, KNOWN = 4_000_000, 1_000_000
+#: Occurrences a task holds before it hands on their counts.
+HELD = 4_000_000
 
 
 def _seed(lang: str) -> np.uint64:
     return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
 
 
-def _set_bits(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Whether the bit of each hash is set (``bitmap``: 64-bit words)."""
-    at = h >> np.uint64(64 - (len(bitmap).bit_length() + 5))
-    return (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+def _passes(bloom: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether both bits of each hash are set (``bloom``: 64-bit words)."""
+    bits = np.uint64(len(bloom).bit_length() + 5)
+    out = np.ones(len(h), bool)
+    for at in (h >> (np.uint64(64) - bits), (h << bits) >> (np.uint64(64) - bits)):
+        out &= (bloom[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return out
 
 
 class _Segment:
@@ -82,11 +90,11 @@ class _Segment:
     def phrases(self, sizes: tuple[int, ...], words: np.ndarray | None, pairs: np.ndarray | None
                 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """``(size, first words, hashes)`` of the phrases whose words and
-        pairs pass the given bitmaps."""
+        pairs pass the given filters."""
         n = len(self.start)
         every = np.arange(n)
         one = self.hashes(every, 1) if words is not None or 1 in sizes else None
-        good = np.ones(n, bool) if words is None else _set_bits(words, one)
+        good = np.ones(n, bool) if words is None else _passes(words, one)
         if 1 in sizes:
             yield 1, every[good], one[good]
         if max(sizes) < 2:
@@ -94,7 +102,7 @@ class _Segment:
         at = np.flatnonzero(good[:-1] & good[1:] & (self.run[:-1] == self.run[1:]))
         two = self.hashes(at, 2)
         if pairs is not None:
-            passed = _set_bits(pairs, two)
+            passed = _passes(pairs, two)
             at, two = at[passed], two[passed]
         if 2 in sizes:
             yield 2, at, two
@@ -112,9 +120,9 @@ class _Segment:
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[tuple[_Segment, list, np.ndarray]]:
-    """Each segment of a batch, its distinct (shard, language) pairs and the pair of each word."""
+    """Each segment of a batch, its distinct (split, language) pairs and the pair of each word."""
     raw, off = text_buffers(batch.column("text"))
-    owners = list(zip(batch.column("shard").to_pylist(), batch.column("lang").to_pylist(), strict=True))
+    owners = list(zip(batch.column("split").to_pylist(), batch.column("lang").to_pylist(), strict=True))
     code = {o: i for i, o in enumerate(dict.fromkeys(owners))}
     codes = np.array([code[o] for o in owners], np.int64)
     seeds = np.array([_seed(o[1]) for o in code], np.uint64)
@@ -132,16 +140,16 @@ def _by_owner(owner: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, tu
             yield int(owner[part[0]]), tuple(c[part] for c in columns)
 
 
-def _local_counts(sizes: tuple[int, ...], words=None, pairs=None) -> Callable:
-    """``mapInArrow``: a task's counts of hashed phrases per shard and language."""
+def _counter(sizes: tuple[int, ...], words=None, pairs=None) -> Callable:
+    """``mapInArrow``: a task's counts of hashed phrases per split and language."""
     def emit(held: dict) -> Iterator[pa.RecordBatch]:
-        for (shard, lang), arrays in held.items():
+        for (split, lang), arrays in held.items():
             h, n = np.unique(np.concatenate(arrays), return_counts=True)
             for k in range(0, len(h), 1 << 17):
                 part = h[k: k + (1 << 17)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), shard, np.int32)), pa.array([lang] * len(part), pa.string()),
-                     pa.array(part.view(np.int64)), pa.array(n[k: k + (1 << 17)])], ["shard", "lang", "h", "n"])
+                    [pa.array(np.full(len(part), split, np.int64)), pa.array([lang] * len(part), pa.string()),
+                     pa.array(part.view(np.int64)), pa.array(n[k: k + (1 << 17)])], ["split", "lang", "h", "n"])
         held.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,96 +168,83 @@ def _local_counts(sizes: tuple[int, ...], words=None, pairs=None) -> Callable:
     return run
 
 
-def _global_counts(longest: int, words, pairs, longer) -> Callable:
-    """``mapInArrow``: a task's counts of the candidates, by text, and of all
-    words of each language (no phrase)."""
+def _spell(longest: int, words, pairs, wanted) -> Callable:
+    """``mapInArrow``: the texts of the phrases whose (phrase, split) pass ``wanted``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, int] = defaultdict(int)
-        known: dict[int, list] = {}
-        held, size = [], 0
-
-        def emit():
-            h, n = np.unique(np.concatenate(held), return_counts=True) if held else ((), ())
-            found = [known[x] for x in (h.tolist() if held else ())]
-            for k in range(0, len(found), 20_000):
-                part = found[k: k + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in part], pa.string()), pa.array([x[1] for x in part], pa.int32()),
-                     pa.array([x[2].decode("utf-8", "replace") for x in part], pa.string()),
-                     pa.array(n[k: k + 20_000], pa.int64())], ["lang", "size", "phrase", "n"])
-            known.clear()
-            held.clear()
-
+        sent: set[int] = set()
         for batch in batches:
             for seg, owners, owner in _parts(batch):
-                for code, n in zip(*np.unique(owner, return_counts=True), strict=True):
-                    total[owners[code][1]] += int(n)
+                splits = np.array([o[0] for o in owners], np.int64).view(np.uint64)
+                out = []
                 for m, at, h in seg.phrases(tuple(range(1, longest + 1)), words.value, pairs.value):
-                    if m > 2:
-                        passed = _set_bits(longer.value, h)
-                        at, h = at[passed], h[passed]
-                    found, where = np.unique(h, return_index=True)
-                    for x, i in zip(found.tolist(), at[where].tolist(), strict=True):
-                        if x not in known:
-                            known[x] = (owners[owner[i]][1], m, seg.phrase(i, m))
-                    held.append(h)
-                    size += len(h)
-                if size >= HELD or len(known) >= KNOWN:
-                    yield from emit()
-                    size = 0
-        yield from emit()
-        if total:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(total), pa.string()), pa.array([0] * len(total), pa.int32()),
-                 pa.array([None] * len(total), pa.string()), pa.array(list(total.values()), pa.int64())],
-                ["lang", "size", "phrase", "n"])
+                    hit = _passes(wanted.value, h ^ splits[owner[at]])
+                    found, where = np.unique(h[hit], return_index=True)
+                    out += [(owners[owner[i]][1], x, m, seg.phrase(i, m).decode("utf-8", "replace"))
+                            for x, i in zip(found.view(np.int64).tolist(), at[hit][where].tolist(), strict=True) if x not in sent]
+                if len(sent) > HELD:  # sending a text twice does no harm
+                    sent.clear()
+                sent.update(o[1] for o in out)
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                        zip(*out, strict=True), (pa.string(), pa.int64(), pa.int32(), pa.string()), strict=True)], ["lang", "h", "size", "phrase"])
 
     return run
 
 
-_LOCAL = "shard int, lang string, h long, n long"
-
-
-def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of ``2**bits`` bits; at most ``2**(bits - 6)`` rows reach the driver."""
-    bit = F.shiftrightunsigned("h", 64 - bits)
-    rows = (hashes.select(F.shiftright(bit, 6).alias("at"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - bits}) & 63 as int))").alias("one"))
-            .groupBy("at").agg(F.bit_or("one").alias("bits")).toArrow())
+def _bloom(hashes: DataFrame, bits: int) -> np.ndarray:
+    """A Bloom filter of ``2**bits`` bits, two a hash; at most ``2**(bits - 6)`` rows reach the driver."""
+    places = hashes.select(F.explode(F.array(F.shiftrightunsigned("h", 64 - bits),
+                                             F.shiftrightunsigned(F.shiftleft("h", bits), 64 - bits))).alias("at"))
+    rows = (places.select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("one"))
+            .groupBy("word").agg(F.bit_or("one").alias("bits")).toArrow())
     out = np.zeros(1 << (bits - 6), np.uint64)
-    out[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    out[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return out
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", support: int = 100,
-                     longest: int = 5, shards: int = 16, bits: int = 26) -> DataFrame:
+                     longest: int = 5, shards: int = 4, bits: int = 26) -> tuple[DataFrame, DataFrame]:
     """Exact counts ``(lang, size, phrase, n)`` of all phrases of up to
-    ``longest`` words with at least ``support`` occurrences in their language;
-    the row without a phrase counts all words of the language."""
+    ``longest`` words with at least ``support`` occurrences in their language,
+    and ``(lang, words)``, the number of all words of each language."""
     spark = docs.sparkSession
+    share = spark.sparkContext.broadcast
     src = docs.select(
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
-        # the same scan has the same splits in every pass; a table that no file backs is one shard
-        F.pmod(F.xxhash64(F.input_file_name(), F.input_file_block_start()), F.lit(shards)).cast("int").alias("shard"))
-
-    def mined(counts: DataFrame) -> np.ndarray:
-        there = counts.join(parts, ["shard", "lang"])
-        wide = [F.col(c).cast("decimal(18,0)") for c in ("n", "all_words", "part_words")]
-        return _bitmap(there.where(wide[0] * wide[1] >= wide[2] * F.lit(support)).select("h"), bits)
-
-    def local(sizes, *maps) -> DataFrame:
-        return src.mapInArrow(_local_counts(sizes, *maps), _LOCAL).groupBy("shard", "lang", "h").agg(F.sum("n").alias("n"))
-
-    share = spark.sparkContext.broadcast
-    words_found = stage(local((1,)), "phrase-words")
+        # the same scan has the same splits in every pass; a table that no file backs is one split
+        F.xxhash64(F.input_file_name(), F.input_file_block_start()).alias("split"))
+    shard = F.pmod("split", F.lit(shards)).alias("shard")
+
+    def counted(sizes, *filters) -> DataFrame:
+        """The shards' complete counts; one exchange serves both aggregations of ``candidates``."""
+        rows = src.mapInArrow(_counter(sizes, *filters), "split long, lang string, h long, n long")
+        return rows.repartition("lang", "h").groupBy("lang", "h", shard).agg(F.sum("n").alias("n"), F.min("split").alias("split"))
+
+    def candidates(counts: DataFrame) -> DataFrame:
+        wide = {c: F.col(c).cast("decimal(18,0)") for c in ("n", "all_words", "part_words")}
+        local = wide["n"] * wide["all_words"] >= wide["part_words"] * F.lit(support)
+        found = (counts.join(parts, ["shard", "lang"]).groupBy("lang", "h")
+                 .agg(F.sum("n").alias("n"), F.max(local).alias("local"), F.min("split").alias("split")))
+        return found.where("local").where(F.col("n") >= support).select("lang", "h", "n", "split")
+
+    words_found = stage(counted((1,)), "phrase-words")
     parts = words_found.groupBy("shard", "lang").agg(F.sum("n").alias("part_words"))
     parts = stage(parts.join(parts.groupBy("lang").agg(F.sum("part_words").alias("all_words")), "lang"), "phrase-parts")
-    words = share(mined(words_found))
-    pairs = share(mined(local((2,), words)))
-    longer = share(mined(local(tuple(range(3, longest + 1)), words, pairs)) if longest > 2 else np.zeros(1, np.uint64))
-    counts = (src.mapInArrow(_global_counts(longest, words, pairs, longer), "lang string, size int, phrase string, n long")
-              .groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")))
-    return stage(counts.where((F.col("n") >= support) | F.col("phrase").isNull()), "phrase-counts")
+    found = [stage(candidates(words_found), "phrase-level1")]
+    words = share(_bloom(found[0], bits))
+    found.append(stage(candidates(counted((2,), words)), "phrase-level2"))
+    pairs = share(_bloom(found[1], bits))
+    if longest > 2:
+        found.append(stage(candidates(counted(tuple(range(3, longest + 1)), words, pairs)), "phrase-level3"))
+    frequent = found[0]
+    for more in found[1:]:
+        frequent = frequent.unionByName(more)
+    wanted = share(_bloom(frequent.select(F.col("h").bitwiseXOR(F.col("split")).alias("h")), bits))
+    texts = (src.mapInArrow(_spell(longest, words, pairs, wanted), "lang string, h long, size int, phrase string")
+             .groupBy("lang", "h").agg(F.min("size").alias("size"), F.min("phrase").alias("phrase")))
+    out = stage(frequent.join(texts, ["lang", "h"]).select("lang", "size", "phrase", "n"), "phrase-counts")
+    return out, parts.groupBy("lang").agg(F.max("all_words").alias("words"))
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", support: int = 100, longest: int = 5,
@@ -262,9 +257,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     with at least ``share`` per cent of its occurrences; as counts only fall
     with every word added, the phrases one word longer decide that.
     """
-    found = frequent_phrases(docs, text_col, lang_col, support, longest, **how)
-    all_words = found.where("phrase is null").select("lang", F.col("n").alias("words"))
-    found = found.where("phrase is not null")
+    found, all_words = frequent_phrases(docs, text_col, lang_col, support, longest, **how)
     cand = (found.where("size > 1")
             .select("lang", "phrase", F.col("n").alias("a"), "size", F.split("phrase", " ").alias("w")))
 

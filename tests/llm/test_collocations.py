@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from cuecards.llm.collocations import _bitmap, _set_bits, collocations
+from cuecards.llm.collocations import _bloom, _passes, collocations
 from tests.llm.helpers import LOW, corpus, frame
 
 
@@ -64,7 +64,7 @@ def test_same_as_counting_everything(spark):
 
 
 def test_shards_of_files_and_small_bitmap(spark, tmp_path):
-    """Many shards with uneven shares; a bitmap so small that false candidates pass."""
+    """Many shards with uneven shares; a filter so small that false candidates pass."""
     rows = texts(6, 200)
     frame(spark, rows).repartition(9).write.parquet(str(tmp_path / "d"))
     docs = spark.read.parquet(str(tmp_path / "d"))
@@ -85,8 +85,8 @@ def test_empty_table(spark):
     assert got(collocations(frame(spark, [(1, None), (2, "")]))) == []
 
 
-def test_bitmap_holds_every_hash(spark):
+def test_filter_holds_every_hash(spark):
     h = np.random.default_rng(1).integers(-2**63, 2**63, 500)
-    m = _bitmap(spark.createDataFrame([(int(x),) for x in h], "h long"), 12)
-    assert len(m) == 64 and _set_bits(m, h.view(np.uint64)).all()
-    assert 0 < _set_bits(m, np.random.default_rng(2).integers(0, 2**63, 4000).astype(np.uint64)).mean() < 0.3
+    m = _bloom(spark.createDataFrame([(int(x),) for x in h], "h long"), 12)
+    assert len(m) == 64 and _passes(m, h.view(np.uint64)).all()
+    assert 0 < _passes(m, np.random.default_rng(2).integers(0, 2**63, 4000).astype(np.uint64)).mean() < 0.15
