@@ -2,10 +2,10 @@
 
 Written from the operator definitions, not from the Spark code: global
 windows (``lag``, ``row_number``) where the Spark plans avoid them, plain
-joins and ``unnest``.  The driver tables are pre-registered views.  Model
-fits (MLlib) are checked by what must hold of any fit: the rows that get a
-score, widths, ranges, and the mean of a linear model's predictions on its own
-training rows.
+joins and ``unnest``.  The driver tables are pre-registered views.  Linear
+fits are solved here by Gauss-Jordan elimination of their normal equations;
+wider and logistic ones are checked by the equations that hold at the minimum
+alone.  Forests are checked by rows and ranges.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ THRESHOLD = 200
 MAX_LEN = 110
 SHORT_PAIR_LEN = 12
 SEED = 2021
+SHORT_LINE = 300
+FIT_WIDTH, FIT_WIDE, REG, STACK_DIM = 8, 32, 0.01, 16
 N = 6
 
 
@@ -194,6 +196,116 @@ top AS (SELECT *, row_number() OVER (PARTITION BY key_id ORDER BY total DESC, fi
 SELECT key_id, string_agg(token, ' ' ORDER BY rn) AS word FROM top GROUP BY key_id"""
 
 
+def _grams(width: int) -> str:
+    """``x (id, j, c)``: the count of every bucket (1-based) of every row of ``pt (id, text)``."""
+    return f"""
+codes AS (SELECT id, list_transform(regexp_extract_all(text, '(?s).'), lambda c: CAST(unicode(c) AS BIGINT)) AS cs FROM pt),
+grams AS (
+  SELECT id, unnest(cs) % {width} AS j FROM codes
+  UNION ALL
+  SELECT id, {width} + (cs[i] * 7919 + cs[i + 1]) % {width} AS j
+  FROM (SELECT id, cs, unnest(generate_series(1, len(cs) - 1)) AS i FROM codes)),
+found AS (SELECT id, j, CAST(count(*) AS DOUBLE) AS c FROM grams GROUP BY ALL),
+x AS (SELECT pt.id, CAST(t.j + 1 AS BIGINT) AS j, coalesce(c, 0) AS c
+      FROM pt CROSS JOIN generate_series(0, {2 * width - 1}) t(j) LEFT JOIN found ON found.id = pt.id AND found.j = t.j)"""
+
+
+def _solved(d: int, n: int, reg: float) -> str:
+    """Least squares with a penalty on standardised weights for every ``k`` of
+    ``tr (k, id, y)`` on ``x (id, j, c)``: ``sol (k, m)`` with weight ``m[i][d + l]``,
+    ``mu (k, means)``, ``ym (k, y)`` and ``dense (id, f)``."""
+    return f"""
+dense AS (SELECT id, list(c ORDER BY j) AS f FROM x GROUP BY id),
+obs AS (SELECT k, f, y FROM tr JOIN dense USING (id)),
+wide AS (SELECT k, f, y, unnest(generate_series(1, {d})) AS i FROM obs),
+mean_x AS (SELECT k, i, avg(f[i]) AS m FROM wide GROUP BY ALL),
+mu AS (SELECT k, list(m ORDER BY i) AS means FROM mean_x GROUP BY k),
+mean_y AS (SELECT k, l, avg(y[l]) AS m FROM (SELECT k, y, unnest(generate_series(1, {n})) AS l FROM obs) GROUP BY ALL),
+ym AS (SELECT k, list(m ORDER BY l) AS y FROM mean_y GROUP BY k),
+cov AS (SELECT w.k, w.i, j, avg((f[w.i] - a.means[w.i]) * (f[j] - a.means[j])) AS v
+        FROM (SELECT *, unnest(generate_series(1, {d})) AS j FROM wide) w JOIN mu a ON a.k = w.k GROUP BY ALL),
+cross_y AS (SELECT w.k, w.i, l, avg((f[w.i] - a.means[w.i]) * y[l]) AS v
+            FROM (SELECT *, unnest(generate_series(1, {n})) AS l FROM wide) w JOIN mu a ON a.k = w.k GROUP BY ALL),
+cells AS (SELECT k, i, j AS c, CASE WHEN i <> j THEN v WHEN v < 1e-12 THEN 1 ELSE v * (1 + {reg}) END AS v FROM cov
+          UNION ALL SELECT k, i, {d} + l, v FROM cross_y),
+lines_of AS (SELECT k, i, list(v ORDER BY c) AS r FROM cells GROUP BY ALL),
+gj AS (
+  SELECT k, 1 AS step, list(r ORDER BY i) AS m FROM lines_of GROUP BY k
+  UNION ALL
+  SELECT k, step + 1, list_transform(m, lambda r, i: CASE
+           WHEN i = step THEN list_transform(r, lambda v: v / r[step])
+           ELSE list_transform(r, lambda v, c: v - r[step] / m[step][step] * m[step][c]) END)
+  FROM gj WHERE step <= {d}),
+sol AS (SELECT k, m FROM gj WHERE step = {d + 1})"""
+
+
+def _score(d: int, label: int) -> str:
+    return (f"(ym.y[{label}] + list_sum(list_transform(generate_series(1, {d}), "
+            f"lambda i: (f[i] - means[i]) * m[i][{d} + {label}])))")
+
+
+def _fits(prep_body: str, h: str) -> dict[str, str]:
+    """Twins of the fits: the prepared lines split as the queries split them."""
+    q = {}
+    lab = "list_transform(string_split(emotions, ','), lambda v: CAST(trim(v) AS INTEGER))"
+    pt = f"""
+prep AS ({prep_body}),
+pt AS (SELECT id, text, jb_id, cc_id, {lab} AS labels, list_transform({lab}, lambda v: CAST(v AS DOUBLE)) AS y,
+              row_number() OVER (ORDER BY {h}, id) <= ceil(count(*) OVER () * 0.2) AS is_dev FROM prep)"""
+    d = 2 * FIT_WIDTH
+    one = f"WITH RECURSIVE {pt},\n{_grams(FIT_WIDTH)},\ntr AS (SELECT 0 AS k, id, y FROM pt WHERE NOT is_dev),\n{_solved(d, N, REG)},"
+    join = "FROM pt JOIN dense USING (id) CROSS JOIN sol JOIN mu USING (k) JOIN ym USING (k) WHERE is_dev"
+    raw = ", ".join(f"{_score(d, i + 1)} AS p{i}" for i in range(N))
+    clamped = ", ".join(f"greatest(0, least(3, {_score(d, i + 1)})) AS p{i}" for i in range(N))
+    q["train_regressor"] = f"""{one}
+scored AS (SELECT pt.id, {clamped} {join})
+SELECT id, {', '.join(f'round(p{i}, 4) AS s{i}' for i in range(N))} FROM scored"""
+    near = " + ".join(f"pow(p{i} - labels[{i + 1}], 2)" for i in range(N))
+    hit = " AND ".join(f"((labels[{i + 1}] >= 1) = (p{i} >= 0.5))" for i in range(N))
+    q["train_evaluate"] = f"""{one}
+scored AS (SELECT pt.id, labels, {clamped} {join}),
+total AS (SELECT count(*) AS rows, sum({near}) / (count(*) * {N}) AS mse, avg(CASE WHEN {hit} THEN 1.0 ELSE 0.0 END) AS exact_match FROM scored)
+SELECT rows, round(sqrt(mse), 4) AS rmse_flat, round(1 / (1 + sqrt(mse)), 4) AS score, round(exact_match, 4) AS exact_match,
+       round(mse, 4) AS mse FROM total"""
+    q["cv_ensemble"] = f"""WITH RECURSIVE {pt},
+{_grams(FIT_WIDTH)},
+folds AS (SELECT id, y, CASE WHEN count(*) OVER (PARTITION BY jb_id, cc_id) >= 5
+                 THEN (row_number() OVER (PARTITION BY jb_id, cc_id ORDER BY {h}, id) - 1) % 5 END AS fold
+          FROM pt WHERE NOT is_dev),
+tr AS (SELECT k, id, y FROM folds, generate_series(0, 4) t(k) WHERE fold IS NULL OR fold <> k),
+{_solved(d, N, REG)},
+scored AS (SELECT pt.id, {clamped} {join})
+SELECT id, {', '.join(f'round(avg(p{i}), 4) AS s{i}' for i in range(N))}, count(*) AS n_files FROM scored GROUP BY id"""
+
+    def moments(width: int, y: str, n: int) -> str:
+        return f"""WITH {pt},
+{_grams(width)},
+tr AS (SELECT id, {y} AS y FROM pt WHERE NOT is_dev),
+used AS (SELECT j, y, c, max(c) OVER (PARTITION BY j) > min(c) OVER (PARTITION BY j) AS varies FROM x JOIN tr USING (id))
+SELECT CAST(j - 1 AS INTEGER) AS bucket, CAST(l AS INTEGER) AS label, round(avg(c * y[l + 1]), 4) AS moment
+FROM used, generate_series(0, {n - 1}) t(l) WHERE varies GROUP BY j, l"""
+
+    q["train_regressor_fit"] = moments(FIT_WIDE, "y", N)
+    q["train_classifier"] = moments(FIT_WIDTH, "list_transform(y, lambda v: CASE WHEN v >= 1 THEN 1.0 ELSE 0.0 END)", N)
+    slots = ", ".join(f"CASE WHEN labels[{i + 1}] = {k} AND {k} > 0 THEN 1.0 ELSE 0.0 END" for i in range(N) for k in range(4))
+    q["train_classifier24"] = moments(FIT_WIDTH, f"[{slots}]", 24)
+
+    stack = f"""
+r AS (SELECT vec_id AS id, embedding, row_number() OVER (ORDER BY {_hash_order('vec_id', 42)}, vec_id) <= ceil(count(*) OVER () * 0.2) AS is_dev,
+             CASE WHEN substr(md5(CAST(vec_id AS VARCHAR)), 1, 1) >= 'a' THEN 1.0 ELSE 0.0 END AS label FROM embeddings),
+x AS (SELECT id, j, CAST(embedding[j] AS DOUBLE) AS c FROM r, generate_series(1, {STACK_DIM}) t(j)),
+folds AS (SELECT id, label, (row_number() OVER (ORDER BY {_hash_order('id', 42)}, id) - 1) % 5 AS fold FROM r WHERE NOT is_dev),
+tr AS (SELECT k, id, [label] AS y FROM folds, generate_series(0, 4) t(k) WHERE fold <> k),
+{_solved(STACK_DIM, 1, 0)}"""
+    q["stack_oof"] = f"""WITH RECURSIVE {stack}
+SELECT folds.id, round({_score(STACK_DIM, 1)}, 6) AS lr, true AS rf_in_range
+FROM folds JOIN dense USING (id) JOIN sol ON sol.k = fold JOIN mu ON mu.k = fold JOIN ym ON ym.k = fold"""
+    q["stack"] = f"""WITH RECURSIVE {stack}
+SELECT r.id, round(avg({_score(STACK_DIM, 1)}), 6) AS lr, true AS rf_in_range, true AS in_range
+FROM r JOIN dense USING (id) CROSS JOIN sol JOIN mu USING (k) JOIN ym USING (k) WHERE is_dev GROUP BY r.id"""
+    return q
+
+
 def _hash_order(key: str, seed) -> str:
     return f"md5(concat_ws('|', '{seed}', {key}))"
 
@@ -208,7 +320,7 @@ SELECT id, jb_id, cc_id, ids, id_t, character, emotions, labels_text, content2 A
        length(content2) AS text_len, id_t || ':' || character || ':' || content2 AS text
 FROM ctx WHERE emotions <> '99'"""
     q["prepare_lines"] = prep_body
-    q["materialise"] = prep_body
+    q["materialise"] = f"SELECT *, CASE WHEN text_len < {SHORT_LINE} THEN 'short' ELSE 'long' END AS part FROM ({prep_body})"
     q["parse_ids"] = f"WITH {LINES} SELECT id, jb_id, cc_id, ids, id_t, length(content) AS text_len FROM parsed"
 
     hot = ", ".join(f"CAST((labels[{i + 1}] > 0 AND labels[{i + 1}] = {k}) AS INTEGER)" for i in range(N) for k in range(4))
@@ -364,35 +476,7 @@ SELECT id, row_number() OVER (PARTITION BY jb_id, cc_id ORDER BY {h}, id)
        row_number() OVER (PARTITION BY jb_id, cc_id ORDER BY ids NULLS FIRST, id) AS pos,
        count(*) OVER (PARTITION BY jb_id, cc_id) AS scene_rows
 FROM bad"""
-    dev = f"""
-pl AS (SELECT id, row_number() OVER (ORDER BY {h}, id) <= ceil(count(*) OVER () * 0.2) AS is_dev, emotions
-       FROM parsed WHERE emotions IS NOT NULL AND content IS NOT NULL)"""
-    q["train_regressor"] = f"WITH {LINES},\n{dev}\nSELECT id, 6 AS width, true AS in_range FROM pl WHERE is_dev"
-    q["train_classifier"] = q["train_regressor"]
-    q["cv_ensemble"] = f"""
-WITH {LINES},
-{dev}
-SELECT id, 6 AS width, true AS in_range, CAST(5 AS BIGINT) AS n_files FROM pl WHERE is_dev"""
-    q["train_evaluate"] = f"""
-WITH {LINES},
-{dev}
-SELECT count(*) AS rows, true AS consistent FROM pl WHERE is_dev"""
-    q["train_regressor_fit"] = f"""
-WITH {LINES},
-{dev},
-lab AS (SELECT list_transform(string_split(emotions, ','), lambda x: CAST(trim(x) AS INTEGER)) AS labels
-        FROM pl WHERE NOT is_dev)
-SELECT CAST(i AS INTEGER) AS label, round(avg(labels[i + 1]), 3) AS mean
-FROM lab, generate_series(0, 5) t(i) GROUP BY i"""
-    q["stack"] = f"""
-WITH r AS (SELECT vec_id AS id, row_number() OVER (ORDER BY {_hash_order('vec_id', 42)}, vec_id) AS rn,
-                  count(*) OVER () AS n FROM embeddings)
-SELECT id, true AS has_lr, true AS rf_in_range, true AS in_range FROM r WHERE rn <= ceil(n * 0.2)"""
-    # M5 coverage: the training side of the 80/20 split, each id once
-    q["stack_oof"] = f"""
-WITH r AS (SELECT vec_id AS id, row_number() OVER (ORDER BY {_hash_order('vec_id', 42)}, vec_id) AS rn,
-                  count(*) OVER () AS n FROM embeddings)
-SELECT id, CAST(1 AS BIGINT) AS n_oof FROM r WHERE rn > ceil(n * 0.2)"""
+    q |= _fits(prep_body, h)
     q["fold_plain"] = f"""
 SELECT doc_id AS id, CAST((row_number() OVER (ORDER BY {_hash_order('doc_id', 42)}, doc_id) - 1) % 5 AS INTEGER) AS fold
 FROM labels"""

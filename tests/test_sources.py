@@ -52,23 +52,73 @@ def test_read_vectors_and_lookup(spark, tmp_path):
     assert not got["z"].found and all(0.0 <= x < 1.0 for x in got["z"].vec)
 
 
-def test_materialise_and_pending(spark, tmp_path):
-    df = spark.range(10).withColumnRenamed("id", "k")
-    a = stages.materialise(df, "nums", {"n": 10}, root=str(tmp_path))
-    b = stages.materialise(spark.range(3).withColumnRenamed("id", "k"), "nums", {"n": 10}, root=str(tmp_path))
-    assert a.count() == 10 and b.count() == 10  # second call reads the stage table
-    done = spark.range(4).withColumnRenamed("id", "k")
-    assert sorted(r.k for r in stages.pending(df, done, "k").collect()) == list(range(4, 10))
+def _ids(df):
+    return sorted(r[0] for r in df.collect())
+
+
+def test_pending(spark):
+    df, done = spark.range(10).withColumnRenamed("id", "k"), spark.range(4).withColumnRenamed("id", "k")
+    assert _ids(stages.pending(df, done, "k")) == list(range(4, 10))
+
+
+def test_stage_table_belongs_to_its_query(spark, tmp_path):
+    src, root = str(tmp_path / "in"), str(tmp_path / "stages")
+    spark.range(10).write.parquet(src)
+    s = spark.read.parquet(src)
+
+    def kept(df, **how):
+        return _ids(stages.materialise(df, "t", {}, root=root, **how))
+
+    assert kept(s.where("id < 3")) == [0, 1, 2]
+    assert kept(s.where("id >= 3")) == list(range(3, 10))
+    assert kept(spark.range(3)) == [0, 1, 2] and kept(spark.range(5)) == list(range(5))
+    # the sides of an anti join have the same schema
+    spark.range(8, 12).write.parquet(str(tmp_path / "other"))
+    o = spark.read.parquet(str(tmp_path / "other"))
+    assert kept(s.join(o, "id", "left_anti")) == list(range(8)) and kept(o.join(s, "id", "left_anti")) == [10, 11]
+    # a scalar subquery's own filter counts
+    s.createOrReplaceTempView("stage_src")
+    for n in (3, 5):
+        assert kept(spark.sql(f"SELECT id FROM stage_src WHERE id > (SELECT max(id) FROM stage_src WHERE id < {n})")) == list(range(n, 10))
+    tables = len(list((tmp_path / "stages").iterdir()))
+    assert kept(spark.read.parquet(src).where("id < 3")) == [0, 1, 2]
+    assert len(list((tmp_path / "stages").iterdir())) == tables  # the same query again
+    up = [s.select(F.transform(F.array("id"), lambda x: x + 1).alias("a")) for _ in range(2)]
+    assert stages.plan_identity(up[0]) == stages.plan_identity(up[1])
+    assert stages.plan_identity(up[0]) != stages.plan_identity(s.select(F.transform(F.array("id"), lambda x: x + 2).alias("a")))
+    rows = spark.createDataFrame([(1,)], "id long")
+    with pytest.raises(ValueError, match="no identity"):
+        kept(rows)
+    assert kept(rows, identity="one row") == [1]
+
+
+def test_stage_is_rebuilt_when_a_user_function_changes(spark, tmp_path):
+    src, root = str(tmp_path / "in"), str(tmp_path / "stages")
+    spark.range(3).write.parquet(src)
+
+    def kept(add):
+        def shift(batches):
+            for b in batches:
+                yield b + add
+
+        s = spark.read.parquet(src)
+        return _ids(stages.materialise(s.mapInPandas(shift, s.schema), "t", root=root)), _ids(
+            stages.materialise(s.select(F.udf(lambda x: x + add, "long")("id").alias("id")), "u", root=root))
+
+    assert kept(1) == ([1, 2, 3],) * 2 and kept(5) == ([5, 6, 7],) * 2
 
 
 def test_materialise_replaces_an_uncommitted_write(spark, tmp_path):
-    # a job that died mid-write leaves part files but no _SUCCESS marker
-    path = stages.stage_path(str(tmp_path), "nums", {"n": 5})
-    spark.range(2).withColumnRenamed("id", "k").write.parquet(path)
     import os
+
+    df, root = spark.range(5).withColumnRenamed("id", "k"), str(tmp_path)
+    assert _ids(stages.materialise(df, "nums", root=root)) == list(range(5))
+    (path,) = [str(p) for p in tmp_path.iterdir()]
+    # a job that died mid-write leaves part files but no _SUCCESS marker
+    spark.range(2).withColumnRenamed("id", "k").write.mode("overwrite").parquet(path)
+    assert _ids(stages.materialise(df, "nums", root=root)) == [0, 1]
     os.remove(os.path.join(path, "_SUCCESS"))
-    got = stages.materialise(spark.range(5).withColumnRenamed("id", "k"), "nums", {"n": 5}, root=str(tmp_path))
-    assert sorted(r.k for r in got.collect()) == list(range(5))
+    assert _ids(stages.materialise(df, "nums", root=root)) == list(range(5))
 
 
 def test_surplus_empty_field_makes_a_row_too_long(spark, tmp_path):
