@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 
 #: Doubles of one slice of a summed vector; feature entries times columns worked on at a time.
 SLICE, WORK = 1 << 16, 1 << 22
+#: Bytes of all tasks' vectors up to which the driver adds them itself.
+DIRECT = 1 << 24
 
 
 def hashed_ngrams(df: DataFrame, keep: list[str], text_col: str, width: int) -> DataFrame:
@@ -119,7 +121,14 @@ def _sum(table: DataFrame, part: Callable[[Iterator[pa.RecordBatch]], np.ndarray
             out = v.copy() if out is None else out + v
         return pa.table({"slice": pa.array([rows.column("slice")[0].as_py()], pa.int32()), "part": pa.array([out.tobytes()], pa.binary())})
 
-    rows = table.mapInArrow(run, "slice int, part binary").groupBy("slice").applyInArrow(add, "slice int, part binary")
+    rows = table.mapInArrow(run, "slice int, part binary")
+    if size * 8 * table.rdd.getNumPartitions() <= DIRECT:  # a few short vectors: one stage is enough
+        out = np.zeros(size)
+        for r in sorted(rows.collect(), key=lambda r: r.slice):
+            v = np.frombuffer(r.part, np.float64)
+            out[r.slice * SLICE: r.slice * SLICE + len(v)] += v
+        return out
+    rows = rows.groupBy("slice").applyInArrow(add, "slice int, part binary")
     return np.concatenate([np.frombuffer(r.part, np.float64) for r in sorted(rows.collect(), key=lambda r: r.slice)] or [np.zeros(size)])
 
 

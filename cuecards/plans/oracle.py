@@ -647,7 +647,8 @@ SELECT id FROM r WHERE NOT is_dev"""
 WITH {LINES}
 SELECT id, coalesce(character, 'x') AS character,
        CASE WHEN {digit} >= '3' THEN coalesce(emotions, 'x') END AS emotions,
-       {digit} >= '3' AND {digit} < '9' AS too_long
+       {digit} >= '3' AND {digit} < '9' AS too_long,
+       md5(content || chr(10) || '"x"' || chr(10)) AS content_md5
 FROM lines"""
     broken = "substr(md5('q' || id), 1, 1)"
     q["quarantine"] = f"""

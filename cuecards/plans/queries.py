@@ -25,7 +25,7 @@ from cuecards.constants import EXAMPLE_FILE_WEIGHTS, SENTINEL
 from cuecards.operators import blockfit, context, encode, ensemble, labelops, metrics, models, rebalance, splits
 from cuecards.plans.prepare import label_columns, prepare_lines
 from cuecards.session import checkpoint_dir
-from cuecards.sources import adapters, files, stages, template, vectors
+from cuecards.sources import adapters, files, order, stages, template, vectors
 
 # Parameters of the registered queries (FIXTURES.md): conversation texts are
 # long, so the short-line threshold is 200 code points here; the library
@@ -409,10 +409,13 @@ def q_fill_template(spark, sf):
 
 
 def q_restore_order(spark, sf):
-    """The filled template in its own order again."""
-    t = _template(spark, sf).withColumn("ordinal", F.md5(F.col("id").cast("string")))
-    filled = template.fill_template(t, ensemble.mean_ensemble(_preds(spark, sf)))
-    return _positions(filled.orderBy("ordinal", "id").select("id", "emotion"))
+    """A template written to files and read back; filled after a shuffle, its
+    rows stand in the files' order again."""
+    path = _scratch(spark, "template")
+    files.write_table(_template(spark, sf).orderBy(F.md5(F.col("id").cast("string")), "id"), path)
+    t = order.number_rows(spark.read.option("header", True).option("sep", "\t").schema("id long").csv(path))
+    filled = template.fill_template(t.repartition("id"), ensemble.mean_ensemble(_preds(spark, sf)))
+    return _positions(filled.orderBy("ordinal").select("id", "emotion"))
 
 
 def q_template_report(spark, sf):
@@ -481,20 +484,25 @@ def q_tsv_roundtrip(spark, sf):
 
 def q_line_rule(spark, sf):
     """S1 on rows with missing and surplus fields: by a digit of the id's hash,
-    a line lacks its last field, has one too many (empty or not), or is right."""
+    a line lacks its last field, has one too many (empty or not), or is right;
+    the text is quoted and holds line breaks."""
     path = _scratch(spark, "ragged")
     lines = _lines(spark, sf)
     kind = F.substring(F.md5(F.concat(F.lit("r"), F.col("id"))), 1, 1)
-    fields = [F.col("id"), F.col("id"), F.coalesce("character", F.lit("x"))]
+    text = F.concat(F.lit('"'), F.replace(F.col("content"), F.lit('"'), F.lit('""')), F.lit('\n""x""\n"'))
+    fields = [F.col("id"), text, F.coalesce("character", F.lit("x"))]
     last = F.coalesce("emotions", F.lit("x"))
     row = (F.when(kind < "3", F.concat_ws("\t", *fields))
            .when(kind < "6", F.concat_ws("\t", *fields, last, F.lit("")))
            .when(kind < "9", F.concat_ws("\t", *fields, last, F.lit(""), F.lit("y")))
            .otherwise(F.concat_ws("\t", *fields, last)))
-    lines.select(row.alias("id\tcontent\tcharacter\temotions")).write.option("header", True).option(
-        "sep", "\x01").option("quote", "\x02").option("ignoreTrailingWhiteSpace", False).csv(path)
-    back = files.read_lines(spark, path, labeled=True, skip_bad=False)
-    return back.select("id", "character", "emotions", F.col("_too_long").alias("too_long"))
+    # a partition is a file: each begins with its header
+    head = F.lit("id\tcontent\tcharacter\temotions")
+    placed = lines.select(row.alias("value"), F.spark_partition_id().alias("_p"))
+    heads = placed.select("_p").distinct().select(head.alias("value"), "_p", F.lit(0).alias("_o"))
+    placed.withColumn("_o", F.lit(1)).unionByName(heads).repartition("_p").sortWithinPartitions("_p", "_o").drop("_o").write.partitionBy("_p").text(path)
+    back = files.read_lines(spark, f"{path}/*/*.txt", labeled=True, skip_bad=False, multi_line=True)
+    return back.select("id", "character", "emotions", F.col("_too_long").alias("too_long"), F.md5("content").alias("content_md5"))
 
 
 def q_quarantine(spark, sf):

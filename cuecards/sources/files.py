@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cuecards.functions.labels import format_scores, parse_scores
+from cuecards.sources.order import number_rows, quoted_records
 
 LABELED_FIELDS = ["id", "content", "character", "emotions"]
 UNLABELED_FIELDS = ["id", "content", "character"]
@@ -77,7 +78,8 @@ def apply_line_rule(raw: DataFrame, labeled: bool = True, null_tokens=(), skip_b
 
 
 def read_lines(spark: SparkSession, path: str, labeled: bool = True, null_tokens=(),
-               skip_bad: bool = True, sep: str = "\t", multi_line: bool = False, escaped: bool = False) -> DataFrame:
+               skip_bad: bool = True, sep: str = "\t", multi_line: bool = False, escaped: bool = False,
+               ordinal: str | None = None) -> DataFrame:
     """Read a line table with header: ``id, content, character[, emotions]``.
 
     Rows with *more* fields than the header are dropped when ``skip_bad``
@@ -85,13 +87,21 @@ def read_lines(spark: SparkSession, path: str, labeled: bool = True, null_tokens
     kept with nulls.  Rows are judged by their field count, empty fields
     included, and alike under any projection.  ``escaped`` reads files that
     ``write_table(escape=True)`` wrote: line breaks inside fields are spelled
-    out there, so the file can be split.  ``multi_line`` allows quoted fields
-    with real line breaks (such files are read whole, one task per file).  Strings listed in ``null_tokens`` (e.g.
-    ``"NA"``) read as null in every column but ``id``.  With
+    out there.  ``multi_line`` allows quoted fields with real line breaks; such
+    files are split as well (see ``quoted_records``).  ``ordinal`` names a column for the row's place in the files.
+    Strings listed in ``null_tokens`` (e.g. ``"NA"``) read as null in every column but ``id``.  With
     ``skip_bad=False`` every row is kept and ``_too_long`` flags the bad ones.
     """
-    raw = (_csv(spark, sep).option("multiLine", multi_line).options(**LINE_OPTIONS)
-           .schema(line_schema(labeled)).csv(path))
+    if multi_line:
+        options = {**LINE_OPTIONS, "sep": sep, "quote": '"', "escape": '"'}
+        records = quoted_records(spark, path).where(~F.col("first"))
+        text = F.regexp_replace("record", r"\r$", "")
+        raw = records.where(text != "").select("ordinal", F.from_csv(text, line_schema(labeled).simpleString()[7:-1].replace(":", " "), options).alias("r"))
+        raw = raw.select("r.*", *([F.col("ordinal").alias(ordinal)] if ordinal else []))
+    else:
+        raw = _csv(spark, sep).options(**LINE_OPTIONS).schema(line_schema(labeled)).csv(path)
+        if ordinal:
+            raw = number_rows(raw, ordinal)
     return apply_line_rule(raw, labeled, null_tokens, skip_bad, sep, escaped)
 
 

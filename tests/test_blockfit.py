@@ -93,6 +93,15 @@ def test_ridge_is_the_closed_form_for_every_fold(spark):
         np.testing.assert_allclose(np.array([scores[i][k] for i in range(len(x))]), x @ w + b, atol=1e-9)
 
 
+def test_sums_by_slices_and_by_the_driver_agree(spark, monkeypatch):
+    rows = blockfit.hashed_ngrams(table(spark).repartition(5), ["id", "y", "fold"], "text", W)
+    a = blockfit.fit_ridge(rows, 2 * W, 2, 3, 1.0, 4)
+    monkeypatch.setattr(blockfit, "DIRECT", 0)
+    monkeypatch.setattr(blockfit, "SLICE", 7)
+    b = blockfit.fit_ridge(rows, 2 * W, 2, 3, 1.0, 4)
+    np.testing.assert_allclose(a.weights, b.weights, atol=1e-12)
+
+
 def test_same_minimum_as_mllib(spark):
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.classification import LogisticRegression

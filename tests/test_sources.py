@@ -159,3 +159,51 @@ def test_missing_shared_folder_is_an_error_off_a_local_master():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
+
+
+@pytest.fixture
+def small_splits(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "97")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    spark.conf.set(key, before)
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_rows_of_split_files_keep_their_places(spark, tmp_path, small_splits):
+    rng = __import__("random").Random(2)
+    want = []
+    for f in ("a.tsv", "b.tsv", "c.tsv", "d.tsv"):
+        rows = [] if f == "c.tsv" else [f"{f}-{i}" + "x" * rng.randrange(40) for i in range(60)]
+        (tmp_path / f).write_text("\n".join(["id\tcontent\tcharacter\temotions", *[f"{r}\tt\tc\t0" for r in rows]]) + "\n")
+        want += rows
+    df = files.read_lines(spark, str(tmp_path), ordinal="place")
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 40
+    got = {r.place: r.id for r in df.repartition(5, "id").collect()}
+    assert [got[i] for i in range(len(want))] == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_records_over_lines_in_split_files(spark, tmp_path, small_splits, seed):
+    """Many tasks find the records that a read of each file from its start finds."""
+    rng = __import__("random").Random(seed)
+    bits = ["a", "long text " * 9, '"q\nr"', '"x\n\n\ny"', '"\t""\n""\t"', '"', "", '"a ""b"" c"', "é\U0001F600", '"\n' + "z\n" * 60 + '"', "w\r", '"cr\rlf\r\nx"']
+    path = tmp_path / "in"
+    path.mkdir()
+    for f in "ab":
+        rows = ["\t".join([f"{f}{i}", *rng.choices(bits[:5] + bits[6:], k=rng.choice([2, 3, 3, 3, 4]))]) for i in range(40)]
+        if seed == 2 and f == "b":
+            rows.append('open\t"never closed\nto the end')
+        (path / f"{f}.tsv").write_bytes(("\n".join(["id\tcontent\tcharacter\temotions", *rows]) + "\n").encode())
+    got = files.read_lines(spark, str(path), multi_line=True, skip_bad=False, ordinal="place").collect()
+    whole = (files._csv(spark, "\t").option("multiLine", True).option("lineSep", "\n").options(**files.LINE_OPTIONS).schema(files.line_schema(True)).csv(str(path)))
+    want = files.apply_line_rule(whole, skip_bad=False).collect()
+
+    def plain(r):
+        return tuple(x.replace("\r", "") if isinstance(x, str) else x for x in (r.id, r.content, r.character, r.emotions, r._too_long))
+
+    assert sorted(map(plain, got), key=repr) == sorted(map(plain, want), key=repr)
+    ids = [r.id for r in sorted(got, key=lambda r: r.place)]
+    assert ids == sorted(ids, key=lambda i: (i[0] != "a", ids.index(i))) and len({r.place for r in got}) == len(got)
