@@ -1,9 +1,15 @@
 """Main text of web pages by tag-path ratios.
 
 A page is cut into blocks (text between block-level tags), each with its
-root-to-leaf path of tags.  Blocks inside elements that never hold an article
-(menus, headers, footers, sidebars, forms, scripts, ...; by tag name, role or
-class and id words) are left out.  For every path of the page the remaining
+root-to-leaf path of tags.  Scripts, menus, hidden elements and the like never
+hold text.  Other elements are barred by their tag (forms, sidebars, footers,
+...) or because a class or id names them so: a name is read as a whole, its last
+word or its first one with a word for a holder after it (``comment-list``,
+``leftRail``), so ``comments-open`` or ``social-policy-article`` bar nothing,
+and paragraphs and headings of an article are never barred by a name.  A bar is
+lifted from an element that holds most of the page's text and its ``main`` or
+``h1``, or, barred by its tag alone, its article; a form that holds most of the
+text of a page without any other article is lifted too.  For every path of the page the remaining
 text length, punctuation and link text are added up; the ratios per node are
 smoothed along the path (each ancestor's subtree counts half as much as the
 step below it) and fused into one score.  A heading has the score of the best
@@ -44,17 +50,25 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre search section "
     "select summary table tbody td tfoot th thead tr ul".split())
 NEVER = frozenset(
-    "aside audio button canvas datalist dialog embed fieldset footer form head iframe input map menu nav noframes "
-    "noscript object option script search select style svg template textarea title video".split())
+    "audio button canvas datalist embed head iframe input map nav noframes noscript object option script search select "
+    "style svg template textarea title video".split())
+SELDOM = frozenset("aside dialog fieldset footer form menu".split())
 ENDS_P = BLOCK - frozenset("body html head".split())
 SAME_LEVEL = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"},
               "option": {"option"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEVER_WORDS = frozenset(
     "ad ads adv advert advertisement advertising adbox adslot banner breadcrumb breadcrumbs comment comments commentlist "
-    "consent cookie cookies copyright disqus footer gdpr login masthead menu modal nav navbar navigation newsletter "
-    "notice notices pagination popup promo promoted promotion recommended related reply respond share sharing sidebar "
-    "signup skyscraper social sponsor sponsored subscribe toolbar widget".split())
+    "consent cookie cookies copyright discussion disqus footer gdpr login masthead menu modal nav navbar navigation "
+    "newsletter notice notices pagination popup promo promoted promotion rail recommended related replies reply respond "
+    "responses share sharing sidebar signup skyscraper social sponsor sponsored subscribe toolbar widget".split())
+# what may follow such a word in a name that still names the thing; others tell a state or something else
+HOLDERS = frozenset(
+    "area articles author bar block body bottom box button buttons col column container content embed form group header "
+    "heading holder icons inner item items left link links list main meta news outer panel posts primary right row secondary "
+    "section slot stories text this thread title top trail unit wrap wrapper zone".split())
+STATES = frozenset("has have hide is js no not show with without".split())
+TEXT_TAGS = HEADINGS | frozenset("blockquote dd dt figcaption li p pre td th".split())
 NEVER_ROLES = frozenset("banner complementary contentinfo dialog alert alertdialog form menu menubar navigation search".split())
 DEPTH = 96  # open elements that make up a path; deeper ones share it
 ORDINARY = (1, 400, 4)  # nodes, text and punctuation of an ordinary paragraph
@@ -64,34 +78,67 @@ _TAG = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>", re.S)
 _ATTR = re.compile(r"""(?:^|[\s/"'])(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|$)""", re.I)
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"\s+")
 
 
-def _banned(tag: str, attrs: str, in_article: bool) -> bool:
-    """Whether the element's content can never be article text."""
-    if tag in NEVER or (tag == "header" and not in_article):
-        return True
-    if not attrs:
-        return False
-    for name, value in _ATTR.findall(attrs):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "role" and value in NEVER_ROLES:
-            return True
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            if any(w in NEVER_WORDS for w in _WORD.findall(value)):
-                return True
-        if name in ("class", "id") and tag == "article" and "comment" in value:
+def _names_other(value: str) -> bool:
+    """Whether a class or id value names something that is no article."""
+    for name in value.split():
+        words = [w.lower() for w in _WORD.findall(name)]
+        if not words or words[0] in STATES:
+            continue
+        if words[-1] in NEVER_WORDS or words[0] in NEVER_WORDS and all(w in HOLDERS for w in words[1:]):
             return True
     return False
 
 
-def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
+def _bar(tag: str, attrs: str, in_article: bool) -> str:
+    """``never``: no content; ``tag`` or ``name``: barred unless lifted; empty: content."""
+    if tag in NEVER:
+        return "never"
+    seldom = "tag" if tag in SELDOM or (tag == "header" and not in_article) else ""
+    for name, value in _ATTR.findall(attrs) if attrs else ():
+        name, value = name.lower(), value.strip("\"'")
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+            return "never"
+        if name == "role" and value.lower() in NEVER_ROLES:
+            seldom = "name"
+        if name in ("class", "id") and tag not in ("html", "body", "main") and not (in_article and tag in TEXT_TAGS):
+            if _names_other(value):
+                seldom = "name"
+    return seldom
+
+
+class _Bar:
+    """A barred element: why, the text it holds, and whether main, h1 or an article lie in it."""
+
+    def __init__(self, why: str, tag: str):
+        self.why, self.tag, self.weight, self.main, self.article = why, tag, 0, False, False
+
+
+def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     """``(path, text, link length)`` of each block that may be content."""
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each bars its content
+    found = list(_blocks(page))
+    total = 0
+    for _, text, link, bars in found:
+        total += len(text) - link
+        for b in bars:
+            b.weight += len(text) - link
+    free = any(_article_depth(path) for path, _, _, bars in found if not bars)
+
+    def lifted(b: _Bar) -> bool:
+        return 2 * b.weight > total and (b.main or b.why == "tag" and (b.article or b.tag in ("form", "fieldset") and not free))
+
+    return [x[:3] for x in found if all(lifted(b) for b in x[3])]
+
+
+def _blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int, tuple[_Bar, ...]]]:
+    """Every block outside what never holds content, with the bars it lies in."""
+    stack: list[tuple[str, bool | _Bar]] = []  # open elements; True: never content
     barred = articles = links = 0
+    bars: tuple[_Bar, ...] = ()
+    within: tuple[_Bar, ...] = ()
     parts: list[str] = []
     link_chars = 0
     path: tuple[str, ...] = ()
@@ -99,15 +146,18 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
     def flush():
         nonlocal parts, link_chars
         text = _SPACE.sub(" ", "".join(parts)).strip()
-        out = (path, text, min(link_chars, len(text))) if text else None
+        out = (path, text, min(link_chars, len(text)), within) if text else None
         parts, link_chars = [], 0
         return out
 
     def pop_to(depth: int):
-        nonlocal barred, articles, links
+        nonlocal barred, articles, links, bars
         while len(stack) > depth:
             tag, bar = stack.pop()
-            barred -= bar
+            if bar is True:
+                barred -= 1
+            elif bar:
+                bars = bars[:-1]
             articles -= tag in ("article", "main")
             links -= tag == "a"
 
@@ -118,6 +168,7 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
         if text and not barred:
             text = html.unescape(text)
             if not parts:
+                within = bars
                 path = tuple(t for t, _ in islice(stack, DEPTH) if t in BLOCK)
             parts.append(text)
             if links:
@@ -156,9 +207,16 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, int]]:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        bar = _banned(tag, attrs, articles > 0)
+        why = _bar(tag, attrs, articles > 0)
+        for b in bars:
+            b.main |= tag in ("main", "h1")
+            b.article |= tag == "article" and not why
+        bar = why == "never"
+        if why and not bar and not barred:
+            bar = _Bar(why, tag)
+            bars += (bar,)
         stack.append((tag, bar))
-        barred += bar
+        barred += bar is True
         articles += tag in ("article", "main")
         links += tag == "a"
     if done := flush():
@@ -198,10 +256,12 @@ def path_scores(found: list[tuple[tuple[str, ...], str, int]], decay: float) ->
             whole = sums[path[:inside]]
             score = max(score, _fused(*whole[:3]) * (1 - whole[3] / whole[1]))
         out[path] = score
-    for path in out:
-        if path and path[-1] in HEADINGS:
-            out[path] = max(v for p, v in out.items() if p[: len(path) - 1] == path[:-1])
-    return out
+    beside = {path[:-1]: 0.0 for path in out if path and path[-1] in HEADINGS}
+    for path, score in out.items():
+        for depth in range(len(path) + 1):
+            if path[:depth] in beside:
+                beside[path[:depth]] = max(beside[path[:depth]], score)
+    return {path: beside[path[:-1]] if path and path[-1] in HEADINGS else score for path, score in out.items()}
 
 
 def _article_depth(path: tuple[str, ...]) -> int:
@@ -232,7 +292,7 @@ def _level(found: list[tuple[tuple[str, ...], str, int]], scores: dict[tuple[str
 
 
 def main_text(page: str | None, share: float = 0.05, decay: float = 0.5) -> str:
-    found = list(blocks(page or ""))
+    found = blocks(page or "")
     if not found:
         return ""
     scores = path_scores(found, decay)

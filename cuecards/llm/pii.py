@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cuecards.llm.common import free_name, stage
+from cuecards.llm.expressions import let, prefix_sums, running_max
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 
@@ -60,29 +61,6 @@ SALTS = 16
 _SPAN = "struct<kind: string, start: int, end: int>"
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` worked out once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
-def _scan(xs: Column) -> Column:
-    return F.aggregate(xs, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-
-
-def prefix_sums(lengths: Column) -> Column:
-    """``[0, x1, x1 + x2, ...]``: blocks of about sqrt(n) first, then their totals."""
-    def blocks(xs: Column) -> Column:
-        step = F.ceil(F.sqrt(F.size(xs))).cast("int")
-        return let(step, lambda s: F.transform(F.sequence(F.lit(1), F.size(xs), s), lambda at: _scan(F.slice(xs, at, s))))
-
-    def joined(parts: Column) -> Column:
-        return let(_scan(F.transform(parts, lambda p: F.element_at(p, -1))), lambda base: F.concat(
-            F.array(F.lit(0)),
-            F.flatten(F.transform(parts, lambda p, k: F.transform(F.slice(p, 2, F.size(p)), lambda x: x + F.get(base, k))))))
-
-    return let(lengths, lambda xs: F.when(F.size(xs) == 0, F.array(F.lit(0))).otherwise(let(blocks(xs), joined)))
-
-
 def matches(text: Column, pattern: str) -> Column:
     """All matches: ``(value, start, end, before, after)``, the last two being
     the text between this match and its neighbours."""
@@ -209,22 +187,6 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                                                         t["end"].alias("end"), t["action"].alias("action"))).alias("terms"))
 
 
-def _running_max(xs: Column) -> Column:
-    """The largest value before each element, 0 at first, in blocks as ``prefix_sums``."""
-    def scan(ys: Column) -> Column:
-        return F.aggregate(ys, F.array(F.lit(0)), lambda acc, y: F.concat(acc, F.array(F.greatest(F.element_at(acc, -1), y))))
-
-    def blocks(ys: Column) -> Column:
-        step = F.ceil(F.sqrt(F.size(ys))).cast("int")
-        return let(step, lambda s: F.transform(F.sequence(F.lit(1), F.size(ys), s), lambda at: scan(F.slice(ys, at, s))))
-
-    def joined(parts: Column) -> Column:
-        return let(scan(F.transform(parts, lambda p: F.element_at(p, -1))), lambda base: F.flatten(F.transform(
-            parts, lambda p, k: F.transform(F.slice(p, 1, F.size(p) - 1), lambda y: F.greatest(y, F.get(base, k))))))
-
-    return F.when(F.size(xs) == 0, F.array().cast("array<int>")).otherwise(let(blocks(xs), joined))
-
-
 def redact(text: Column, spans: Column) -> Column:
     """``text`` with each span of ``spans`` ``(start, end, mark)`` replaced by
     its mark; of overlapping spans the first gives the mark for them all."""
@@ -241,7 +203,7 @@ def redact(text: Column, spans: Column) -> Column:
 
     def prepared(s: Column) -> Column:
         return let(F.struct(s.alias("spans"), F.split(text, "").alias("chars"),
-                            _running_max(F.transform(s, lambda m: m["end"])).alias("before")), cut)
+                            running_max(F.transform(s, lambda m: m["end"])).alias("before")), cut)
 
     return let(F.sort_array(spans), lambda s: F.when(F.size(s) == 0, text).otherwise(prepared(s)))
 

@@ -43,5 +43,16 @@ def test_null_ids_turns_ties_and_repeated_rows(spark):
     assert len(got[2].turns[0].text) == 200_000
 
 
+def test_a_very_long_conversation(spark):
+    rng = random.Random(4)
+    rows = [(1, i, "user" if i % 2 else "assistant", f"{rng.choice(NASTY)} {i}", "", 0, "") for i in range(16_000)]
+    rows += [(2, i, rng.choice(["user", "assistant"]) if i % 9 else "assistant", str(i), "", 0, "") for i in range(3000)]
+    got = restored(spark.createDataFrame(rows, SCHEMA))
+    for c in (1, 2):
+        want = [(x[2], x[3]) for x in rows if x[0] == c]
+        assert [(t.role, t.text) for t in got[c].turns] == want
+        assert got[c].loss == "".join(b for a, b in want if a == "assistant")
+
+
 def test_empty_table(spark):
     assert format_chats(spark.createDataFrame([], SCHEMA)).collect() == []

@@ -21,6 +21,59 @@ def test_typed_pages(page, text):
     assert main_text(page) == text
 
 
+BODY = "".join(f"<p>Sentence number {i}, with a comma and more words in it.</p>" for i in range(5))
+
+
+@pytest.mark.parametrize("outer", [
+    '<article class="commentary">{}</article>', '<article class="post comments-open">{}</article>',
+    '<div class="social-policy-article">{}</div>', '<div class="content share-enabled">{}</div>', '<section class="has-sidebar">{}</section>',
+    '<form method=post>{}</form>', '<form><div id=wrap><article>{}</article></div></form>', '<aside><main>{}</main></aside>',
+    '<div class="modal"><main>{}</main></div>', '<article><div class="no-ads">{}</div></article>',
+    "<article>{}<p class=notice>Sentence number 5, with a comma.</p></article>"])
+def test_a_name_or_a_form_around_the_article_drops_nothing(outer):
+    got = main_text(f"<html><body class='modal-open'><nav>a b</nav>{outer.format('<h1>Head</h1>' + BODY)}<footer>f</footer></body></html>")
+    assert got.count("Sentence number") == 5 + outer.count("Sentence") and got.startswith("Head")
+
+
+@pytest.mark.parametrize("inner", [
+    '<div class="userComments">{}</div>', '<div id="discussion">{}</div>', '<div class="left-rail">{}</div>', '<ul class="replies">{}</ul>',
+    '<section class="comment-list"><article>{}</article></section>', '<article class="comment">{}</article>', "<form>{}</form>",
+    '<aside>{}</aside>', '<div role=complementary>{}</div>', '<div class="related-posts">{}</div>', "<div hidden>{}</div>",
+    '<div class="ad728 box">{}</div>', "<footer><p>{}</p></footer>"])
+@pytest.mark.parametrize("inside", [True, False])
+def test_what_is_no_article_goes_even_if_it_is_long(inner, inside):
+    other = inner.format("<p>A reader says this, loudly; and that!</p>" * 40)
+    page = f"<article><h1>Head</h1>{BODY}{other}</article>" if inside else f"<article><h1>Head</h1>{BODY}</article>{other}"
+    got = main_text(f"<body>{page}</body>")
+    assert got.count("Sentence number") == 5 and "reader" not in got
+
+
+def test_words_kept_and_leaked_on_a_generated_site():
+    """Planted article and other words under many class names."""
+    rng = __import__("random").Random(7)
+    good = ["post", "entry-content", "article-body", "story", "text", "has-comments", "share-enabled", "page", "news-item", "commentary", "notice-period"]
+    bad = ["sidebar", "comment-list", "userComments", "cookie-notice", "main-nav", "footer-links", "ad-container", "newsletter-signup", "share-buttons",
+           "related-posts", "breadcrumb", "left-rail", "promo-box", "discussion", "widget"]
+    kept = leaked = n_good = n_bad = 0
+    for _ in range(200):
+        def words(tag, n):
+            return " ".join(f"{tag}{rng.randrange(1000)}{rng.choice(['', ',', '.'])}" for _ in range(n))
+
+        outer = rng.choice(["article", "main", "div", "section"])
+        paras = "".join(f"<p class='{rng.choice(good)}'>{words('good', rng.randrange(15, 80))}</p>" for _ in range(rng.randrange(4, 12)))
+        if rng.random() < 0.3:
+            paras += f"<div class='{rng.choice(good)}'><ul>" + "".join(f"<li>{words('good', 8)}</li>" for _ in range(4)) + "</ul></div>"
+        page = f"<{outer} class='{rng.choice(good)} {rng.choice(good)}' id='{rng.choice(good)}'><h2>{words('good', 5)}</h2>{paras}</{outer}>"
+        for _ in range(rng.randrange(1, 6)):
+            block = f"<div class='{rng.choice(bad)}'><p>{words('bad', rng.randrange(3, 60))}</p></div>"
+            page = page + block if rng.random() < 0.5 else block + page
+        page = f"<form id=aspnet>{page}</form>" if rng.random() < 0.2 else page
+        got = main_text(f"<html><body><nav>{words('bad', 9)}</nav>{page}<footer>{words('bad', 20)}</footer></body></html>")
+        n_good, n_bad = n_good + page.count("good"), n_bad + page.count("bad") + 29
+        kept, leaked = kept + got.count("good"), leaked + got.count("bad")
+    assert kept >= 0.98 * n_good and leaked <= 0.02 * n_bad
+
+
 def test_headings_of_short_articles_stay():
     body = "".join(f"<p>Sentence number {i}, with a comma and more words in it.</p>" for i in range(50))
     page = f"<nav><ul><li><a>x</a></li></ul></nav><div class=ad>Buy, now!</div><article><h1>Head</h1>{body}</article><footer>f</footer>"

@@ -4,7 +4,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from cuecards.llm.pii import find_personal, prefix_sums, sanitise
+from cuecards.llm.expressions import prefix_sums
+from cuecards.llm.pii import find_personal, sanitise
 from tests.llm.helpers import corpus, frame
 
 KINDS = ["email", "ip", "card", "phone"]
