@@ -41,16 +41,21 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the
-    smallest id.  Rows without id stay; of rows with one id, one stays."""
-    found = stage(near_duplicates(docs), "pipeline-groups")
-    d, t = free_name(docs, "kept_doc"), free_name(docs, "kept_text")
-    kept = found.where("kept and doc is not null").groupBy("doc").agg(F.min("text_key").alias(t))
-    named = docs.join(kept.withColumnRenamed("doc", d), (F.col("doc_id").cast("long") == F.col(d))
-                      & (_text_key() == F.col(t)), "left_semi")
-    rows, ids = found.where("doc is not null").agg(F.count("doc"), F.countDistinct("doc")).first()
-    if rows != ids:  # rows equal in id and text are left: one of them is enough
-        named = named.dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    smallest id, rows without id last.  A node is an id with a text, so rows
+    that share an id but hold different texts are judged apart, and rows without
+    an id like any other; of rows equal in both one stays.  Documents without
+    words are linked with nothing and stay."""
+    k, d = free_name(docs, "near_key"), free_name(docs, "near_doc")
+    key = F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    keyed = docs.withColumn(k, key)
+    found = stage(near_duplicates(keyed, id_col=k).select(F.col("doc").alias(k), "n_shingles", "component"), "pipeline-groups")
+    ids = keyed.select(k, F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col(k)).alias(d)).distinct()
+    first = found.distinct().join(ids, k).groupBy("component").agg(F.min(d).alias(d)).select(F.col(d)[k].alias(k))
+    out = keyed.join(first, k, "left_semi")
+    again = found.where("n_shingles > 0").groupBy(k).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(k)
+    if not again.isEmpty():  # rows equal in id and text
+        out = out.join(again, k, "left_anti").unionByName(out.join(again, k, "left_semi").dropDuplicates([k]))
+    return out.drop(k)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
