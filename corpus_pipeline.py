@@ -39,19 +39,34 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return _without(docs, found.where("rejected").select("doc", "text_key").distinct())
 
 
+def _nodes(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a node id: the document's own id, so that small ids lead
+    their groups.  All but one text of an id that several texts share get an id
+    above 2**62 made from the id and the text, rows without an id one above those."""
+    tk = F.coalesce(_text_key(), F.lit(0))
+    doc = F.col("doc_id").cast("long")
+    made = F.shiftrightunsigned(F.xxhash64(doc.isNull(), doc, F.col("text").cast("string")), 3)
+    made = made + F.when(doc.isNull(), F.lit(3 << 61)).otherwise(F.lit(1 << 62))
+    o, t = free_name(docs, "shared_id"), free_name(docs, "shared_text")
+    shared = (docs.where("doc_id is not null").groupBy(doc.alias(o)).agg(F.min(tk).alias(t), F.max(tk).alias("last"))
+              .where(F.col(t) < F.col("last")).select(o, t))
+    shared = stage(shared, "pipeline-shared")
+    if shared.isEmpty():
+        return docs.withColumn(name, F.coalesce(doc, made))
+    out = docs.join(shared, doc == F.col(o), "left")
+    return out.withColumn(name, F.when(doc.isNull() | (tk != F.col(t)), made).otherwise(doc)).drop(o, t)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the
-    smallest id, rows without id last.  A node is an id with a text, so rows
+    smallest id (see ``_nodes``), rows without id last.  A node is an id with a text, so rows
     that share an id but hold different texts are judged apart, and rows without
     an id like any other; of rows equal in both one stays.  Documents without
     words are linked with nothing and stay."""
-    k, d = free_name(docs, "near_key"), free_name(docs, "near_doc")
-    key = F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    keyed = docs.withColumn(k, key)
-    found = stage(near_duplicates(keyed, id_col=k).select(F.col("doc").alias(k), "n_shingles", "component"), "pipeline-groups")
-    ids = keyed.select(k, F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col(k)).alias(d)).distinct()
-    first = found.distinct().join(ids, k).groupBy("component").agg(F.min(d).alias(d)).select(F.col(d)[k].alias(k))
-    out = keyed.join(first, k, "left_semi")
+    k = free_name(docs, "near_node")
+    keyed = _nodes(docs, k)
+    found = stage(near_duplicates(keyed, id_col=k).select(F.col("doc").alias(k), "n_shingles", "kept"), "pipeline-groups")
+    out = keyed.join(found.where("kept").select(k).distinct(), k, "left_semi")
     again = found.where("n_shingles > 0").groupBy(k).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(k)
     if not again.isEmpty():  # rows equal in id and text
         out = out.join(again, k, "left_anti").unionByName(out.join(again, k, "left_semi").dropDuplicates([k]))
