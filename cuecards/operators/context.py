@@ -4,17 +4,20 @@ The reference walks the whole table in (script, scene, sequence) order and
 appends the three preceding lines to every short line - across scene and
 script boundaries.  A window ordered without ``partitionBy`` would put the
 whole table in one task, and a per-script window would put a huge script in
-one task.  Instead the table is range-partitioned on the sort key (sampled
-bounds, so even one giant script spreads over many ranges); each range
-computes its own lags, and the first ``k`` rows of a range take the missing
-neighbours from a carry-in built from the last ``k`` rows of the preceding
-ranges (``n_ranges * k`` rows: a proven size bound).
+one task.  Instead the table is cut into ranges of the sort key at fixed bounds
+(keys of a sample, computed once, so even one giant script spreads over many
+ranges); each range computes its own lags, and the first ``k`` rows of a range
+take the missing neighbours from a carry-in built from the last ``k`` rows of
+the preceding ranges (``n_ranges * k`` rows: a proven size bound).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cuecards.constants import CONTEXT_LINES, CONTEXT_THRESHOLD, NO_LABEL_TEXT, SENTINEL
 from cuecards.operators.ranking import rank_within
@@ -23,8 +26,9 @@ from cuecards.sources.stages import input_bytes
 N_LABELS = 6
 ORDER = ["jb_id", "cc_id", "ids", "id"]
 
-
 RANGE_BYTES = 128 << 20
+#: Keys looked at for each bound, and for all bounds at most.
+KEYS_PER_RANGE, MAX_KEYS = 40, 1_000_000
 
 
 def _n_ranges(df: DataFrame, n_ranges: int | None) -> int:
@@ -37,12 +41,47 @@ def _n_ranges(df: DataFrame, n_ranges: int | None) -> int:
     return max(least, -(-input_bytes(df) // RANGE_BYTES))
 
 
+def range_bounds(df: DataFrame, n: int, order: list[str] = ORDER) -> list[tuple]:
+    """At most ``n - 1`` keys, ascending, that cut ``df`` into ranges of similar size.
+
+    The keys come from a sample by hash, the same on every run; it holds about
+    ``KEYS_PER_RANGE`` different keys a range and ``MAX_KEYS`` in all, whatever
+    the size of ``df``.  The sample steers sizes only, no row is left out.
+    """
+    rows = df.count() if n > 1 else 0
+    if not rows:
+        return []
+    share = min(1.0, min(KEYS_PER_RANGE * n, MAX_KEYS) / rows)
+    picked = F.pmod(F.xxhash64(*order), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)
+    keys = [tuple(r) for r in df.select(*order).where(picked).distinct().orderBy(*order).collect()]
+    return [keys[i] for i in sorted({i * len(keys) // n for i in range(1, n)}) if i > 0]
+
+
+def range_of(bounds: list[tuple], key: Column, schema: T.StructType) -> Column:
+    """The number of ``bounds`` at or before ``key`` (a struct of ``schema``), by
+    binary search in one constant array that travels with the plan."""
+    if not bounds:
+        return F.lit(0)
+    names = schema.fieldNames()
+    array = F.from_json(F.lit(json.dumps([dict(zip(names, b, strict=True)) for b in bounds])), T.ArrayType(schema))
+
+    def halve(acc, _step):
+        middle = F.shiftright(acc["lo"] + acc["hi"], 1)
+        still, after = acc["lo"] < acc["hi"], F.get(array, middle) <= key
+        return F.struct(F.when(still & after, middle + 1).otherwise(acc["lo"]).alias("lo"),
+                        F.when(still & ~after, middle).otherwise(acc["hi"]).alias("hi"))
+
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), halve)["lo"]
+
+
 def preceding_rows(df: DataFrame, values: list[str], k: int = CONTEXT_LINES, scope: str = "global",
                    n_ranges: int | None = None, out: str = "_prev") -> DataFrame:
     """Add ``out``: up to ``k`` preceding rows (structs of ``values``), most recent first.
 
     ``scope='global'`` follows the reference (order over the whole table);
-    ``'script'`` / ``'scene'`` restart at every script / scene.
+    ``'script'`` / ``'scene'`` restart at every script / scene.  Null keys sort
+    first; rows with one key follow a hash of ``values``.
     """
     scopes = {"global": [], "script": ["jb_id"], "scene": ["jb_id", "cc_id"]}
     if scope not in scopes:
@@ -54,23 +93,26 @@ def preceding_rows(df: DataFrame, values: list[str], k: int = CONTEXT_LINES, sco
     part = scopes[scope]
 
     n = _n_ranges(df, n_ranges)
-    # The whole row travels as one struct and both branches below (the lagged
-    # rows and the range tails) use all of it, so column pruning cannot make
-    # the branches differ: Spark plans one range exchange and reuses it.  Two
-    # separately sampled range exchanges could disagree on the bounds.
-    cols = df.columns
-    packed = df.select(F.struct(*[F.col(c) for c in cols]).alias("_row"))
-    order = [F.col(f"_row.{c}") for c in ORDER]
-    ranged = packed.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
+    # The bounds are constants of the plan, so both branches below (the lagged
+    # rows and the range tails) cut the table alike whatever the planner does, and
+    # a task that runs again after a lost executor cuts it the same way.  Several
+    # ranges share a task: sizes even out.
+    keys = df.select(*ORDER)
+    bounds = range_bounds(keys, 4 * n if n_ranges is None else n)
+    packed = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("_row"))
+    key = F.struct(*[F.col(f"_row.{c}").alias(c) for c in ORDER])
+    ranged = packed.withColumn("_part", range_of(bounds, key, keys.schema))
+    tie = F.xxhash64(*[F.col(f"_row.{v}") for v in values])
+    order = [*[F.col(f"_row.{c}") for c in ORDER], tie]
     w = Window.partitionBy("_part").orderBy(*order)
-    lagged = ranged.select(
+    lagged = ranged.repartition(n, "_part").select(
         "_part", "_row",
         *[F.lag("_row", j).over(w).alias(f"_lag{j}") for j in range(1, k + 1)],
         F.row_number().over(w).alias("_rn"),
     )
     # Last k rows of every range, oldest first: a descending row_number
     # filter, which Spark runs as a per-task top-k (WindowGroupLimit) before a
-    # shuffle of at most k rows per range.  Then for every range the last k
+    # shuffle of at most k rows per range and task, keys and values only.  Then for every range the last k
     # rows before it (ranges can hold fewer than k rows, so look k back).
     last = Window.partitionBy("_part").orderBy(*[c.desc() for c in order])
     wanted = list(dict.fromkeys([*values, *part]))

@@ -1,6 +1,3 @@
-import contextlib
-import io
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,22 +41,60 @@ def test_context_on_conversations(spark):
         assert got == exp
 
 
-def test_context_plan_reuses_one_range_exchange(spark):
+def test_context_does_not_depend_on_exchange_reuse(spark):
+    from cuecards.sources.adapters import lines_from_conversations
+
+    p = parse_line_id(lines_from_conversations(spark, "/root/testdata/sf0.001"))
+    exp = brute([r.asDict() for r in p.collect()], threshold=200)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        for n in (None, 6):
+            out = attach_context(p, threshold=200, n_ranges=n)
+            assert {r.id: r.content for r in out.collect()} == exp
+            assert "ReusedExchange" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_context_plan_shuffles_the_lines_once(spark):
     from cuecards.sources.adapters import lines_from_conversations
 
     p = parse_line_id(lines_from_conversations(spark, "/root/testdata/sf0.001"))
     out = attach_context(p, threshold=200)
     out.collect()  # the final adaptive plan is attached to this DataFrame
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        out.explain()
-    plan = buf.getvalue()
-    final = plan.split("== Initial Plan ==")[0]
-    # one range exchange is executed; the tails branch reuses it (a reused
-    # exchange prints the name of the exchange it reuses)
-    lines = [ln for ln in final.splitlines() if "Exchange rangepartitioning" in ln]
-    assert len([ln for ln in lines if "ReusedExchange" not in ln]) == 1
-    assert any("ReusedExchange" in ln for ln in lines)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    shuffles = [i for i, ln in enumerate(plan) if "Exchange " in ln and "hashpartitioning(_part" in ln]
+    # the whole lines once; the other branch sends the last rows of each range and task
+    whole = [i for i in shuffles if "REPARTITION_BY_NUM" in plan[i]]
+    assert len(whole) == 1 and not any("rangepartitioning" in ln for ln in plan)
+    limited = [i for i in shuffles if "WindowGroupLimit" in plan[i + 1] and "Partial" in plan[i + 1]]
+    assert len(limited) == 1
+
+
+def test_ranges_of_null_tied_and_empty_keys(spark):
+    rows = [(None, None, None, None), (None, 2, 1, "a"), (1, None, 5, "\u00e9\"x"), (1, 1, 1, "b"), (1, 1, 1, "b"),
+            (1, 1, 2, None), (2, 1, 1, "z"), (2, 1, 1, "zz"), (3, 0, 0, "q"), (3, 0, 0, "q")]
+    df = spark.createDataFrame(rows, "jb_id int, cc_id int, ids int, id string")
+    for n in (1, 3, 6, 50):
+        bounds = context.range_bounds(df, n)
+        assert len(bounds) <= n - 1 and len(set(bounds)) == len(bounds)
+        at = context.range_of(bounds, F.struct(*context.ORDER), df.schema)
+        got = df.select(*context.ORDER, at.alias("part")).orderBy(*context.ORDER).collect()
+        parts = [r.part for r in got]
+        assert parts == sorted(parts) and len(set(parts)) == len(bounds) + 1
+        same = {}
+        assert all(same.setdefault(tuple(r)[:4], r.part) == r.part for r in got)
+    assert context.range_bounds(df.limit(0), 5) == []
+
+
+def test_tied_rows_take_the_same_neighbours_in_every_cut(spark):
+    # 40 rows under four keys, differing in their texts only: any cut gives the same contexts
+    rows = [(1, 1, i % 4, "k", f"t{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "jb_id int, cc_id int, ids int, id string, content string")
+    seen = {tuple(sorted(r.content for r in attach_context(df.repartition(p), threshold=10, n_ranges=n).collect()))
+            for n in (1, 3, 4) for p in (1, 5)}
+    assert len(seen) == 1
+    assert attach_context(df.limit(0), threshold=10).count() == 0
 
 
 def test_labelled_context(spark, lines_df):
