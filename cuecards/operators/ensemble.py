@@ -8,11 +8,14 @@ map-side.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cuecards.constants import RANK_WEIGHT_BASE
 from cuecards.functions.labels import clamp as clamp_scores
+from cuecards.session import cut_lineage
 
 N_LABELS = 6
 
@@ -141,17 +144,39 @@ def rank_vote(ranked: DataFrame, weights, top: int = 3, base: int = RANK_WEIGHT_
     )
 
 
+def _cells(preds: DataFrame, models: list[str], n: int) -> DataFrame:
+    """One vector per (id, position) that every listed file has a value for, a
+    slot per file.  One shuffle by id; a repeated (file, id) is counted, not
+    collected, and is an error."""
+    spark = preds.sparkSession
+    files = spark.createDataFrame([(m, i) for i, m in enumerate(models)], "model string, _slot int")
+    listed = preds.select("model", "id", checked("scores", n).alias("_s")).join(F.broadcast(files), "model")
+    one = listed.repartition("id").groupBy("id", "_slot").agg(F.max("_s").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    one = one.withColumn("_s", F.when(F.col("_n") > 1, F.raise_error(F.concat(
+        F.get(F.array(*[F.lit(m) for m in models]), F.col("_slot")), F.lit(": repeated id "), F.col("id").cast("string"))))
+        .otherwise(F.col("_s")))
+    rows = one.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("_slot", "_s"))).alias("_f"))
+    rows = rows.where((F.size("_f") == len(models)) & ~F.exists("_f", lambda f: f["_s"].isNull()))
+    cells = rows.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_p"), "_f").select(
+        F.transform("_f", lambda f: F.get(f["_s"], F.col("_p"))).alias("_v"))
+    return cells.where(~F.exists("_v", lambda v: v.isNull())).select(array_to_vector("_v").alias("cell"))
+
+
 def model_corr(preds: DataFrame, models: list[str], n: int = N_LABELS, digits: int = 9) -> DataFrame:
     """Pearson correlation between every pair of files over all (id, label)
-    cells present in every file.  Files become columns per id (one shuffle),
-    then one global aggregate holds all pairs - no pair rows are emitted."""
-    wide = align(preds, models, n)
-    cells = wide.select(F.explode(F.arrays_zip(*[F.col(m).alias(m) for m in models])).alias("c")).select(
-        *[F.col("c")[m].alias(m) for m in models]
-    )
-    pairs = [(a, b) for a in models for b in models]
-    agg = cells.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    return agg.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), F.round(F.col(f"`{a}|{b}`"), digits).alias("corr"))
-        for a, b in pairs
-    ])).alias("r")).select("r.*")
+    cells present in every file.
+
+    A cell is one vector with a slot per file, and the matrix of second moments
+    is one tree aggregation of vectors: the plan does not grow with the files, and
+    what reaches the driver is files x files numbers.  A file whose cells are all
+    equal has NaN with the others; with fewer than two cells every pair is null.
+    """
+    spark, models = preds.sparkSession, list(dict.fromkeys(models))
+    cells = cut_lineage(_cells(preds, models, n))
+    if cells.limit(2).count() < 2:
+        found = [[None] * len(models) for _ in models]
+    else:
+        found = Correlation.corr(cells, "cell").first()[0].toArray().tolist()
+    rows = [(a, b, found[i][j]) for i, a in enumerate(models) for j, b in enumerate(models)]
+    return spark.createDataFrame(rows, "model_a string, model_b string, corr double").withColumn(
+        "corr", F.round("corr", digits))

@@ -63,6 +63,38 @@ def test_model_corr_diagonal(spark):
     assert got[("a", "a")] == 1.0 and got[("a", "b")] == got[("b", "a")]
 
 
+def test_model_corr_of_many_files(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    ids, files, n = 40, 500, 3
+    x = rng.normal(size=(files, ids, n)) + 5 * rng.normal(size=(1, ids, n))
+    rows = [(f"f{k}", i, x[k, i].tolist()) for k in range(files) for i in range(ids)]
+    rows += [("f0", 900, [1.0, 2.0, 3.0]), ("other", 1, [0.0, 0.0, 0.0])]  # not in every file, not listed
+    rows = [(m, i, None if (m, i) == ("f7", 3) else [None, *s[1:]] if (m, i) == ("f8", 4) else s) for m, i, s in rows]
+    p = spark.createDataFrame(rows, "model string, id long, scores array<double>")
+    got = ensemble.model_corr(p, [f"f{k}" for k in range(files)], n).toPandas()
+    keep = np.ones((ids, n), bool)
+    keep[3], keep[4, 0] = False, False
+    want = np.corrcoef(x[:, keep])
+    assert len(got) == files * files
+    at = [got["model_a"].str[1:].astype(int), got["model_b"].str[1:].astype(int)]
+    assert np.abs(got["corr"].to_numpy() - want[at[0], at[1]]).max() < 2e-9
+
+
+def test_model_corr_of_no_cells_equal_scores_and_repeats(spark):
+    schema = "model string, id long, scores array<double>"
+    few = spark.createDataFrame([("a", 1, [1.0]), ("b", 1, [2.0]), ("a", 2, [1.0])], schema)
+    assert [r["corr"] for r in ensemble.model_corr(few, ["a", "b"], 1).collect()] == [None] * 4
+    assert [r["corr"] for r in ensemble.model_corr(few.limit(0), ["a"], 1).collect()] == [None]
+    flat = spark.createDataFrame([(m, i, [1.0 if m == "a" else float(i)]) for m in "ab" for i in range(4)], schema)
+    got = {(r.model_a, r.model_b): r["corr"] for r in ensemble.model_corr(flat, ["a", "b"], 1).collect()}
+    assert got["b", "b"] == 1.0 and str(got["a", "b"]) == "nan"
+    twice = flat.unionAll(flat.where("model = 'b' and id = 2"))
+    with pytest.raises(Exception, match="b: repeated id 2"):
+        ensemble.model_corr(twice, ["a", "b"], 1).collect()
+
+
 def _brute_vote(rows, weights, n):
     order = {m: i for i, (m, _) in enumerate(weights)}
     wt = dict(weights)
