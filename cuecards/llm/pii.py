@@ -167,10 +167,10 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     entities = near.select("text_key", "entity").distinct().join(copies, "text_key").groupBy("entity").agg(F.sum("rows").alias("df_e"))
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(TERM), F.lit(0)))
     terms = src.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("df_t"))
-    total = src.agg(F.count("*").alias("all_rows"))
+    total = src.agg(F.count("*").alias("all_rows")).scalar()
     unknown = F.greatest(F.lit(0.0), F.log2(F.col("df_t") / F.col("both")))
-    pmi = F.log2(F.col("all_rows") / F.col("df_e")) - unknown
-    telling = (shown.join(terms, "term").join(entities, "entity").crossJoin(F.broadcast(total))  # one row
+    pmi = F.log2(total / F.col("df_e")) - unknown
+    telling = (shown.join(terms, "term").join(entities, "entity")
                .where((pmi >= bits) & (unknown <= generalise))
                .select("entity", "term", F.when(unknown <= remove, "remove").otherwise("generalise").alias("action")))
     span = F.struct(F.col("start"), F.col("end"), F.col("action"))
