@@ -232,6 +232,16 @@ def label_pairs(df: DataFrame, labels: str = "labels", seed: int = 2021, key: st
             .select(key, "p.a", "p.b", "p.same"))
 
 
+def _of_width(ids: Column, width: int) -> Column:
+    cut = F.slice(ids, 1, width)
+    return F.concat(cut, F.array_repeat(F.lit(0), F.lit(width) - F.size(cut)))
+
+
+def _char_lists(table: DataFrame, width: int) -> DataFrame:
+    """The table's lists, cut and filled once per token, not once per character."""
+    return table.where(F.col("ids").isNotNull()).select("token", _of_width(F.col("ids"), width).alias("ids"))
+
+
 def char_features(df: DataFrame, table: DataFrame, width: int = 8, col: str = "text", key: str = "id",
                   max_len: int | None = None, out: str = "char_features") -> DataFrame:
     """Per character a fixed-width id list from a ``(token, ids array<int>)``
@@ -239,11 +249,63 @@ def char_features(df: DataFrame, table: DataFrame, width: int = 8, col: str = "t
     twice counts once, with its smallest list; tokens that are not a single
     code point match no character.  The texts are shuffled once, by key."""
     text = F.col(col) if max_len is None else F.substring(col, 1, max_len)
-    # the table's lists are cut and filled once per token, not once per character
-    cut = F.slice("ids", 1, width)
-    lists = table.where(F.col("ids").isNotNull()).select(
-        "token", F.concat(cut, F.array_repeat(F.lit(0), F.lit(width) - F.size(cut))).alias("ids"))
-    g = _with_lookup(df, lists, "ids", key, text, [])
+    g = _with_lookup(df, _char_lists(table, width), "ids", key, text, [])
     zeros = F.array(*[F.lit(0)] * width)
     features = F.transform(chars("_text"), lambda c: F.coalesce(F.col("_map")[c], zeros))
     return g.select(key, F.coalesce(features, F.array().cast("array<array<int>>")).alias(out))
+
+
+def _phrases_in(text: Column, lengths: list[int]) -> Column:
+    """The distinct substrings of ``text`` that have one of ``lengths``."""
+    def cut(cs):  # cs: the text's characters, split once
+        return F.flatten(F.transform(F.array(*[F.lit(n) for n in lengths]), lambda n: F.transform(
+            F.filter(F.sequence(F.lit(1), F.size(cs)), lambda i: i + n - 1 <= F.size(cs)),
+            lambda i: F.array_join(F.slice(cs, i, n), ""))))
+
+    long_enough = F.char_length(text) >= min(lengths)
+    return F.when(long_enough, F.array_distinct(F.flatten(F.transform(F.array(chars(text)), cut))))
+
+
+def phrase_features(df: DataFrame, phrases: DataFrame, table: DataFrame, width: int = 8, col: str = "text",
+                    key: str = "id", max_len: int | None = None, out: str = "char_features") -> DataFrame:
+    """J6 with phrases: a character's list depends on the phrase it stands in.
+
+    ``phrases (phrase, ids array<array<int>>)`` has a list for each code point of
+    a phrase.  A text is read from the left; at each place the longest phrase that
+    starts there gives the lists of its characters and reading goes on behind it.
+    Where none starts, the character gets its list of ``table`` as in
+    ``char_features``, zeros if it has none.  A phrase listed twice counts once, with its smallest
+    lists; phrases of one code point and null lists of a phrase are ignored;
+    a phrase with another number of lists than code points is an error.
+
+    The phrase table may be of any size: each text's distinct substrings of
+    the table's phrase lengths meet it in a plain join, which Spark broadcasts if
+    its measured size allows and splits where a substring is frequent.  Only keys and phrases
+    that were found come back, grouped by key; the texts are shuffled once.  Found phrases become one alternation,
+    longest first, that cuts the text in one scan (its cost is characters times the text's found phrases).
+    """
+    text = F.col(col) if max_len is None else F.substring(col, 1, max_len)
+    n = F.char_length("phrase")
+    known = phrases.where((n > 1) & F.col("ids").isNotNull())
+    lengths = sorted(r[0] for r in known.select(n).distinct().collect())  # at most one value a length
+    if not lengths:
+        return char_features(df, table, width, col, key, max_len, out)
+    lists = F.transform("ids", lambda a: _of_width(F.coalesce(a, F.array().cast("array<int>")), width))
+    wrong = F.raise_error(F.concat(F.lit("number of lists differs from the length of phrase: "), F.col("phrase")))
+    known = (known.select("phrase", F.when(F.size("ids") != n, wrong).otherwise(lists).alias("_lists"))
+             .groupBy("phrase").agg(F.min("_lists").alias("_lists")))
+    grams = _by_key(df, key, text, []).select(
+        F.col(key).alias("_phrase_key"), F.explode(_phrases_in(F.col("_text"), lengths)).alias("phrase"))
+    found = (grams.join(known, "phrase").groupBy("_phrase_key")
+             .agg(F.map_from_entries(F.collect_set(F.struct("phrase", "_lists"))).alias("_phrases")))
+    g = (_with_lookup(df, _char_lists(table, width), "ids", key, text, [])
+         .join(found, F.col(key).eqNullSafe(F.col("_phrase_key")), "left"))
+    longest_first = F.sort_array(F.transform(F.map_keys("_phrases"), lambda p: F.struct(
+        F.char_length(p), F.regexp_replace(p, r"([\\^$.|?*+()\[\]{}])", r"\\$1").alias("re"))), asc=False)
+    pattern = F.concat(F.array_join(F.transform(longest_first, lambda s: s["re"]), "|"), F.lit("|(?s:.)"))
+    pieces = F.when(F.col("_phrases").isNull(), chars("_text")).otherwise(
+        F.regexp_extract_all("_text", pattern, F.lit(0)))
+    zeros = F.array(*[F.lit(0)] * width)
+    features = F.flatten(F.transform(pieces, lambda p: F.when(F.char_length(p) > 1, F.col("_phrases")[p])
+                                     .otherwise(F.array(F.coalesce(F.col("_map")[p], zeros)))))
+    return g.select(key, F.coalesce(features, F.array().cast("array<array<int>>")).alias(out))

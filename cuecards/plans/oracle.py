@@ -551,6 +551,28 @@ f AS (SELECT ct.id, ct.pos,
       FROM ct LEFT JOIN tbl ON tbl.token = ct.token)
 SELECT c.id, coalesce((SELECT string_agg(f, ';' ORDER BY pos) FROM f WHERE f.id = c.id), '') AS features FROM c"""
 
+    # greedy longest match: the longest phrase at each place, then a walk over the places
+    q["phrase_features"] = f"""
+WITH RECURSIVE {LINES},
+bt AS (SELECT DISTINCT unnest(regexp_extract_all(text, '(?s).')) AS token FROM benchmark),
+tbl AS (SELECT token, concat_ws(',', unicode(token) % 97, unicode(token) % 89, (unicode(token) // 7) % 50, '0,0,0,0,0') AS f FROM bt),
+ph AS (SELECT DISTINCT unnest(list_concat(regexp_extract_all(text, '[a-z]{{2,12}}'),
+                                          regexp_extract_all(text, '[a-z]{{2,5}} [a-z]{{2,5}}'))) AS phrase FROM benchmark),
+sizes AS (SELECT DISTINCT length(phrase) AS l FROM ph),
+pl AS (SELECT id, content, length(content) AS n, unnest(generate_series(1, length(content))) AS pos FROM parsed),
+hits AS (SELECT id, pos, max(l) AS l FROM pl JOIN sizes ON pos + l - 1 <= n JOIN ph ON phrase = substr(content, pos, l) GROUP BY id, pos),
+steps AS (SELECT pl.id, pl.pos, n, coalesce(l, 1) AS l FROM pl LEFT JOIN hits USING (id, pos)),
+walk(id, pos, l) AS (
+  SELECT id, pos, l FROM steps WHERE pos = 1
+  UNION ALL
+  SELECT s.id, s.pos, s.l FROM walk w JOIN steps s ON s.id = w.id AND s.pos = w.pos + w.l),
+ct AS (SELECT w.id, w.pos, w.l, unnest(generate_series(0, w.l - 1)) AS i FROM walk w),
+f AS (SELECT ct.id, ct.pos + i AS pos,
+             CASE WHEN l > 1 THEN concat_ws(',', (unicode(substr(content, ct.pos + i, 1)) * 7 + i) % 97, l % 50, '0,0,0,0,0,0')
+                  ELSE coalesce(tbl.f, '0,0,0,0,0,0,0,0') END AS f
+      FROM ct JOIN parsed USING (id) LEFT JOIN tbl ON tbl.token = substr(content, ct.pos + i, 1))
+SELECT p.id, coalesce(string_agg(f, ';' ORDER BY pos), '') AS features FROM parsed p LEFT JOIN f ON f.id = p.id GROUP BY p.id"""
+
     avg = [f"avg(s{i})" for i in range(N)]
     q["mean_ensemble"] = f"WITH {PREDS} SELECT id, {_fmt_list(avg)} AS scores, count(*) AS n_files FROM preds GROUP BY id"
     q["weighted_mean"] = f"""

@@ -40,6 +40,7 @@ RANK_WEIGHTS = {str(i): w for i, w in enumerate(EXAMPLE_FILE_WEIGHTS)}
 HOLDOUT = [30001, 30004, 30009]
 VOCAB = 10000
 VEC_DIM = 300
+PHRASE_PATTERNS = ["[a-z]{2,12}", "[a-z]{2,5} [a-z]{2,5}"]
 STACK_FEATURES = [f"x{i}" for i in range(16)]
 SHORT_LINE = 300  # where q_materialise cuts
 # The fits' twins solve their normal equations in SQL, so these are narrow; the library's default is 2**14.
@@ -361,6 +362,22 @@ def q_char_features(spark, sf):
     return f.select("id", F.array_join(F.transform("char_features", lambda a: ints_text(a)), ";").alias("features"))
 
 
+def _phrase_table(spark, sf):
+    """The words and the pairs of short words of the benchmark texts."""
+    b = spark.read.parquet(f"{sf}/benchmark.parquet")
+    found = F.concat(*[F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in PHRASE_PATTERNS])
+    code = F.transform(encode.chars("phrase"), lambda c, i: F.array(
+        (F.ascii(c) * 7 + i) % 97, F.char_length("phrase") % 50).cast("array<int>"))
+    return b.select(F.explode(found).alias("phrase")).distinct().select("phrase", code.alias("ids"))
+
+
+def q_phrase_features(spark, sf):
+    """J6, where a character's list depends on its phrase."""
+    d = _parsed(spark, sf).select("id", F.col("content").alias("text"))
+    f = encode.phrase_features(d, _phrase_table(spark, sf), _char_table(spark, sf), width=8)
+    return f.select("id", F.array_join(F.transform("char_features", lambda a: ints_text(a)), ";").alias("features"))
+
+
 # -- ensembles ------------------------------------------------------------------
 
 def q_mean_ensemble(spark, sf):
@@ -721,6 +738,7 @@ QUERIES = {
     "label_pairs": q_label_pairs,
     "lookup_vectors": q_lookup_vectors,
     "char_features": q_char_features,
+    "phrase_features": q_phrase_features,
     "mean_ensemble": q_mean_ensemble,
     "weighted_mean": q_weighted_mean,
     "weighted_vote": q_weighted_vote,

@@ -95,3 +95,49 @@ def test_encoding_with_one_character_in_a_third_of_all_text(spark):
     hot = v.where("token = '的'").first().token_id
     rows = encode.encode_chars(d, v, 41).collect()
     assert len(rows) == 60 and all(r.input_ids[:40] == [hot] * 40 for r in rows)
+
+
+def longest_match(text, phrases, table, width):
+    """The definition: the longest phrase at each place, else the character."""
+    fill = lambda a: (list(a) + [0] * width)[:width]
+    out, i = [], 0
+    while i < len(text):
+        n = max((len(p) for p in phrases if len(p) > 1 and text.startswith(p, i)), default=1)
+        if n > 1:
+            out += [fill(a) for a in phrases[text[i:i + n]]]
+        else:
+            out.append(fill(table.get(text[i], [])))
+        i += n
+    return out
+
+
+PHRASES = {"银行": [[1], [2, 3]], "银行行长": [[4], [5], [6], [7]], "行长": [[8], [9]], "a.b": [[1], [2], [3]],
+           "(x|y)*": [[i] for i in range(6)], "\\E$": [[7], [8], [9]], "𠀀𠀁": [[11], [12]], "\n\n": [[13], [14]], "行": [[99]]}
+CHARS = {"行": [21, 22, 23], "银": [24], "a": [25], "长": [26], "𠀀": [27], "\n": [28]}
+
+
+def test_reading_of_a_character_depends_on_its_phrase(spark):
+    texts = ["银行行长", "银行行", "行长银行", "行行长长", "a.b axb (x|y)* xy", "\\E$ \\E", "𠀀𠀁𠀀", "\n\n\n", "", "银行" * 4000, "zzz"]
+    d = spark.createDataFrame([*enumerate(texts), (None, "银行"), (99, None), (7, "行长")], "id int, text string")
+    ph = spark.createDataFrame([*PHRASES.items(), ("银行", [[5], [5]]), ("未", None)], "phrase string, ids array<array<int>>")
+    t = spark.createDataFrame(list(CHARS.items()), "token string, ids array<int>")
+    want = [*enumerate(texts), (None, "银行"), (99, ""), (7, "行长")]
+    want = sorted(((k, longest_match(x, PHRASES, CHARS, 2)) for k, x in want), key=repr)
+    for hint in ("10MB", "-1"):  # broadcast or shuffle: the same rows
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", hint)
+        try:
+            got = sorted(((r.id, r.char_features) for r in encode.phrase_features(d, ph, t, width=2).collect()), key=repr)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert got == want
+    assert encode.phrase_features(d.limit(0), ph, t).count() == 0
+    none = encode.phrase_features(d, ph.limit(0), t, width=2).collect()
+    assert {r.id: r.char_features for r in none}[1] == longest_match("银行行", {}, CHARS, 2)
+
+
+def test_a_phrase_needs_a_list_for_each_character(spark):
+    d = spark.createDataFrame([(1, "ab")], "id int, text string")
+    ph = spark.createDataFrame([("ab", [[1]])], "phrase string, ids array<array<int>>")
+    t = spark.createDataFrame([("a", [1])], "token string, ids array<int>")
+    with pytest.raises(Exception, match="number of lists"):
+        encode.phrase_features(d, ph, t).collect()
