@@ -69,7 +69,7 @@ def unlabelled(df: DataFrame, col: str = "labels") -> DataFrame:
 
 def all_buckets(spark: SparkSession, levels: int = 3) -> DataFrame:
     names = [f"{x}{lv}" for x in BUCKET_LETTERS for lv in range(1, levels + 1)] + [UNLABELLED]
-    return spark.createDataFrame([(n,) for n in names], "bucket string")
+    return spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("bucket"))
 
 
 def bucket_counts(df: DataFrame, col: str = "labels") -> DataFrame:

@@ -14,7 +14,8 @@ from cuecards.operators.ranking import hash_order
 
 def default_policy(spark: SparkSession, doubled=DOUBLED_BUCKETS, copies: int = 2) -> DataFrame:
     """``(bucket, copies)``: listed buckets get ``copies`` rows, the rest one."""
-    return spark.createDataFrame([(b, copies) for b in doubled], "bucket string, copies int")
+    rows = F.array(*[F.lit(b) for b in doubled]).cast("array<string>")  # a plan of its own, no rows of the driver
+    return spark.range(1).select(F.explode(rows).alias("bucket"), F.lit(copies).alias("copies"))
 
 
 def rebalance(df: DataFrame, policy: DataFrame | None = None, rewrite: Callable[[Column], Column] | None = None,

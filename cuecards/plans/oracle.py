@@ -433,6 +433,7 @@ SELECT no.id, bucket, copy_no,
        CASE WHEN copy_no > 1 THEN '~' || reverse(content) ELSE content END AS content
 FROM no JOIN labelled USING (id)"""
     q["rewrite_copies"] = q["rebalance"]
+    q["rewrite_resume"] = q["rebalance"]
     q["sample_unlabelled"] = f"""
 WITH {LINES}
 SELECT id FROM labelled WHERE NOT list_bool_or(list_transform(labels, lambda v: v > 0))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ from cuecards.operators import blockfit, context, encode, ensemble, labelops, me
 from cuecards.plans.prepare import label_columns, prepare_lines
 from cuecards.session import checkpoint_dir
 from cuecards.sources import adapters, files, order, stages, template, vectors
+from cuecards.streaming import incremental
 
 # Parameters of the registered queries (FIXTURES.md): conversation texts are
 # long, so the short-line threshold is 200 code points here; the library
@@ -224,6 +226,26 @@ def q_rewrite_copies(spark, sf):
     return rebalance.rewrite_copies(r, _reverse_batch)
 
 
+def q_rewrite_resume(spark, sf):
+    """G3 with S10: the first run of the job fails at one line, the second goes on."""
+    r = rebalance.rebalance(_labelled(spark, sf)).select("id", "bucket", "copy_no", "content")
+    root, stop = _scratch(spark, "rewrite"), r.where("copy_no > 1").agg(F.max("id")).first()[0]
+
+    def fails(pdf):
+        if (pdf["id"] == stop).any():
+            raise RuntimeError("the rewriter is not available")
+        return _reverse_batch(pdf)
+
+    if stop is not None:
+        try:
+            incremental.rewrite_resumable(r, fails, root, rows_per_file=10_000)
+        except StreamingQueryException:
+            pass
+        else:
+            raise AssertionError("the first run was to fail")
+    return incremental.rewrite_resumable(r, _reverse_batch, root, rows_per_file=10_000)
+
+
 def q_sample_unlabelled(spark, sf):
     return rebalance.sample_unlabelled(_labelled(spark, sf), 20, SEED).select("id")
 
@@ -768,6 +790,7 @@ QUERIES = {
     "train_regressor_fit": q_train_regressor_fit,
     "train_evaluate": q_train_evaluate,
     "rewrite_copies": q_rewrite_copies,
+    "rewrite_resume": q_rewrite_resume,
     "read_vectors": q_read_vectors,
     "weighted_vote_labels": q_weighted_vote_labels,
     "restore_order": q_restore_order,

@@ -123,7 +123,7 @@ def stage_path(root: str, stage: str, params: dict) -> str:
     return f"{root.rstrip('/')}/{stage}-{key}"
 
 
-def _committed(spark, path: str) -> bool:
+def committed(spark, path: str) -> bool:
     """True when a write to ``path`` finished: the job commit leaves ``_SUCCESS``."""
     jvm = spark.sparkContext._jvm
     marker = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
@@ -147,7 +147,7 @@ def materialise(df: DataFrame, stage: str, params: dict | None = None, root: str
     spark = df.sparkSession
     root = root or f"{checkpoint_dir(spark)}/stages"
     path = stage_path(root, stage, {**(params or {}), "_query": identity or plan_identity(df), "_code": code_version()})
-    if not _committed(spark, path):
+    if not committed(spark, path):
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
