@@ -2,14 +2,14 @@
 
 Character tables (vocabulary, dictionary) are reduced to one row per single
 code point first, so they have at most 1,114,112 rows whatever the input: a
-proven bound, and the reason why they may be broadcast.  Lookups join the
-*distinct* characters of a text, gather them in one small map per text, and
-apply the map to the text; no per-character row is shuffled.
+proven bound, and the reason why they may travel with the plan.  A table is one array
+with the entry of a code point at its number, a scalar subquery; encoding
+a text looks its characters up there and shuffles nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,33 +84,30 @@ def special_ids(vocab: DataFrame) -> tuple[int, int]:
     return int(got.get(UNK, 0)), int(got.get(PAD, 1))  # an empty corpus has no specials rows
 
 
-def _by_key(df: DataFrame, key: str, text: Column, carry) -> DataFrame:
-    """``(key, _text, *carry)`` hash-partitioned by ``key``.
-
-    The text rows are shuffled *before* they are exploded into characters:
-    the exploded rows (one per character, several ints wide) then flow through
-    the lookup join and back into one row per key inside the same stage, with
-    no exchange of their own.  Keys are line ids, so no group is hot.
-    """
-    return df.select(key, text.alias("_text"), *carry).repartition(key)
-
-
 def one_per_code_point(table: DataFrame, value: str) -> DataFrame:
     """``(token, value)`` with one row per single code point (of several, the
     smallest value), so at most ``MAX_CODE_POINTS`` rows."""
     return (table.where(F.char_length("token") == 1).groupBy("token").agg(F.min(value).alias(value)))
 
 
-def _with_lookup(df: DataFrame, table: DataFrame, value: str, key: str, text: Column, carry) -> DataFrame:
-    """``(key, _text, *carry, _map)``: the table's entries for the characters of
-    each text.  Only a text's distinct characters become rows; they are grouped
-    back on the partitioning by key that the texts were given (grouping on the
-    text and the carried columns too keeps the result exact if a key repeats)."""
-    d = _by_key(df, key, text, carry)
-    rows = d.select(key, "_text", *carry, F.explode_outer(F.array_distinct(chars("_text"))).alias("token"))
-    found = rows.join(F.broadcast(one_per_code_point(table, value)), "token", "left")
-    entry = F.when(F.col(value).isNotNull(), F.struct("token", value))
-    return found.groupBy(key, "_text", *carry).agg(F.map_from_entries(F.collect_set(entry)).alias("_map"))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, with ``value`` evaluated once a row."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _by_code_point(table: DataFrame, value: str) -> Column:
+    """The table as one array, the entry of a code point at its number, null where
+    the table has none: a scalar subquery, evaluated once a query.  It has at most
+    ``MAX_CODE_POINTS`` entries, and none beyond the table's largest code point."""
+    none = F.lit(None).cast(table.schema[value].dataType)
+
+    def dense(entries):  # in order of code points, the gaps filled
+        return F.flatten(F.transform(entries, lambda e, i: F.concat(
+            F.array_repeat(none, e["at"] - F.when(i > 0, F.get(entries, i - 1)["at"]).otherwise(-1) - 1), F.array(e["value"]))))
+
+    entries = one_per_code_point(table, value).agg(
+        F.sort_array(F.collect_list(F.struct(F.ascii("token").alias("at"), F.col(value).alias("value")))).alias("entries"))
+    return entries.select(_let(F.col("entries"), dense)).scalar()
 
 
 def encode_chars(df: DataFrame, vocab: DataFrame, max_len: int, col: str = "text", key: str = "id",
@@ -121,21 +118,22 @@ def encode_chars(df: DataFrame, vocab: DataFrame, max_len: int, col: str = "text
 
     The text is not stripped here (only the vocabulary strips), so edge
     whitespace may map to ``<UNK>``.  Rows with empty text keep an all-pad row.
-    Only the first ``max_len`` characters of each text are shuffled (once, by
-    key); ``carry`` names columns of ``df`` to pass through, so callers need
-    no join back.
+    No row is shuffled: each character is looked up by its code point.
+    ``carry`` names columns of ``df`` to pass through, so callers need no join back.
     """
     if unk_id is None or pad_id is None:
         unk_id, pad_id = special_ids(vocab)
-    carry = list(carry)
+    table = _by_code_point(vocab.select("token", "token_id"), "token_id")
     # substring counts code points, so cutting before splitting yields the
     # same first max_len tokens without splitting the rest of a long text.
-    grouped = _with_lookup(df, vocab.select("token", "token_id"), "token_id", key, F.substring(col, 1, max_len), carry)
-    ids = F.coalesce(F.transform(chars("_text"), lambda c: F.coalesce(F.col("_map")[c], F.lit(unk_id))),
+    cs = chars("_text")
+    # the subquery is a column of its own, as none may stand in a lambda's call; Catalyst merges the two selects
+    d = df.select(key, *carry, F.substring(col, 1, max_len).alias("_text"), table.alias("_table"))
+    ids = F.coalesce(_let(F.col("_table"), lambda t: F.transform(cs, lambda c: F.coalesce(F.get(t, F.ascii(c)), F.lit(unk_id)))),
                      F.array().cast("array<int>"))
     if pad:
         ids = F.concat(ids, F.array_repeat(F.lit(pad_id), F.lit(max_len) - F.size(ids)))
-    return grouped.select(key, *carry, ids.alias(out))
+    return d.select(key, *carry, ids.alias(out))
 
 
 def pack_single(df: DataFrame, ids: str = "input_ids", max_len: int = 110, cls: int = CLS_ID,
@@ -247,23 +245,30 @@ def char_features(df: DataFrame, table: DataFrame, width: int = 8, col: str = "t
     """Per character a fixed-width id list from a ``(token, ids array<int>)``
     dictionary, zero-filled when the character is missing.  A token listed
     twice counts once, with its smallest list; tokens that are not a single
-    code point match no character.  The texts are shuffled once, by key."""
+    code point match no character.  No row is shuffled."""
     text = F.col(col) if max_len is None else F.substring(col, 1, max_len)
-    g = _with_lookup(df, _char_lists(table, width), "ids", key, text, [])
+    lists = _by_code_point(_char_lists(table, width), "ids")
     zeros = F.array(*[F.lit(0)] * width)
-    features = F.transform(chars("_text"), lambda c: F.coalesce(F.col("_map")[c], zeros))
-    return g.select(key, F.coalesce(features, F.array().cast("array<array<int>>")).alias(out))
+    d = df.select(key, text.alias("_text"), lists.alias("_table"))
+    features = _let(F.col("_table"), lambda t: F.transform(chars("_text"), lambda c: F.coalesce(F.get(t, F.ascii(c)), zeros)))
+    return d.select(key, F.coalesce(features, F.array().cast("array<array<int>>")).alias(out))
 
 
 def _phrases_in(text: Column, lengths: list[int]) -> Column:
     """The distinct substrings of ``text`` that have one of ``lengths``."""
-    def cut(cs):  # cs: the text's characters, split once
-        return F.flatten(F.transform(F.array(*[F.lit(n) for n in lengths]), lambda n: F.transform(
-            F.filter(F.sequence(F.lit(1), F.size(cs)), lambda i: i + n - 1 <= F.size(cs)),
-            lambda i: F.array_join(F.slice(cs, i, n), ""))))
+    def longer(cs, shorter, have, rest):
+        """The substrings of each length of ``rest``, each made from the one of ``have`` characters at its place."""
+        if not rest:
+            return F.array().cast("array<string>")
+        n = rest[0]
+        made = F.when(F.size(cs) >= n, F.transform(F.sequence(F.lit(0), F.size(cs) - n), lambda i: F.concat(
+            F.get(shorter, i), *[F.get(cs, i + j) for j in range(have, n)])))
+        made = F.coalesce(made, F.array().cast("array<string>"))
+        return _let(made, lambda g: F.concat(g, longer(cs, g, n, rest[1:])))
 
     long_enough = F.char_length(text) >= min(lengths)
-    return F.when(long_enough, F.array_distinct(F.flatten(F.transform(F.array(chars(text)), cut))))
+    return F.when(long_enough, F.array_distinct(
+        _let(chars(text), lambda cs: longer(cs, cs, 1, lengths))))
 
 
 def phrase_features(df: DataFrame, phrases: DataFrame, table: DataFrame, width: int = 8, col: str = "text",
@@ -281,7 +286,7 @@ def phrase_features(df: DataFrame, phrases: DataFrame, table: DataFrame, width:
     The phrase table may be of any size: each text's distinct substrings of
     the table's phrase lengths meet it in a plain join, which Spark broadcasts if
     its measured size allows and splits where a substring is frequent.  Only keys and phrases
-    that were found come back, grouped by key; the texts are shuffled once.  Found phrases become one alternation,
+    that were found come back, grouped by key.  Found phrases become one alternation,
     longest first, that cuts the text in one scan (its cost is characters times the text's found phrases).
     """
     text = F.col(col) if max_len is None else F.substring(col, 1, max_len)
@@ -294,18 +299,22 @@ def phrase_features(df: DataFrame, phrases: DataFrame, table: DataFrame, width:
     wrong = F.raise_error(F.concat(F.lit("number of lists differs from the length of phrase: "), F.col("phrase")))
     known = (known.select("phrase", F.when(F.size("ids") != n, wrong).otherwise(lists).alias("_lists"))
              .groupBy("phrase").agg(F.min("_lists").alias("_lists")))
-    grams = _by_key(df, key, text, []).select(
+    # by key first: where the phrases are broadcast, nothing else is shuffled.  A number keeps AQE from
+    # merging the tasks by the bytes of texts, which their substrings exceed many times.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = df.select(F.col(key), text.alias("_text")).repartition(tasks, key)
+    grams = texts.select(
         F.col(key).alias("_phrase_key"), F.explode(_phrases_in(F.col("_text"), lengths)).alias("phrase"))
     found = (grams.join(known, "phrase").groupBy("_phrase_key")
              .agg(F.map_from_entries(F.collect_set(F.struct("phrase", "_lists"))).alias("_phrases")))
-    g = (_with_lookup(df, _char_lists(table, width), "ids", key, text, [])
-         .join(found, F.col(key).eqNullSafe(F.col("_phrase_key")), "left"))
+    g = texts.join(found, F.col(key).eqNullSafe(F.col("_phrase_key")), "left")
+    g = g.select("*", _by_code_point(_char_lists(table, width), "ids").alias("_table"))
     longest_first = F.sort_array(F.transform(F.map_keys("_phrases"), lambda p: F.struct(
         F.char_length(p), F.regexp_replace(p, r"([\\^$.|?*+()\[\]{}])", r"\\$1").alias("re"))), asc=False)
     pattern = F.concat(F.array_join(F.transform(longest_first, lambda s: s["re"]), "|"), F.lit("|(?s:.)"))
     pieces = F.when(F.col("_phrases").isNull(), chars("_text")).otherwise(
         F.regexp_extract_all("_text", pattern, F.lit(0)))
     zeros = F.array(*[F.lit(0)] * width)
-    features = F.flatten(F.transform(pieces, lambda p: F.when(F.char_length(p) > 1, F.col("_phrases")[p])
-                                     .otherwise(F.array(F.coalesce(F.col("_map")[p], zeros)))))
+    features = _let(F.col("_table"), lambda t: F.flatten(F.transform(pieces, lambda p: F.when(
+        F.char_length(p) > 1, F.col("_phrases")[p]).otherwise(F.array(F.coalesce(F.get(t, F.ascii(p)), zeros))))))
     return g.select(key, F.coalesce(features, F.array().cast("array<array<int>>")).alias(out))
