@@ -540,6 +540,12 @@ WITH bt AS (SELECT DISTINCT unnest(regexp_extract_all(text, '(?s).')) AS token F
 bv AS (SELECT token, [{', '.join(vec('token', i) for i in range(300))}] AS vec FROM bt WHERE NOT regexp_matches(token, '{_WS}'))
 SELECT token, concat_ws(',', {', '.join(_fmt(f"vec[{i + 1}]") for i in range(300))}) AS vec FROM bv"""
 
+    spoilt = "substr(md5('d' || token), 1, 1)"
+    q["damaged_vectors"] = f"""
+WITH bt AS (SELECT DISTINCT unnest(regexp_extract_all(text, '(?s).')) AS token FROM benchmark)
+SELECT token, CASE WHEN {spoilt} < '3' THEN 300 ELSE 301 END AS n_fields, CASE WHEN {spoilt} < '3' THEN 0 ELSE 1 END AS bad_values
+FROM bt WHERE {spoilt} < '6' AND NOT regexp_matches(token, '{_WS}')"""
+
     q["char_features"] = f"""
 WITH {LINES},
 bt AS (SELECT DISTINCT unnest(regexp_extract_all(text, '(?s).')) AS token FROM benchmark),

@@ -353,6 +353,19 @@ def q_read_vectors(spark, sf):
     return v.select("token", format_scores("vec").alias("vec"))
 
 
+def q_damaged_vectors(spark, sf):
+    """S8 on a file where, by a digit of the token's hash, a line lacks its last
+    value or its last value is no number."""
+    path = _scratch(spark, "damaged")
+    lines = spark.read.text(_vector_file(spark, sf))
+    kind = F.substring(F.md5(F.concat(F.lit("d"), F.split("value", " ")[0])), 1, 1)
+    cut = F.regexp_replace("value", " [^ ]*$", "")
+    header = F.col("value") == f"0 {VEC_DIM}"
+    lines.select(F.when(header | (kind >= "6"), F.col("value")).when(kind < "3", cut)
+                 .otherwise(F.concat(cut, F.lit(" x"))).alias("value")).write.text(path)
+    return vectors.damaged_vectors(spark, path, VEC_DIM).select("token", "n_fields", "bad_values")
+
+
 def _bench_vectors(spark, sf):
     """Vectors for every character of the benchmark texts: ``dim`` values
     ``(md5('v|token|i') mod 1000) / 1000`` as float."""
@@ -792,6 +805,7 @@ QUERIES = {
     "rewrite_copies": q_rewrite_copies,
     "rewrite_resume": q_rewrite_resume,
     "read_vectors": q_read_vectors,
+    "damaged_vectors": q_damaged_vectors,
     "weighted_vote_labels": q_weighted_vote_labels,
     "restore_order": q_restore_order,
     "line_rule": q_line_rule,

@@ -11,7 +11,8 @@ def read_vectors(spark: SparkSession, path: str, dim: int = 300) -> DataFrame:
     """Text vectors: one header line, then ``token f1 ... f<dim>`` per line.
 
     The header has two fields, so keeping rows with exactly ``dim + 1``
-    fields drops it (and any damaged line) without needing line numbers.
+    fields drops it (and any damaged line) without needing line numbers;
+    ``damaged_vectors`` returns the lines that are lost by that.
     """
     parts = F.split(F.trim(F.col("value")), " ")
     return (
@@ -23,6 +24,21 @@ def read_vectors(spark: SparkSession, path: str, dim: int = 300) -> DataFrame:
     )
 
 
+def damaged_vectors(spark: SparkSession, path: str, dim: int = 300) -> DataFrame:
+    """``(line, token, n_fields, bad_values)``: the lines of a vector file that ``read_vectors``
+    leaves out for their number of fields, or reads with a null for a value
+    that is no number.  A line of two fields, a count and ``dim``, is a header."""
+    parts = F.split(F.trim(F.col("value")), " ")
+    header = F.trim(F.col("value")).rlike(rf"^[0-9]+ {dim}$") & (F.lit(dim) != 1)
+    bad = F.size(F.filter(F.slice("p", 2, dim), lambda x: x.try_cast("float").isNull()))
+    return (
+        spark.read.text(path).where(~header)
+        .select(F.col("value").alias("line"), parts.alias("p"))
+        .select("line", F.get("p", 0).alias("token"), F.size("p").alias("n_fields"), bad.alias("bad_values"))
+        .where((F.col("n_fields") != dim + 1) | (F.col("bad_values") > 0))
+    )
+
+
 def fallback_vector(token: Column, dim: int, seed: int) -> Column:
     """Uniform [0, 1) vector derived from md5(seed|token|i): reproducible anywhere."""
     return F.transform(

@@ -208,3 +208,13 @@ def test_records_over_lines_in_split_files(spark, tmp_path, small_splits, seed):
     assert sorted(map(plain, got), key=repr) == sorted(map(plain, want), key=repr)
     ids = [r.id for r in sorted(got, key=lambda r: r.place)]
     assert ids == sorted(ids, key=lambda i: (i[0] != "a", ids.index(i))) and len({r.place for r in got}) == len(got)
+
+
+def test_damaged_vector_lines_are_reported(spark, tmp_path):
+    from cuecards.sources.vectors import damaged_vectors, read_vectors
+
+    p = tmp_path / "v.txt"
+    p.write_text("4 2\na 1 2\nb 1\nc 1 x\nd 1 2 3\n\n", encoding="utf-8")
+    got = sorted(map(tuple, damaged_vectors(spark, str(p), 2).select("token", "n_fields", "bad_values").collect()))
+    assert got == [("", 1, 0), ("b", 2, 0), ("c", 3, 1), ("d", 4, 0)]
+    assert sorted(r.token for r in read_vectors(spark, str(p), 2).collect()) == ["a", "c"]
