@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cuecards.operators import blockfit, models, splits
@@ -55,6 +58,31 @@ def test_hashed_counts(spark):
     assert got == [want(t) for t in ("aab", "", None, "é\U0001F600")]
 
 
+def test_counting_holds_no_batch_of_single_characters(spark, monkeypatch):
+    df = spark.range(1000, numPartitions=1).select("id", F.repeat(F.concat(F.lit("abcdefgh"), "id"), 400).alias("text"))
+    seen = []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: seen.append((self, run)))
+    blockfit.hashed_ngrams(df, ["id"], "text", W)
+    monkeypatch.undo()
+    src, run = seen[0]
+    batch = src.toArrow().combine_chunks().to_batches()
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in run(iter(batch)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 1000 and peak < 60 << 20
+
+
+def test_long_texts_are_counted_piece_by_piece_alike(monkeypatch):
+    texts = pa.array(["aab" * 9, None, "", "é\U0001F600" * 5, "x"])
+    whole = blockfit._count(texts, 10)
+    monkeypatch.setattr(blockfit, "TEXT", 4)
+    for a, b in zip(whole, blockfit._count(texts, 10)):
+        np.testing.assert_array_equal(a, b)
+    cut = list(blockfit._cut(pa.RecordBatch.from_arrays([texts], ["t"])))
+    assert [b.num_rows for b in cut] == [1, 2, 1, 1]
+
+
 def test_rows_are_taken_in_small_pieces_alike(spark, monkeypatch):
     df = table(spark)
     x, y, _ = dense(df)
