@@ -284,17 +284,23 @@ def phrase_features(df: DataFrame, phrases: DataFrame, table: DataFrame, width:
     a phrase with another number of lists than code points is an error.
 
     The phrase table may be of any size: each text's distinct substrings of
-    the table's phrase lengths meet it in a plain join, which Spark broadcasts if
+    the table's phrase lengths meet it in a plain join, which broadcasts it if
     its measured size allows and splits where a substring is frequent.  Only keys and phrases
-    that were found come back, grouped by key.  Found phrases become one alternation,
+    that were found come back, grouped by key and merged with the texts: they are larger
+    than the texts, though Spark estimates them to be small.  Found phrases become one alternation,
     longest first, that cuts the text in one scan (its cost is characters times the text's found phrases).
     """
     text = F.col(col) if max_len is None else F.substring(col, 1, max_len)
     n = F.char_length("phrase")
     known = phrases.where((n > 1) & F.col("ids").isNotNull())
-    lengths = sorted(r[0] for r in known.select(n).distinct().collect())  # at most one value a length
+    counts = dict(known.groupBy(n).count().collect())  # at most one row a length
+    lengths = sorted(counts)
     if not lengths:
         return char_features(df, table, width, col, key, max_len, out)
+    # counted, as Spark's estimate of a table made by explode and distinct is far too small; a character has its
+    # UTF-8 bytes and a list of ``width`` numbers, a row its header
+    measured = sum(m * (64 + n * (32 + 4 * width)) for n, m in counts.items())
+    small = measured <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     lists = F.transform("ids", lambda a: _of_width(F.coalesce(a, F.array().cast("array<int>")), width))
     wrong = F.raise_error(F.concat(F.lit("number of lists differs from the length of phrase: "), F.col("phrase")))
     known = (known.select("phrase", F.when(F.size("ids") != n, wrong).otherwise(lists).alias("_lists"))
@@ -305,9 +311,9 @@ def phrase_features(df: DataFrame, phrases: DataFrame, table: DataFrame, width:
     texts = df.select(F.col(key), text.alias("_text")).repartition(tasks, key)
     grams = texts.select(
         F.col(key).alias("_phrase_key"), F.explode(_phrases_in(F.col("_text"), lengths)).alias("phrase"))
-    found = (grams.join(known, "phrase").groupBy("_phrase_key")
+    found = (grams.join(known.hint("broadcast" if small else "merge"), "phrase").groupBy("_phrase_key")
              .agg(F.map_from_entries(F.collect_set(F.struct("phrase", "_lists"))).alias("_phrases")))
-    g = texts.join(found, F.col(key).eqNullSafe(F.col("_phrase_key")), "left")
+    g = texts.join(found.hint("merge"), F.col(key).eqNullSafe(F.col("_phrase_key")), "left")
     g = g.select("*", _by_code_point(_char_lists(table, width), "ids").alias("_table"))
     longest_first = F.sort_array(F.transform(F.map_keys("_phrases"), lambda p: F.struct(
         F.char_length(p), F.regexp_replace(p, r"([\\^$.|?*+()\[\]{}])", r"\\$1").alias("re"))), asc=False)

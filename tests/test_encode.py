@@ -135,6 +135,17 @@ def test_reading_of_a_character_depends_on_its_phrase(spark):
     assert {r.id: r.char_features for r in none}[1] == longest_match("银行行", {}, CHARS, 2)
 
 
+def test_found_phrases_do_not_pass_through_the_driver(spark):
+    """What was found has a row for each text; only phrases counted as few are broadcast."""
+    d = spark.createDataFrame([(1, "ab c")], "id int, text string")
+    t = spark.createDataFrame([("a", [1])], "token string, ids array<int>")
+    many = spark.range(30000).select(F.format_string("w%08d", "id").alias("phrase")).select(
+        "phrase", F.transform(F.split("phrase", ""), lambda c: F.array(F.ascii(c))).alias("ids")).distinct()
+    for phrases, broadcast in ((many.where("phrase < 'w00000100'"), 1), (many, 0)):
+        plan = encode.phrase_features(d, phrases, t)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == broadcast and plan.count("SortMergeJoin") == 2 - broadcast
+
+
 def test_a_phrase_needs_a_list_for_each_character(spark):
     d = spark.createDataFrame([(1, "ab")], "id int, text string")
     ph = spark.createDataFrame([("ab", [[1]])], "phrase string, ids array<array<int>>")
